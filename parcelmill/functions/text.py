@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 NULL_TOKENS = ["", "NULL", "null", "N/A", "n/a"]
 
 
+WHITE_SPACE = " \t\r\n\f\x0b"
+
+
 def strip(c: Column) -> Column:
-    """Remove all kinds of white space at both ends (`trim` removes only spaces)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove all kinds of white space at both ends (`trim` alone removes only spaces)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze(c: Column) -> Column:
@@ -17,7 +20,7 @@ def squeeze(c: Column) -> Column:
 
 
 def strip_quotes(c: Column) -> Column:
-    return F.regexp_replace(c, r'^"+|"+$', "")
+    return F.btrim(c, F.lit('"'))
 
 
 def empty_to_null(c: Column) -> Column:

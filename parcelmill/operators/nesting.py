@@ -34,12 +34,12 @@ def nest_children(
     children: DataFrame,
     key: str,
     order: list[Column],
-    fields: list[Column],
+    value: Column,
     page_rows: int = PAGE_ROWS,
 ) -> Nested:
-    """Collect `fields` of the children per key, sorted by `order` (which should end unique)."""
-    item = F.struct(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("o"),
-                    F.struct(*fields).alias("v"))
+    """Collect the struct `value` of the children per key, sorted by `order` (which should end unique)."""
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    item = F.struct(place.alias("o"), value.alias("v"))
     rows = children.select(key, item.alias("item"))
     counts = children.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     large = counts.filter(F.col("n") > page_rows).select(

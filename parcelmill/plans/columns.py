@@ -44,7 +44,3 @@ class Source:
 
 def struct_of(**parts: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in parts.items()])
-
-
-def present(df: DataFrame | None) -> bool:
-    return df is not None

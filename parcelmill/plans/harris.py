@@ -12,7 +12,7 @@ from parcelmill.operators.joins import lookup_join
 from parcelmill.operators.keyed import last_per_key
 from parcelmill.operators.nesting import PAGE_ROWS, Nested, attach, nest_children
 from parcelmill.plans.columns import Source, struct_of
-from parcelmill.schemas import conform
+from parcelmill.schemas import conform, section
 
 COUNTY = "harris"
 KEY = "account_id"
@@ -41,34 +41,33 @@ def with_position(df: DataFrame, position: str = "source_pos") -> DataFrame:
 def nest_owners(owners: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
     s = Source(owners)
     line = F.col("ln_num").cast("int")
-    fields = struct_fields(
+    item = section(
+        "owners",
         line_number=line,
         name=s.raw("name"),
         aka=s.raw("aka"),
         percentage=s.raw("pct_own").try_cast("decimal(9,4)"),
     )
-    return nest_children(keyed(owners), KEY, [line, s.raw("name"), s.raw("aka")], fields, page_rows)
-
-
-def struct_fields(**parts: Column) -> list[Column]:
-    return [c.alias(n) for n, c in parts.items()]
+    return nest_children(keyed(owners), KEY, [line, s.raw("name"), s.raw("aka")], item, page_rows)
 
 
 def nest_deeds(deeds: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
     s = Source(deeds)
     sold = F.try_to_date(s.raw("dos"), "MM/dd/yyyy")
-    fields = struct_fields(
+    item = section(
+        "deeds",
         date_of_sale=s.raw("dos"),
         clerk_year=s.raw("clerk_yr"),
         clerk_id=s.raw("clerk_id"),
         deed_id=s.raw("deed_id"),
     )
-    return nest_children(keyed(deeds), KEY, [sold, s.raw("deed_id")], fields, page_rows)
+    return nest_children(keyed(deeds), KEY, [sold, s.raw("deed_id")], item, page_rows)
 
 
 def nest_permits(permits: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
     s = Source(permits)
-    fields = struct_fields(
+    item = section(
+        "permits",
         permit_id=s.raw("id"),
         agency_id=s.raw("agency_id"),
         status=s.raw("status"),
@@ -88,12 +87,13 @@ def nest_permits(permits: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
             site_apartment=s.raw("site_apt"),
         ),
     )
-    return nest_children(keyed(permits), KEY, [s.raw("yr"), s.raw("id")], fields, page_rows)
+    return nest_children(keyed(permits), KEY, [s.raw("yr"), s.raw("id")], item, page_rows)
 
 
 def nest_relations(relations: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
     s = Source(relations)
-    fields = struct_fields(
+    item = section(
+        "parcel_relationships",
         account_id=s.raw("acct"),
         type=s.raw("tp"),
         description=s.raw("dscr"),
@@ -101,7 +101,7 @@ def nest_relations(relations: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         percentage=s.raw("pct"),
     )
     order = [s.raw("related_acct"), s.raw("tp"), s.raw("pct")]
-    return nest_children(keyed(relations), KEY, order, fields, page_rows)
+    return nest_children(keyed(relations), KEY, order, item, page_rows)
 
 
 def mineral_struct(minerals: DataFrame) -> DataFrame:
@@ -110,7 +110,8 @@ def mineral_struct(minerals: DataFrame) -> DataFrame:
     last = last_per_key(keyed(with_position(minerals)), [KEY], "source_pos")
     return last.select(
         KEY,
-        struct_of(
+        section(
+            "mineral_rights",
             dor_code=s.raw("dor_cd"),
             rail_lease_num=s.raw("rail_leasenum"),
             interest_type=s.raw("type_interest"),
@@ -124,8 +125,8 @@ def neighborhood_struct(df: DataFrame, codes: DataFrame, key: str = "market_area
     latest = last_per_key(with_position(codes), ["cd"], "source_pos")
     structs = latest.select(
         "cd",
-        struct_of(
-            group_code=F.col("grp_cd").cast("string"), description=F.col("dscr")
+        section(
+            "neighborhood", group_code=F.col("grp_cd"), description=F.col("dscr")
         ).alias("neighborhood"),
     )
     return lookup_join(df, structs, key, "cd")
@@ -141,14 +142,14 @@ def tax_entities(s: Source, legacy_split: bool = False) -> Column:
     )
 
     def entity(name: Column, kind: str, code: Column, description: str) -> Column:
-        return struct_of(
+        return section(
+            "tax_entities",
             entity_name=name,
             entity_type=F.lit(kind),
             jurisdiction_id=code,
             assessed_value=s.money("assessed_val"),
             market_value=s.money("tot_mkt_val"),
             taxable_value=s.money("assessed_val"),
-            tax_rate=F.lit(None).cast("double"),
             description=F.lit(description),
         )
 
@@ -187,17 +188,16 @@ def improvements(s: Source, legacy_truthy: bool = False) -> Column:
         )
     else:
         any_main = (year > 0) | (area > 0)
-    no_int, no_long = F.lit(None).cast("int"), F.lit(None).cast("bigint")
 
-    def item(suffix, kind, cls, value, description, year_built=no_int, size=no_long) -> Column:
-        return struct_of(
+    def item(suffix, kind, cls, value, description, **more: Column) -> Column:
+        return section(
+            "improvements",
             improvement_id=F.concat(F.col(KEY), F.lit(suffix)),
             improvement_type=F.lit(kind),
             improvement_class=cls,
-            year_built=year_built,
-            square_footage=size,
-            value=value.cast("decimal(18,2)"),
+            value=value,
             description=description,
+            **more,
         )
 
     building_class = s.filled("econ_bld_class")
@@ -213,8 +213,8 @@ def improvements(s: Source, legacy_truthy: bool = False) -> Column:
             F.coalesce(s.filled("bld_ar"), F.lit("0")),
             F.lit(" sq ft"),
         ),
-        year,
-        area,
+        year_built=year,
+        square_footage=area,
     )
     extra, farm = s.whole("x_features_val"), s.whole("ag_val")
     return F.array_compact(
@@ -238,8 +238,8 @@ def land_details(s: Source) -> Column:
     """The land row and, where an economic area is given, a row for it."""
     area_code, hood = s.filled("market_area_1"), s.filled("neighborhood_code")
     economic = s.filled("econ_area")
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-    land = struct_of(
+    land = section(
+        "land_details",
         land_id=F.concat(F.col(KEY), F.lit("_LAND")),
         land_type=F.lit("LAND"),
         land_description=text.join_present(" ", *[s.raw(f"lgl_{i}") for i in range(1, 5)]),
@@ -251,21 +251,15 @@ def land_details(s: Source) -> Column:
         market_area_description=F.when(area_code.isNotNull(), s.filled("market_area_1_dscr")),
         neighborhood_code=hood,
         neighborhood_group=F.when(hood.isNotNull(), s.filled("neighborhood_grp")),
-        economic_area=no_text,
-        center_code=no_text,
     )
-    zone = struct_of(
+    zone = section(
+        "land_details",
         land_id=F.concat(F.col(KEY), F.lit("_ECON")),
         land_type=F.lit("ECONOMIC_AREA"),
         land_description=F.concat(F.lit("Economic Area: "), economic),
         land_class=F.lit("Economic"),
         land_area=F.lit(0.0),
-        land_value=F.lit(0).cast("decimal(18,2)"),
-        acreage=no_number,
-        market_area=no_text,
-        market_area_description=no_text,
-        neighborhood_code=no_text,
-        neighborhood_group=no_text,
+        land_value=F.lit(0),
         economic_area=economic,
         center_code=s.filled("center_code"),
     )
@@ -278,7 +272,8 @@ def base_record(s: Source) -> dict[str, Column]:
     return {
         "county": F.lit(COUNTY),
         "year": s.raw("yr").try_cast("int"),
-        "property_address": struct_of(
+        "property_address": section(
+            "property_address",
             street_number=s.raw("str_num"),
             street_prefix=s.raw("str_pfx"),
             street_name=s.raw("str"),
@@ -290,7 +285,8 @@ def base_record(s: Source) -> dict[str, Column]:
             city=s.raw("site_addr_2"),
             zip_code=s.raw("site_addr_3"),
         ),
-        "mailing_address": struct_of(
+        "mailing_address": section(
+            "mailing_address",
             name=s.raw("mailto"),
             address_line_1=s.raw("mail_addr_1"),
             address_line_2=s.raw("mail_addr_2"),
@@ -299,7 +295,8 @@ def base_record(s: Source) -> dict[str, Column]:
             zip_code=s.raw("mail_zip"),
             country=s.raw("mail_country"),
         ),
-        "property_details": struct_of(
+        "property_details": section(
+            "property_details",
             year_improved=s.filled("yr_impr").try_cast("int"),
             year_annexed=s.filled("yr_annexed").try_cast("int"),
             building_area=s.money("bld_ar").cast("bigint"),
@@ -317,7 +314,8 @@ def base_record(s: Source) -> dict[str, Column]:
             neighborhood_code=s.raw("neighborhood_code"),
             neighborhood_group=s.raw("neighborhood_grp"),
         ),
-        "valuation": struct_of(
+        "valuation": section(
+            "valuation",
             land_value=s.money("land_val"),
             building_value=s.money("bld_val"),
             extra_features_value=s.money("x_features_val"),
@@ -342,7 +340,8 @@ def base_record(s: Source) -> dict[str, Column]:
                 total_market_change=value_change(s.raw("tot_mkt_val"), s.raw("prior_tot_mkt_val")),
             ),
         ),
-        "legal_status": struct_of(
+        "legal_status": section(
+            "legal_status",
             value_status=s.raw("value_status"),
             noticed=text.is_yes(F.upper(s.raw("noticed"))),
             notice_date=s.raw("notice_dt"),

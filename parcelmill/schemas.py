@@ -1,8 +1,10 @@
-"""Schema of the unified property record and the cast of a partial record to it."""
+"""Schema of the unified property record and the means to build records in that shape."""
+
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 # Field names and types of the unified record.
 PROPERTY_DDL = """
@@ -87,38 +89,52 @@ metadata struct<batch_id string, data_source string, record_type string, version
     counts struct<entities bigint, improvements bigint, land bigint, agents bigint>>
 """
 
-PROPERTY: StructType = StructType.fromDDL(PROPERTY_DDL)
 
+@cache
+def property_schema() -> StructType:
+    """The unified record as a StructType; needs a running session to parse the text."""
+    return StructType.fromDDL(PROPERTY_DDL)
+
+
+def _filled(fields: StructType, parts: dict[str, Column]) -> Column:
+    unknown = set(parts) - set(fields.names)
+    if unknown:
+        raise ValueError(f"not in the schema: {sorted(unknown)}")
+    out = []
+    for field in fields:
+        c = parts.get(field.name)
+        nested = isinstance(field.dataType, (StructType, ArrayType))
+        if c is None or not nested:
+            c = F.lit(None).cast(field.dataType) if c is None else c.cast(field.dataType)
+        out.append(c.alias(field.name))
+    return F.struct(*out)
+
+
+def section(name: str, /, **parts: Column) -> Column:
+    """The struct section `name` in its full shape; parts that are not given are null."""
+    kind = property_schema()[name].dataType
+    return _filled(kind.elementType if isinstance(kind, ArrayType) else kind, parts)
 
-def _conform(c: Column, have: DataType, want: DataType) -> Column:
-    if isinstance(want, StructType) and isinstance(have, StructType):
-        present = {f.name: f.dataType for f in have}
-        parts = [
-            (
-                _conform(c.getField(f.name), present[f.name], f.dataType)
-                if f.name in present
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in want
-        ]
-        return F.when(c.isNotNull(), F.struct(*parts))
-    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
-        if have.elementType == want.elementType:
-            return c
-        return F.transform(c, lambda x: _conform(x, have.elementType, want.elementType))
-    return c if have == want else c.try_cast(want)
 
+def conform(df: DataFrame) -> DataFrame:
+    """`df` with exactly the columns of the unified record.
 
-def conform(df: DataFrame, schema: StructType = PROPERTY) -> DataFrame:
-    """`df` with exactly the columns of `schema`; missing scalars are null, missing arrays empty."""
+    Sections must already have their full shape (see `section`); absent ones become null, absent
+    arrays empty.
+    """
     have = {f.name: f.dataType for f in df.schema}
     out = []
-    for field in schema:
-        if field.name in have:
-            c = _conform(F.col(field.name), have[field.name], field.dataType)
+    for field in property_schema():
+        want = field.dataType
+        if field.name not in have:
+            c = F.lit(None).cast(want)
+        elif have[field.name].simpleString() == want.simpleString():
+            c = F.col(field.name)
+        elif isinstance(want, (StructType, ArrayType)):
+            raise ValueError(f"section {field.name} is {have[field.name].simpleString()}")
         else:
-            c = F.lit(None).cast(field.dataType)
-        if isinstance(field.dataType, ArrayType):
-            c = F.coalesce(c, F.array().cast(field.dataType))
+            c = F.col(field.name).cast(want)
+        if isinstance(want, ArrayType):
+            c = F.coalesce(c, F.array().cast(want))
         out.append(c.alias(field.name))
     return df.select(*out)

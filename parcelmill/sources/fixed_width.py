@@ -143,33 +143,42 @@ SUBDIVISION = _layout(
 SIDE_LAYOUTS = (IMPROVEMENT, LAND, AGENT, SUBDIVISION)
 
 
-def raw_field(line: Column, field: Field) -> Column:
-    """Trimmed text of a field; null when the line is too short, blank or all zeros."""
+def cut_field(line: Column, field: Field) -> Column:
+    """Trimmed text of a field; null when the line ends before the field does."""
     value = strip(line.substr(field.start + 1, field.end - field.start))
-    return F.when((F.length(line) >= field.end) & ~value.rlike("^0*$"), value)
+    return F.when(F.length(line) >= field.end, value)
 
 
-def typed_field(line: Column, field: Field) -> Column:
-    raw = raw_field(line, field)
-    whole = F.coalesce(F.when(raw.rlike(r"^\d+$"), raw).try_cast("decimal(38,0)"), F.lit(0))
-    number = F.coalesce(F.when(raw.rlike(r"^\d*\.?\d*$"), raw).try_cast("double"), F.lit(0.0))
-    typed = {
-        "text": raw,
-        "whole": whole.try_cast("bigint"),
-        "money": (whole / F.lit(BILLIONTHS)).try_cast("decimal(18,2)"),
-        "rate": number / F.lit(float(BILLIONTHS)),
-        "hundredths": number / F.lit(100.0),
-        "date": date_text(raw),
-    }[field.kind]
-    return F.when(raw.isNotNull(), typed).alias(field.name)
+def _all_zero(value: Column) -> Column:
+    """True for blank and for zeros only: both mean that the field is not filled."""
+    return F.ltrim(value, F.lit("0")) == ""
+
+
+def _typed(value: Column, field: Field) -> Column:
+    digits = min(field.end - field.start, 38)
+    if field.kind in ("whole", "money"):
+        whole = F.when(value.rlike(r"^\d+$"), value).try_cast(f"decimal({digits},0)")
+        whole = F.coalesce(whole, F.lit(0))
+        if field.kind == "whole":
+            return whole.try_cast("bigint")
+        return (whole / F.lit(BILLIONTHS)).try_cast("decimal(18,2)")
+    if field.kind in ("rate", "hundredths"):
+        number = F.when(value.rlike(r"^\d*\.?\d*$"), value).try_cast("double")
+        scale = float(BILLIONTHS) if field.kind == "rate" else 100.0
+        return F.coalesce(number, F.lit(0.0)) / F.lit(scale)
+    return date_text(value) if field.kind == "date" else value
+
+
+def _key_field(layout: Layout) -> Field:
+    return next(f for f in layout.fields if f.name == layout.key)
 
 
 def line_status(layout: Layout, line: str = "value") -> Column:
     """`ok`, `short` (line below the minimum) or `no_key` (key field blank)."""
-    key = next(f for f in layout.fields if f.name == layout.key)
+    key = cut_field(F.col(line), _key_field(layout))
     return (
         F.when(F.length(line) < SHORTEST_LINE, "short")
-        .when(raw_field(F.col(line), key).isNull(), "no_key")
+        .when(key.isNull() | _all_zero(key), "no_key")
         .otherwise("ok")
     )
 
@@ -181,6 +190,22 @@ def project_fields(
     line: str = "value",
     usable_only: bool = True,
 ) -> DataFrame:
-    """Typed columns of all usable lines, or of every line."""
+    """Typed columns of all usable lines, or of every line.
+
+    Cutting, null rule and typing are separate projections: each text is cut once and the generated
+    code stays small.
+    """
+    keep = keep or []
     usable = df.filter(line_status(layout, line) == "ok") if usable_only else df
-    return usable.select(*(keep or []), *[typed_field(F.col(line), f) for f in layout.fields])
+    cut = usable.select(*keep, *[cut_field(F.col(line), f).alias(f.name) for f in layout.fields])
+    filled = cut.select(
+        *keep,
+        *[F.when(~_all_zero(F.col(f.name)), F.col(f.name)).alias(f.name) for f in layout.fields],
+    )
+    typed = [
+        F.when(F.col(f.name).isNotNull(), _typed(F.col(f.name), f)).alias(f.name)
+        if f.kind != "text"
+        else F.col(f.name)
+        for f in layout.fields
+    ]
+    return filled.select(*keep, *typed)
