@@ -1,6 +1,6 @@
 """All named queries."""
 
-from parcelmill.catalog import relational, scalars  # noqa: F401
+from parcelmill.catalog import nested, relational, scalars  # noqa: F401
 from parcelmill.catalog.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
