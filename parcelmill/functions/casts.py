@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from parcelmill.functions.text import strip
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INT64_LIMIT = 9.2e18
 
 
 def plain_number_text(c: Column) -> Column:
@@ -19,11 +18,14 @@ def safe_double(c: Column) -> Column:
     return F.coalesce(plain_number_text(c).try_cast("double"), F.lit(0.0))
 
 
+def _without_commas(c: Column) -> Column:
+    return F.replace(c, F.lit(","), F.lit(""))
+
+
 def safe_long(c: Column) -> Column:
     """Whole part of the number, toward zero; 0 where it is missing, bad or too large."""
-    number = safe_double(c)
-    whole = F.when(F.abs(number) < _INT64_LIMIT, number).otherwise(F.lit(0.0))
-    return whole.cast("bigint")
+    number = _without_commas(c).try_cast("decimal(38,10)")
+    return F.coalesce(number.try_cast("bigint"), F.lit(0))
 
 
 def safe_int(c: Column) -> Column:
@@ -32,8 +34,11 @@ def safe_int(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """Decimal amount or null; commas and blanks are allowed."""
-    return plain_number_text(c).try_cast("decimal(18,2)")
+    return _without_commas(c).try_cast("decimal(18,2)")
 
 
 def number_or_null(c: Column, sql_type: str) -> Column:
-    return plain_number_text(c).try_cast(sql_type)
+    """The number in `sql_type`, or null."""
+    if sql_type == "double":  # a plain cast would accept `1d` and `NaN`
+        return plain_number_text(c).try_cast(sql_type)
+    return _without_commas(c).try_cast(sql_type)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parcelmill.functions.casts import plain_number_text
+from parcelmill.functions.casts import money
 from parcelmill.functions.text import strip
 
 VALUE_LIMIT = 100_000_000
@@ -40,7 +40,7 @@ def value_change(current: Column, prior: Column) -> Column:
 
     def amount(c: Column) -> Column:
         blank = F.coalesce(strip(c), F.lit("")) == ""
-        return F.when(blank, F.lit(0)).otherwise(plain_number_text(c).try_cast("decimal(18,2)"))
+        return F.when(blank, F.lit(0)).otherwise(money(c))
 
     now, before = amount(current).cast("decimal(18,2)"), amount(prior).cast("decimal(18,2)")
     known = now.isNotNull() & before.isNotNull()
