@@ -55,7 +55,7 @@ class Part(Source):
 
     def raw(self, name: str) -> Column:
         if self.has(name):
-            return F.col(self._name).getField(name)
+            return F.col(f"{self._name}.{name}")
         return F.lit(None).cast("string")
 
     def when_there(self, c: Column) -> Column:

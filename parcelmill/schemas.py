@@ -2,9 +2,10 @@
 
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 # Field names and types of the unified record.
 PROPERTY_DDL = """
@@ -96,6 +97,17 @@ def property_schema() -> StructType:
     return StructType.fromDDL(PROPERTY_DDL)
 
 
+_NULLS: dict[tuple, Column] = {}
+
+
+def _typed_null(name: str, kind: DataType) -> Column:
+    """Named null of a type, made once per context: records have many absent fields."""
+    key = (id(SparkContext._active_spark_context), name, kind.simpleString())
+    if key not in _NULLS:
+        _NULLS[key] = F.lit(None).cast(kind).alias(name)
+    return _NULLS[key]
+
+
 def _filled(fields: StructType, parts: dict[str, Column]) -> Column:
     unknown = set(parts) - set(fields.names)
     if unknown:
@@ -103,10 +115,11 @@ def _filled(fields: StructType, parts: dict[str, Column]) -> Column:
     out = []
     for field in fields:
         c = parts.get(field.name)
+        if c is None:
+            out.append(_typed_null(field.name, field.dataType))
+            continue
         nested = isinstance(field.dataType, (StructType, ArrayType))
-        if c is None or not nested:
-            c = F.lit(None).cast(field.dataType) if c is None else c.cast(field.dataType)
-        out.append(c.alias(field.name))
+        out.append((c if nested else c.cast(field.dataType)).alias(field.name))
     return F.struct(*out)
 
 
@@ -127,7 +140,7 @@ def conform(df: DataFrame) -> DataFrame:
     for field in property_schema():
         want = field.dataType
         if field.name not in have:
-            c = F.lit(None).cast(want)
+            c = _typed_null(field.name, want)
         elif have[field.name].simpleString() == want.simpleString():
             c = F.col(field.name)
         elif isinstance(want, (StructType, ArrayType)):

@@ -12,6 +12,7 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName("parcelmill")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
