@@ -197,7 +197,7 @@ def read_json_records(
     An array file is one JSON value and so is read by one task; large data belongs in JSON lines.
     """
     if array_file:
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
         parsed = files.select("value", F.from_json("value", ArrayType(schema)).alias("r"))
         records = parsed.select(F.explode("r").alias("r")).select("r.*")
         return records, parsed.filter("r IS NULL").select(F.col("value").alias("_corrupt"))
