@@ -397,7 +397,7 @@ def k2(src: Inputs):
     return back.select(
         F.lit("record").alias("kind"),
         F.col("account_id").alias("id"),
-        F.size("owners").cast("bigint").alias("n"),
+        F.col("child_counts.owners").alias("n"),
     ).unionByName(
         manifest.select(
             F.lit("manifest").alias("kind"),

@@ -160,18 +160,12 @@ def n2(src: Inputs):
 @query(
     "n3_harris_deeds",
     "fx_deeds",
-    """SELECT lpad(acct, 13, '0') AS account_id, dos AS date_of_sale, clerk_yr AS clerk_year, clerk_id, deed_id,
-    row_number() OVER (PARTITION BY acct ORDER BY strptime(dos, '%m/%d/%Y'), deed_id) AS pos FROM fx_deeds""",
+    """SELECT lpad(acct, 13, '0') AS account_id, dos AS date_of_sale, clerk_yr AS clerk_year, clerk_id, deed_id
+    FROM fx_deeds""",
 )
 def n3(src: Inputs):
-    nested = harris.nest_deeds(src.view("fx_deeds"))
-    return nested.arrays.select("account_id", F.posexplode("items").alias("i", "d")).select(
-        "account_id",
-        "d.date_of_sale",
-        "d.clerk_year",
-        "d.clerk_id",
-        "d.deed_id",
-        (F.col("i") + 1).alias("pos"),
+    return harris.nest_deeds(src.view("fx_deeds")).flat().select(
+        "account_id", "date_of_sale", "clerk_year", "clerk_id", "deed_id"
     )
 
 
@@ -200,17 +194,14 @@ def n4(src: Inputs):
     related_acct AS related_account_id, pct AS percentage FROM fx_tieback""",
 )
 def n5(src: Inputs):
-    nested = harris.nest_relations(
-        src.view("fx_tieback")
-    )
-    both = nested.arrays.unionByName(nested.pages.drop("page_no"))
-    return both.select("account_id", F.explode("items").alias("r")).select(
+    relations = harris.nest_relations(src.view("fx_tieback")).flat()
+    return relations.select(
         "account_id",
-        F.col("r.account_id").alias("source_account"),
-        "r.type",
-        "r.description",
-        "r.related_account_id",
-        "r.percentage",
+        "source_account",
+        "type",
+        "description",
+        "related_account_id",
+        "percentage",
     )
 
 
@@ -614,10 +605,10 @@ def j6(src: Inputs):
     first = F.lit(1)
     return harris.unified_records(harris_files(src)).select(
         "account_id",
-        F.size("owners").alias("owners"),
-        F.size("deeds").alias("deeds"),
-        F.size("permits").alias("permits"),
-        F.size("parcel_relationships").alias("relations"),
+        "child_counts.owners",
+        "child_counts.deeds",
+        "child_counts.permits",
+        F.col("child_counts.parcel_relationships").alias("relations"),
         F.try_element_at("owners", first).getField("line_number").alias("first_line"),
         F.try_element_at("permits", first).getField("year").alias("first_year"),
         F.col("mineral_rights.dor_code").alias("mineral_code"),
@@ -650,7 +641,7 @@ def u1(src: Inputs):
 )
 def u2(src: Inputs):
     return gold_records(src).select(
-        "county", "account_id", "valuation.market_value", F.size("owners").cast("bigint").alias("owners")
+        "county", "account_id", "valuation.market_value", "child_counts.owners"
     )
 
 
@@ -679,7 +670,7 @@ def flagship(src: Inputs):
         F.min(usable).alias("min_value"),
         F.max(usable).alias("max_value"),
         F.sum("valuation.land_value").alias("land_value"),
-        F.sum(F.size("owners")).alias("owners"),
+        F.sum("child_counts.owners").alias("owners"),
     )
 
 

@@ -194,7 +194,7 @@ def a17(src: Inputs):
         ),
         quality.Dimension("city", F.coalesce("property_address.city", unknown)),
         quality.Dimension("zip_code", F.coalesce("property_address.zip_code", unknown)),
-        quality.Dimension("improvements", F.size("improvements")),
+        quality.Dimension("improvements", F.col("child_counts.improvements")),
     ]
     return rounded(quality.county_distributions(stored_gold(src), dims), "percent")
 

@@ -99,8 +99,14 @@ def with_owners(records: DataFrame, owners: DataFrame | None, page_rows: int) ->
         percentage=share_left.try_cast("decimal(9,4)"),
     )
     first = F.array_compact(F.array(F.when(F.col("_primary_name") != "", primary)))
-    combined = first if owners is None else F.concat(first, F.col("_additional"))
-    return records.withColumn("owners", combined).drop("_additional", "additional_pct")
+    if owners is None:
+        return records.withColumn("owners", first)
+    return records.withColumns(
+        {
+            "owners": F.concat(first, F.col("_additional")),
+            "owners_count": F.size(first) + F.col("_additional_count"),
+        }
+    ).drop("_additional", "_additional_count", "additional_pct")
 
 
 def tax_entities(a: Part) -> Column:

@@ -199,9 +199,9 @@ def children(files: TravisFiles, page_rows: int = PAGE_ROWS) -> dict[str, Nested
 def with_counts(records: DataFrame, n_agents: Column) -> DataFrame:
     """Number of entities, improvements, land rows and known agents per record."""
     counts = struct_of(
-        entities=F.size("tax_entities").cast("bigint"),
-        improvements=F.size("improvements").cast("bigint"),
-        land=F.size("land_details").cast("bigint"),
+        entities=F.col("child_counts.tax_entities"),
+        improvements=F.col("child_counts.improvements"),
+        land=F.col("child_counts.land_details"),
         agents=n_agents,
     )
     metadata = section(

@@ -85,6 +85,8 @@ subdivision struct<subdivision_id string, subdivision_name string, subdivision_t
     city string, county string>,
 parcel_relationships array<struct<account_id string, type string, description string,
     related_account_id string, percentage string>>,
+child_counts struct<owners bigint, deeds bigint, permits bigint, tax_entities bigint,
+    improvements bigint, land_details bigint, parcel_relationships bigint>,
 metadata struct<batch_id string, data_source string, record_type string, version string,
     ingestion_type string, created_at timestamp, updated_at timestamp, source_files array<string>,
     counts struct<entities bigint, improvements bigint, land bigint, agents bigint>>
@@ -133,11 +135,15 @@ def conform(df: DataFrame) -> DataFrame:
     """`df` with exactly the columns of the unified record.
 
     Sections must already have their full shape (see `section`); absent ones become null, absent
-    arrays empty.
+    arrays empty. `child_counts` takes the `<array>_count` columns where they exist, else the array
+    sizes.
     """
     have = {f.name: f.dataType for f in df.schema}
     out = []
     for field in property_schema():
+        if field.name == "child_counts" and field.name not in have:
+            out.append(_child_counts(field.dataType, have).alias(field.name))
+            continue
         want = field.dataType
         if field.name not in have:
             c = _typed_null(field.name, want)
@@ -151,3 +157,14 @@ def conform(df: DataFrame) -> DataFrame:
             c = F.coalesce(c, F.array().cast(want))
         out.append(c.alias(field.name))
     return df.select(*out)
+
+
+def _child_counts(kind: StructType, have: dict[str, DataType]) -> Column:
+    counts = []
+    for family in kind.names:
+        if f"{family}_count" in have:
+            c = F.col(f"{family}_count")
+        else:
+            c = F.size(family) if family in have else F.lit(0)
+        counts.append(c.cast("bigint").alias(family))
+    return F.struct(*counts)

@@ -15,6 +15,8 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # split a skewed join even where that costs a later shuffle
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # text searching is heavy per byte: do not merge small shuffles into a few tasks
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )

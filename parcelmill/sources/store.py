@@ -122,17 +122,11 @@ def _merge(
         merged = _replace(old.select(*columns), fresh, columns)
     version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     target = f"{root}/data/version={version}"
-    merged.repartition("bucket", "county", _spread(columns)).write.partitionBy(
-        "bucket", "county"
-    ).parquet(target)
+    # rebalancing splits large folders over several tasks and merges small ones
+    merged.hint("rebalance", "bucket", "county").write.partitionBy("bucket", "county").parquet(target)
     return _commit(spark, root, target, version, batch_id, total, buckets, reload_county)
 
 
-def _spread(columns: list[str]) -> Column:
-    """Up to eight files per folder, so that no folder is written by a single task."""
-    return F.pmod(F.hash("account_id"), F.lit(8))
-
-
 def _replace(old: DataFrame, fresh: DataFrame, columns: list[str]) -> DataFrame:
     """Fresh records in place of old ones of the same account, in one join."""
     a = old.select(F.col("account_id").alias("_id"), F.struct(*columns).alias("_old"))

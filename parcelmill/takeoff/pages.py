@@ -8,6 +8,7 @@ from parcelmill.operators.keyed import carry_forward, top_per_key
 from parcelmill.takeoff.rules import FLOOR_NAME, FLOOR_NUMBER, PAGE_TERMS, PAGE_TERMS_LONG
 
 SMALLEST_HEADING = 100
+PAGES_PER_SPAN = 20_000
 
 
 def _share(c: Column, removed: str) -> Column:
@@ -62,7 +63,9 @@ def with_running_floor(pages: DataFrame) -> DataFrame:
         F.min_by("_mention", F.when(F.col("_mention").isNotNull(), F.col("page_no"))).alias("_first"),
         F.min(F.when(F.col("_mention").isNotNull(), F.col("page_no"))).alias("_first_page"),
     )
-    carried = carry_forward(marked, ["plan_id"], "page_no", "_heading", "_last")
+    carried = carry_forward(
+        marked, ["plan_id"], "page_no", "_heading", "_last", span=PAGES_PER_SPAN
+    )
     earlier = F.when(F.col("_first_page") < F.col("page_no"), F.col("_first"))
     name = F.coalesce("_last", earlier)
     floor = F.coalesce(F.concat(F.lower(name), F.lit("_floor")), F.lit("unknown"))

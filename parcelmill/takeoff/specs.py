@@ -102,14 +102,5 @@ def _pipe_size_ok() -> Column:
 
 
 def plan_facts(pages: DataFrame) -> DataFrame:
-    """All specifications in long form, numbered within a field in value order."""
-    first = first_match_specs(pages).withColumn("seq", F.lit(1))
-    every = all_match_specs(pages)
-    # distinct values of one field and plan: their number is bounded by the written sizes
-    listed = every.groupBy("plan_id", "family", "field").agg(
-        F.array_sort(F.collect_set("value")).alias("values")
-    )
-    numbered = listed.select(
-        "plan_id", "family", "field", F.posexplode("values").alias("seq", "value")
-    ).withColumn("seq", F.col("seq") + 1)
-    return first.unionByName(numbered)
+    """All specifications in long form: one row per first-match field, one per distinct other match."""
+    return first_match_specs(pages).unionByName(all_match_specs(pages))

@@ -44,19 +44,22 @@ def test_top_per_key_limits_before_the_shuffle(spark, frame):
     assert "WindowGroupLimit" in plan
 
 
-def test_nesting_pages_hold_the_large_keys(frame):
-    rows = [("hot", i) for i in range(100)] + [("a", 2), ("a", 1)]
+@pytest.mark.parametrize("listed_keys", [100, 0])
+def test_nesting_pages_hold_the_large_keys(frame, listed_keys):
+    rows = [("hot", i) for i in range(100)] + [("a", 2), ("a", 1), ("b", 7)]
     df = frame(rows, "k string, v int")
     nested = nesting.nest_children(
-        df, "k", [F.col("v")], F.struct(F.col("v")), page_rows=10
+        df, "k", [F.col("v")], F.struct(F.col("v")), page_rows=10, listed_keys=listed_keys
     )
-    assert [[x.v for x in r["items"]] for r in nested.arrays.collect()] == [[1, 2]]
+    arrays = {r.k: [x.v for x in r["items"]] for r in nested.arrays.collect()}
+    assert arrays == {"a": [1, 2], "b": [7], "hot": list(range(10))}
     pages = nested.pages.collect()
     assert {r.k for r in pages} == {"hot"} and len(pages) > 5
     assert max(len(r["items"]) for r in pages) < 40
     assert sorted(map(tuple, nested.flat().collect())) == sorted(rows)
-    counts = {r.k: r.n for r in nested.counts.collect()}
-    assert counts == {"hot": 100, "a": 2}
+    parents = frame([("hot",), ("a",), ("none",)], "k string")
+    got = {r.k: (len(r.kids), r.kids_count) for r in nesting.attach(parents, nested, "kids").collect()}
+    assert got == {"hot": (10, 100), "a": (2, 2), "none": (0, 0)}
 
 
 def test_fan_out_left_join(frame):
