@@ -1,7 +1,8 @@
 """The property store: Parquet snapshots by version, upserted by account id.
 
 Layout: `data/version=V/bucket=B/county=C/*.parquet` plus a small `commits` table that names the
-current version of each bucket. An upsert rewrites only the buckets its accounts fall into, into a new
+current version of each bucket, and `staging/` with the batches as they came (removable once
+committed). An upsert rewrites only the buckets its accounts fall into, into a new
 version folder, and becomes visible when its commit rows are written; a failed write leaves the former
 snapshot in place. One writer at a time is assumed.
 """
@@ -15,8 +16,8 @@ from parcelmill.sources.runlog import log_event
 
 BUCKETS = 64
 COMMIT_DDL = (
-    "version int, batch_id string, bucket int, total_count bigint, inserted_count bigint, "
-    "replaced_count bigint, duplicate_count bigint"
+    "version int, batch_id string, bucket int, bucket_rows bigint, total_count bigint, "
+    "inserted_count bigint, replaced_count bigint, duplicate_count bigint"
 )
 VERSION_TAG = "1.0"
 INGESTION_TYPE = "normalized_bulk"
@@ -61,14 +62,21 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_store(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current snapshot, or None before the first commit."""
-    log = commits(spark, root)
-    if log.isEmpty():
+    """The current snapshot, or None while it is empty.
+
+    The current folders are named by the commits: one per bucket, so the list on the driver is as long
+    as the number of buckets and superseded versions are not scanned.
+    """
+    latest = F.max_by("bucket_rows", "version").alias("rows")
+    current = commits(spark, root).groupBy("bucket").agg(F.max("version").alias("version"), latest)
+    folders = [
+        f"{root}/data/version={r['version']}/bucket={r['bucket']}"
+        for r in current.filter("rows > 0").collect()
+    ]
+    if not folders:
         return None
-    current = log.groupBy("bucket").agg(F.max("version").alias("version"))
-    data = spark.read.parquet(f"{root}/data")
-    # one row per bucket on the right, matched on partition columns: unread folders are pruned
-    return data.join(current, ["bucket", "version"], "left_semi").drop("bucket", "version")
+    data = spark.read.option("basePath", f"{root}/data").parquet(*folders)
+    return data.drop("bucket", "version")
 
 
 def upsert(
@@ -90,10 +98,15 @@ def upsert(
     done = commits(spark, root).filter(F.col("batch_id") == batch_id).limit(1).collect()
     if done:
         return _result(batch_id, done[0])
-    total = batch.count()
-    log_event(spark, root, batch_id, "started", run_time, total, source_files=source_files)
+    total = 0
     try:
-        counts = _merge(spark, root, batch, batch_id, run_time, position, source_files, buckets,
+        # the batch is built once; counting, deduplication and merge read the staged copy
+        staged_path = f"{root}/staging/{batch_id}"
+        batch.write.mode("overwrite").parquet(staged_path)
+        staged = spark.read.schema(batch.schema).parquet(staged_path)
+        total = staged.count()
+        log_event(spark, root, batch_id, "started", run_time, total, source_files=source_files)
+        counts = _merge(spark, root, staged, batch_id, run_time, position, source_files, buckets,
                         reload_county, total)
     except Exception as error:
         log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error)[:1000])
@@ -153,13 +166,15 @@ def _commit(spark, root, target, version, batch_id, total, buckets, reload_count
     ).first()
     inserted, replaced = sums["inserted"], sums["replaced"]
     duplicates = total - inserted - replaced
-    touched = written.select("bucket").distinct()
-    if reload_county is not None:
-        touched = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    touched = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_rows"))
+    if reload_county is not None:  # a bucket may have lost all its records
+        every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+        touched = every.join(touched, "bucket", "left").fillna(0, ["bucket_rows"])
     touched.select(
         F.lit(version).alias("version"),
         F.lit(batch_id).alias("batch_id"),
         "bucket",
+        "bucket_rows",
         F.lit(total).cast("bigint").alias("total_count"),
         F.lit(inserted).cast("bigint").alias("inserted_count"),
         F.lit(replaced).cast("bigint").alias("replaced_count"),
