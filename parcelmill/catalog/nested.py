@@ -685,17 +685,14 @@ def flagship(src: Inputs):
     FROM fx_dallas_account a LEFT JOIN r ON lpad(replace(a.account_num, '-', ''), 17, '0') = r.id GROUP BY 1""",
 )
 def a10(src: Inputs):
-    records = dallas.unified_records(dallas_files(src)).select(
+    # only the residential file is needed, so the other files are not joined
+    files = dallas_files(src)
+    homes = dallas.DallasFiles(files.accounts, residential=files.residential)
+    records = dallas.unified_records(homes).select(
         F.col("property_details.division_code").alias("division_code"),
         F.col("property_details.year_built").alias("year_built"),
     )
-    shares = summary.distribution(records, ["division_code"])
-    years = records.groupBy("division_code").agg(
-        F.avg(F.when(F.col("year_built") > 0, F.col("year_built"))).alias("average_year")
-    )
-    return shares.join(years, "division_code").select(
-        "division_code",
-        "count",
-        F.round("percent", 6).alias("percent"),
-        F.round("average_year", 6).alias("average_year"),
+    year = F.avg(F.when(F.col("year_built") > 0, F.col("year_built"))).alias("average_year")
+    return summary.distribution(records, ["division_code"], year).withColumns(
+        {"percent": F.round("percent", 6), "average_year": F.round("average_year", 6)}
     )

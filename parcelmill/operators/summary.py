@@ -58,10 +58,13 @@ def accounts_with_many(owners: DataFrame, key: str) -> DataFrame:
     return owners.groupBy(key).agg(F.count(F.lit(1)).alias("owner_count")).filter("owner_count > 1")
 
 
-def distribution(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows and percent per group."""
-    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+def distribution(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """Rows and percent per group, with further aggregates where given.
+
+    The total is the sum of the group counts, so the input is read once and the shuffle is reused.
+    """
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"), *more)
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percent", share_of(F.col("count"), total))
 
 
