@@ -176,6 +176,7 @@ FIRST_MATCH = {
             r"FLAT\s+ROOF|FLAT",
         ],
         "roof_pitch": [
+            rf"ROOF\s+PITCH[:\s]*({LENGTH})",
             rf"PITCH[:\s]*({LENGTH})",
             rf"({LENGTH})\s*PITCH",
             r"(\d+:\d+)\s*PITCH",

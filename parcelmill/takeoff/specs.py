@@ -82,6 +82,10 @@ def all_match_specs(pages: DataFrame, families: list[str] | None = None) -> Data
             ]
             cells.append(_labelled(family, field, F.array_distinct(F.concat(*lists))))
     rows = pages.select("plan_id", F.inline(F.concat(*cells)))
+    spaced = F.regexp_replace("value", r"\s*[Xx]\s*", " x ")
+    rows = rows.withColumn(
+        "value", F.when(F.col("field") == "duct_size", spaced).otherwise(F.col("value"))
+    )
     return rows.filter((F.col("field") != "pipe_size") | _pipe_size_ok()).distinct()
 
 

@@ -298,6 +298,14 @@ def test_specs_rules(frame):
     assert specs.plan_facts(pages).filter("field = 'flooring_type'").count() == 2
 
 
+def test_specs_prefer_the_roof_pitch_and_space_duct_sizes(frame):
+    pages = _pages(frame, "PITCH 4'-12 ROOF PITCH: 6'-12 DUCT 12x8 DUCT")
+    first = {r.field: r.value for r in specs.first_match_specs(pages).collect()}
+    assert first["roof_pitch"] == "6'-12"
+    every = {(r.field, r.value) for r in specs.all_match_specs(pages).collect()}
+    assert ("duct_size", "12 x 8") in every
+
+
 def test_half_bath_needs_marks_for_a_second(frame):
     pages = _pages(frame, "BATH 1 22 BATH 2 33 BATH 3 70 " + "HALF " * 6)
     found = rooms.rooms(pages)
