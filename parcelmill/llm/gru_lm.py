@@ -9,6 +9,7 @@ scoring, documents run through the network side by side, each whole: its state i
 """
 
 import heapq
+import io
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -43,15 +44,12 @@ def tokens(text: str | None) -> list[bytes]:
 # --- counts of all words, and sums of each document -------------------------------------------------
 
 
-_CHUNK = "chunk long, word binary, train long, docs array<int>, ns array<int>, doc_keys array<long>, text_keys array<long>"
-_CHUNK_SCHEMA = pa.schema(
-    [("chunk", pa.int64()), ("word", pa.binary()), ("train", pa.int64()), ("docs", pa.list_(pa.int32())), ("ns", pa.list_(pa.int32())),
-     ("doc_keys", pa.list_(pa.int64())), ("text_keys", pa.list_(pa.int64()))]
-)
+_CHUNK = "chunk long, word binary, place int, train long, postings binary"
+_CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("word", pa.binary()), ("place", pa.int32()), ("train", pa.int64()), ("postings", pa.binary())])
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in chunks: one row per word of a chunk with the documents that hold it, and a row of keys."""
+    """Documents in chunks of bounded size: a row for each word of a chunk, and one with the chunk's postings."""
     docs: list[tuple] = []
     size = 0
     for batch in batches:
@@ -68,51 +66,47 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chunk(docs: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Words by their place in the chunk; the postings are each document's places and how often they occur."""
     chunk = uuid.uuid4().int >> 65
-    held: dict[bytes, tuple[list[int], list[int]]] = {}
-    train: Counter = Counter()
-    for place, (_, _, learned, counts) in enumerate(docs):
-        for word, n in counts.items():
-            entry = held.get(word)
-            if entry is None:
-                entry = held[word] = ([], [])
-            entry[0].append(place)
-            entry[1].append(n)
-            if learned:
-                train[word] += n
-    words = list(held)
+    places: dict[bytes, int] = {}
+    ids = np.array([places.setdefault(w, len(places)) for d in docs for w in d[3]], np.int32)
+    ns = np.array([n for d in docs for n in d[3].values()], np.int32)
+    sizes = np.array([len(d[3]) for d in docs], np.int32)
+    learned = np.repeat(np.array([d[2] for d in docs], bool), sizes)
+    train = np.bincount(ids, ns * learned, len(places)).astype(np.int64)
+    words = list(places)
     for at in range(0, len(words), 20_000):
         part = words[at : at + 20_000]
-        empty = [None] * len(part)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk] * len(part), pa.int64()), pa.array(part, pa.binary()), pa.array([train[w] for w in part], pa.int64()),
-             pa.array([held[w][0] for w in part], pa.list_(pa.int32())), pa.array([held[w][1] for w in part], pa.list_(pa.int32())),
-             pa.array(empty, pa.list_(pa.int64())), pa.array(empty, pa.list_(pa.int64()))],
+            [pa.array(np.full(len(part), chunk)), pa.array(part, pa.binary()), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
+             pa.array(train[at : at + len(part)]), pa.nulls(len(part), pa.binary())],
             schema=_CHUNK_SCHEMA,
         )
-    yield pa.RecordBatch.from_pylist(
-        [{"chunk": chunk, "word": None, "train": 0, "docs": None, "ns": None, "doc_keys": [d[0] for d in docs], "text_keys": [d[1] for d in docs]}],
-        schema=_CHUNK_SCHEMA,
-    )
+    packed = io.BytesIO()
+    np.savez_compressed(packed, ids=ids, ns=ns, sizes=sizes, keys=np.array([d[:2] for d in docs], np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((chunk, None, None, 0, packed.getvalue()), _CHUNK_SCHEMA.types, strict=True)], schema=_CHUNK_SCHEMA)
+
+
+_SUMS = "doc_key long, text_key long, base_score double, tail double, n_known long"
 
 
 def _sums(total: int, kinds: int, rest: int, rest_kinds: int):
-    """Per document of a chunk the sums over its tokens."""
-
-    def sums(rows: pa.Table) -> pa.Table:
-        keyed = rows.column("word").is_valid().to_numpy()
-        keys = rows.filter(pa.array(~keyed))
-        words = rows.filter(pa.array(keyed))
-        doc_keys, text_keys = (keys.column(c).combine_chunks().flatten().to_numpy() for c in ("doc_keys", "text_keys"))
-        docs, ns = (words.column(c).combine_chunks().flatten().to_numpy() for c in ("docs", "ns"))
-        size = words.column("docs").combine_chunks().value_lengths().to_numpy()
-        c = np.repeat(words.column("c").to_numpy(), size)
-        known = np.repeat(words.column("in_network").to_numpy(), size)
-        n = len(doc_keys)
-        base = np.bincount(docs, ns * (np.log10(c + 1.0) - np.log10(total + kinds + 1.0)), n)
-        tail = np.bincount(docs, np.where(known, 0, ns * (np.log10(c + 1.0) - np.log10(rest + rest_kinds + 1.0))), n)
-        seen = np.bincount(docs, ns * (c > 0), n).astype(np.int64)
-        return pa.table({"doc_key": doc_keys, "text_key": text_keys, "base_score": base, "tail": tail, "n_known": seen})
+    """Per document of a chunk the sums over its tokens, from the chunk's postings and its words' counts."""
+
+    def sums(postings: pa.Table, words: pa.Table) -> pa.Table:
+        with np.load(io.BytesIO(postings.column("postings")[0].as_py())) as packed:
+            ids, ns, sizes, keys = (packed[k] for k in ("ids", "ns", "sizes", "keys"))
+        place = words.column("place").to_numpy()
+        c, inside = np.zeros(len(place)), np.zeros(len(place), bool)
+        c[place], inside[place] = words.column("c").to_numpy(), words.column("in_network").to_numpy()
+        docs, n = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+        each = np.log10(c + 1)
+        base = each - np.log10(total + kinds + 1.0)
+        tail = np.where(inside, 0, each - np.log10(rest + rest_kinds + 1.0))
+        return pa.table(
+            {"doc_key": keys[:, 0], "text_key": keys[:, 1], "base_score": np.bincount(docs, ns * base[ids], n), "tail": np.bincount(docs, ns * tail[ids], n),
+             "n_known": np.bincount(docs, ns * (c > 0)[ids], n).astype(np.int64)}
+        )
 
     return sums
 
@@ -393,19 +387,19 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         (crc32_of(doc_id) % folds != held).alias("learned"),
     )
     chunks = written(rows.select("doc_key", "text_key", "text", "learned").mapInArrow(_chunk_rows, _CHUNK), "lm-chunks")
+    words, postings = chunks.filter("word is not null").select("word", "chunk", "place"), chunks.filter("word is null").select(F.col("chunk").alias("of"), "postings")
     counts = written(chunks.filter("train > 0").groupBy("word").agg(F.sum("train").alias("c")), "lm-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(VOCABULARY).collect()
     rest, rest_kinds = total - sum(r["c"] for r in top), kinds - len(top)
     # at most VOCABULARY words: bounded, so the broadcast is
     known = F.broadcast(spark.createDataFrame([(r["word"], True) for r in top], "word binary, in_network boolean"))
-    counted = counts.join(known, "word", "left")
-    sums = (
-        chunks.join(counted, "word", "left")
-        .select("chunk", "word", "docs", "ns", "doc_keys", "text_keys", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("in_network", F.lit(False)).alias("in_network"))
-        .groupBy("chunk").applyInArrow(_sums(total, kinds, rest, rest_kinds), "doc_key long, text_key long, base_score double, tail double, n_known long")
-        .groupBy("doc_key", "text_key").agg(F.max("base_score").alias("base_score"), F.max("tail").alias("tail"), F.max("n_known").alias("n_known"))
+    counted = (
+        words.join(counts.join(known, "word", "left"), "word", "left")
+        .select("chunk", "place", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("in_network", F.lit(False)).alias("in_network"))
     )
+    summed = postings.groupBy("of").cogroup(counted.groupBy("chunk")).applyInArrow(_sums(total, kinds, rest, rest_kinds), _SUMS)
+    sums = summed.groupBy("doc_key", "text_key").agg(*[F.max(k).alias(k) for k in ("base_score", "tail", "n_known")])
 
     network = Network([bytes(r["word"]) for r in top], np.array([*[r["c"] for r in top], rest], np.float64))
     shared, flat = spark.sparkContext.broadcast(network), network.flat()
