@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from parcelmill.llm.common import written
+
 #: A repeated line goes from this many words on, a run of repeated clauses from that many.
 LINE_WORDS, RUN_WORDS = 8, 20
 LINE, CLAUSE = 1, 2
@@ -157,6 +159,8 @@ def dedup_units(
     )
     every = rows.select("doc_key", "text_key", "text").mapInArrow(_unit_rows, _UNIT)
     first = every.groupBy("h1", "h2").agg(F.min("doc_key").alias("first_doc"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # stored, so that the join deals both its sides itself and can split a digest that very many units have
+    first = written(first, "repeated-units")
     repeated = every.join(first, ["h1", "h2"]).groupBy("doc_key", "text_key").agg(F.collect_set(F.struct(*_ITEM)).alias("items"))
     cut = _cutter(line_words, run_words)
     return (
