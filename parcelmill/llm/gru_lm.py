@@ -31,7 +31,7 @@ SCORE_WINDOW, SCORE_ROWS = 64, 256
 #: Tokens that one task learns from in a round: fewer would average weights that have hardly moved.
 TASK_TOKENS = 500_000
 #: Tokens (and documents) that a task holds at a time.
-HELD_TOKENS, HELD_DOCS = 4_000_000, 4000
+HELD_TOKENS, HELD_DOCS = 3_000_000, 3000
 END = b""
 _LAST = 2**63 - 1
 
