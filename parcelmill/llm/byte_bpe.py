@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 #: Pieces and token pairs that one worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -189,7 +190,7 @@ def _encoded(vocabulary: _Vocabulary, text: str | None, with_ids: bool):
     decoded = b"".join([p[2] for p in pieces])
     return (
         sum(len(p[0]) for p in pieces),
-        *[[i for p in pieces for i in p[0]]] * with_ids,
+        *[np.array([i for p in pieces for i in p[0]], np.int32)] * with_ids,
         hashlib.sha256(ids).hexdigest(),
         hashlib.sha256(decoded).hexdigest(),
     )
