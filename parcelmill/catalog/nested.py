@@ -507,7 +507,7 @@ def n18(src: Inputs):
     files = dallas_files(src)
     rows = dallas.keyed(files.accounts)
     named = rows.select("account_id", dallas.primary_owner_name(Source(rows)).alias("_primary_name"))
-    with_owners = dallas.with_owners(named, files.owners, dallas.PAGE_ROWS)
+    with_owners = dallas.with_owners(named, files.owners)
     return with_owners.select("account_id", F.explode("owners").alias("o")).select(
         "account_id", "o.owner_type", "o.name", "o.percentage"
     )

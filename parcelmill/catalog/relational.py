@@ -6,6 +6,7 @@ from parcelmill.catalog.registry import Inputs, query
 from parcelmill.functions import casts, text
 from parcelmill.functions.ids import account_id
 from parcelmill.operators import joins, keyed, sampling, search, summary
+from parcelmill.plans import travis
 from parcelmill.sources import tables
 from parcelmill.sources.fixed_width import AGENT, IMPROVEMENT, PROP, SUBDIVISION, project_fields
 
@@ -148,7 +149,7 @@ def j8(src: Inputs):
         "account_id",
         F.concat(F.lit("S"), F.col("account_id").cast("bigint") % 30).alias("subdivision_id"),
     )
-    codes = project_fields(src.view("fx_travis_subd"), SUBDIVISION).select(
+    codes = travis.subdivision_codes(src.view("fx_travis_subd")).select(
         F.col("subdivision_id").alias("code"), "subdivision_name"
     )
     return joins.lookup_join(lots, codes, "subdivision_id", "code")

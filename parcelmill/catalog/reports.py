@@ -287,7 +287,7 @@ def a20(src: Inputs):
     "fx_gold",
     " UNION ALL ".join(
         f"SELECT '{c}' AS column, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_count, "
-        f"count(DISTINCT {c}) AS distinct_count FROM fx_gold"
+        f"count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS distinct_count FROM fx_gold"
         for c in ["county", "account_id", "owner_name", "city", "market_value", "total_market_value",
                   "assessed_value", "property_type", "year_built", "n_tax_entities"]
     ),
@@ -344,7 +344,7 @@ def a25(src: Inputs):
     number = key.cast("bigint")
     damaged = src.view("fx_travis_prop").select(
         F.when(number % 7 == 0, F.col("value").substr(1, 60))
-        .when(number % 7 == 1, F.concat(F.repeat(F.lit(" "), 12), F.col("value").substr(13, 9999)))
+        .when(number % 7 == 1, F.concat(F.repeat(F.lit(" "), 12), F.expr("substring(value, 13)")))
         .otherwise(F.col("value"))
         .alias("value")
     )

@@ -180,7 +180,7 @@ def t7(src: Inputs):
 )
 def t8(src: Inputs):
     texts = best(src)
-    walls = measures.wall_lengths(texts).select(
+    walls = measures.wall_lengths(texts).distinct().select(
         "plan_id", F.lit("wall").alias("kind"), F.round("length_ft", 6).alias("ft")
     )
     ceilings = measures.ceiling_heights(texts).select(

@@ -1,10 +1,9 @@
 """Child rows as arrays on the parent record.
 
-A key with a large share of the children would make one huge row in one task, so keys above
-`page_rows` are found first, by a count that reads only the key column. Their records carry the first
-`page_rows` children in the array and the true count; all their children are stored as page rows, cut
-by hash. Ordinary keys have everything in the array. Arrays of ordinary keys plus pages hold every
-child once.
+Every key is treated alike: there is no count beforehand, no threshold and no cap. The rows of a family
+(`rows`) are the child table, which Spark deals out like any other; a record's array holds all children of
+its key. Arrays are put together in two steps, by key and a salt and then by key, so that the sorting and
+packing of a key with very many children is spread, and only its finished parts meet.
 """
 
 from dataclasses import dataclass
@@ -12,91 +11,46 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAGE_ROWS = 1_000  # also the largest per-key limit that Spark applies before the shuffle
-LISTED_KEYS = 10_000
 SALTS = 64
 
 
 @dataclass(frozen=True)
 class Nested:
-    """`arrays` (key, items) of all keys; `large` (key, n) and `pages` (key, page_no, items) of the
-    keys above the limit, None when there are none."""
+    """`rows` (key, item): one row per child, `item` holding its order and its value."""
 
     key: str
-    arrays: DataFrame
-    large: DataFrame | None
-    pages: DataFrame | None
+    rows: DataFrame
+
+    @property
+    def arrays(self) -> DataFrame:
+        """(key, items, n): all children of each key in order, and their number."""
+        salt = F.pmod(F.xxhash64("item"), F.lit(SALTS))
+        parts = self.rows.groupBy(self.key, salt.alias("_salt")).agg(F.collect_list("item").alias("part"))
+        whole = parts.groupBy(self.key).agg(F.flatten(F.collect_list("part")).alias("all"))
+        items = F.transform(F.array_sort("all"), lambda x: x["v"]).alias("items")
+        return whole.select(self.key, items, F.size("all").cast("bigint").alias("n"))
 
     def flat(self) -> DataFrame:
-        """All children again, one row each; a child field named like the key becomes `source_account`."""
-        lists = self.arrays
-        if self.large is not None:
-            ordinary = self.arrays.join(self.large, self.key, "left_anti")
-            lists = ordinary.unionByName(self.pages.select(*ordinary.columns))
-        names = lists.schema["items"].dataType.elementType.names
+        """All children, one row each; a child field named like the key becomes `source_account`."""
+        names = self.rows.schema["item"].dataType["v"].dataType.names
         fields = [
-            F.col(f"item.{n}").alias("source_account" if n == self.key else n) for n in names
+            F.col(f"item.v.{n}").alias("source_account" if n == self.key else n) for n in names
         ]
-        return lists.select(self.key, F.explode("items").alias("item")).select(self.key, *fields)
+        return self.rows.select(self.key, *fields)
 
 
-def nest_children(
-    children: DataFrame,
-    key: str,
-    order: list[Column],
-    value: Column,
-    page_rows: int = PAGE_ROWS,
-    listed_keys: int = LISTED_KEYS,
-) -> Nested:
-    """Collect the struct `value` of the children per key, sorted by `order`."""
+def nest_children(children: DataFrame, key: str, order: list[Column], value: Column) -> Nested:
+    """The struct `value` of the children per key, sorted by `order`."""
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    rows = children.select(key, F.struct(place.alias("o"), value.alias("v")).alias("item"))
-    items = F.transform(F.array_sort(F.collect_list("item")), lambda x: x["v"]).alias("items")
-    counts = children.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    large = counts.filter(F.col("n") > page_rows)
-    listed = large.limit(listed_keys + 1).collect()
-    if not listed:
-        return Nested(key, rows.groupBy(key).agg(items), None, None)
-    if len(listed) <= listed_keys:
-        # a short list of keys: a local table, so neither join shuffles the children
-        large = children.sparkSession.createDataFrame(listed, large.schema)
-        ordinary = rows.join(F.broadcast(large), key, "left_anti")
-        paged = rows.join(F.broadcast(large), key)
-    else:
-        ordinary, paged = _salted_split(rows, large, key)
-    first = _first_rows(paged, key, page_rows)
-    arrays = ordinary.select(key, "item").unionByName(first).groupBy(key).agg(items)
-    page = F.pmod(F.xxhash64("item"), F.ceil(F.col("n") / page_rows)).cast("int")
-    pages = paged.withColumn("page_no", page).groupBy(key, "page_no").agg(items)
-    return Nested(key, arrays, large, pages)
-
-
-def _first_rows(paged: DataFrame, key: str, n: int) -> DataFrame:
-    from parcelmill.operators.keyed import top_per_key
-
-    return top_per_key(paged.select(key, "item"), [key], [F.col("item").asc()], n)
-
-
-def _salted_split(rows: DataFrame, large: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary and of large keys, joined on key and salt so that no task gets a whole key."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    keys = large.withColumn("_salt", copies)
-    on = [key, "_salt"]
-    ordinary = salted.join(keys, on, "left_anti").drop("_salt")
-    return ordinary, salted.join(keys, on).drop("_salt")
+    return Nested(key, children.select(key, F.struct(place.alias("o"), value.alias("v")).alias("item")))
 
 
 def attach(parent: DataFrame, nested: Nested, name: str) -> DataFrame:
-    """Left join the arrays and the true child counts (`<name>_count`) to the parent.
+    """Left join the arrays and the child counts (`<name>_count`) to the parent.
 
     No children gives an empty array and the count 0.
     """
     joined = parent.join(nested.arrays.withColumnRenamed("items", name), nested.key, "left")
     element = joined.schema[name].dataType
     filled = joined.withColumn(name, F.coalesce(F.col(name), F.array().cast(element)))
-    size = F.size(name).cast("bigint")
-    if nested.large is None:
-        return filled.withColumn(f"{name}_count", size)
-    with_n = filled.join(nested.large, nested.key, "left")
-    return with_n.withColumn(f"{name}_count", F.coalesce("n", size)).drop("n")
+    return filled.withColumn(f"{name}_count", F.coalesce("n", F.lit(0).cast("bigint"))).drop("n")

@@ -284,12 +284,16 @@ def overall_advice(integrity: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Type, null count and distinct count (nulls not counted) per column.
+    """Type, null count and distinct count (a null counts as one value) per column.
 
     With `approximate` the distinct counts are sketches, which need one pass and constant memory.
     """
     names = df.columns
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    kinds = F.approx_count_distinct if approximate else F.count_distinct
+
+    def distinct(c: Column) -> Column:
+        return kinds(c) + F.coalesce(F.max(c.isNull().cast("long")), F.lit(0))
+
     totals = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)],

@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from parcelmill.operators.keyed import top_per_key
 
-SAMPLE_LIMIT = 1000
-
-
 def shuffle_key(id_column: str, seed: str) -> Column:
     """Pseudo-random order that is the same in every run and on every cluster."""
     return F.md5(F.concat_ws("|", F.lit(seed), F.col(id_column)))
@@ -18,8 +15,7 @@ def head_by_position(df: DataFrame, position: str, n: int) -> DataFrame:
 
 
 def random_sample(df: DataFrame, id_column: str, n: int, seed: str) -> DataFrame:
-    size = min(n, SAMPLE_LIMIT)
-    return df.orderBy(shuffle_key(id_column, seed), id_column).limit(size)
+    return df.orderBy(shuffle_key(id_column, seed), id_column).limit(n)
 
 
 def random_sample_per(df: DataFrame, group: str, id_column: str, n: int, seed: str) -> DataFrame:

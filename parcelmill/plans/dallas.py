@@ -10,7 +10,7 @@ from parcelmill.functions.address import numbered_street
 from parcelmill.functions.ids import account_id
 from parcelmill.functions.values import acres_to_sq_ft, division_type
 from parcelmill.operators.keyed import first_per_key
-from parcelmill.operators.nesting import PAGE_ROWS, Nested, attach, nest_children
+from parcelmill.operators.nesting import Nested, attach, nest_children
 from parcelmill.plans.columns import Source, struct_of
 from parcelmill.schemas import conform, section
 
@@ -62,7 +62,7 @@ class Part(Source):
         return F.when(self.there, c)
 
 
-def nest_owners(owners: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_owners(owners: DataFrame) -> Nested:
     """Additional owners with a name."""
     named = keyed(owners).filter(text.blank_to_null(F.col("owner_name")).isNotNull())
     share = casts.safe_double(F.col("ownership_pct"))
@@ -72,7 +72,7 @@ def nest_owners(owners: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         owner_type=F.lit("additional"),
         percentage=share,
     )
-    return nest_children(named, KEY, [F.col("owner_name"), share], item, page_rows)
+    return nest_children(named, KEY, [F.col("owner_name"), share], item)
 
 
 def owner_share(owners: DataFrame) -> DataFrame:
@@ -85,12 +85,12 @@ def primary_owner_name(s: Source) -> Column:
     return text.join_present(" ", s.raw("owner_name1"), s.raw("owner_name2"))
 
 
-def with_owners(records: DataFrame, owners: DataFrame | None, page_rows: int) -> DataFrame:
+def with_owners(records: DataFrame, owners: DataFrame | None) -> DataFrame:
     """Owner array: the primary owner with the share that is left, then the additional ones."""
     share_left = F.lit(100).cast("decimal(9,4)")
     if owners is not None:
         records = records.join(owner_share(owners), KEY, "left")
-        records = attach(records, nest_owners(owners, page_rows), "_additional")
+        records = attach(records, nest_owners(owners), "_additional")
         share_left = share_left - F.coalesce("additional_pct", F.lit(0).cast("decimal(18,4)"))
     primary = section(
         "owners",
@@ -359,7 +359,7 @@ def joined_rows(files: DallasFiles) -> DataFrame:
     return rows
 
 
-def unified_records(files: DallasFiles, page_rows: int = PAGE_ROWS) -> DataFrame:
+def unified_records(files: DallasFiles) -> DataFrame:
     rows = joined_rows(files)
     s = Source(rows)
     apprl, res, com, land = (
@@ -409,4 +409,4 @@ def unified_records(files: DallasFiles, page_rows: int = PAGE_ROWS) -> DataFrame
         ).alias("metadata"),
         name.alias("_primary_name"),
     )
-    return conform(with_owners(records, files.owners, page_rows))
+    return conform(with_owners(records, files.owners))

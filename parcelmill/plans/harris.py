@@ -10,7 +10,7 @@ from parcelmill.functions.ids import account_id
 from parcelmill.functions.values import value_change
 from parcelmill.operators.joins import lookup_join
 from parcelmill.operators.keyed import last_per_key
-from parcelmill.operators.nesting import PAGE_ROWS, Nested, attach, nest_children
+from parcelmill.operators.nesting import Nested, attach, nest_children
 from parcelmill.plans.columns import Source, struct_of
 from parcelmill.schemas import conform, section
 
@@ -38,7 +38,7 @@ def with_position(df: DataFrame, position: str = "source_pos") -> DataFrame:
     return df if position in df.columns else df.withColumn(position, F.lit(0).cast("bigint"))
 
 
-def nest_owners(owners: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_owners(owners: DataFrame) -> Nested:
     s = Source(owners)
     line = F.col("ln_num").cast("int")
     item = section(
@@ -48,10 +48,10 @@ def nest_owners(owners: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         aka=s.raw("aka"),
         percentage=s.raw("pct_own").try_cast("decimal(9,4)"),
     )
-    return nest_children(keyed(owners), KEY, [line, s.raw("name"), s.raw("aka")], item, page_rows)
+    return nest_children(keyed(owners), KEY, [line, s.raw("name"), s.raw("aka")], item)
 
 
-def nest_deeds(deeds: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_deeds(deeds: DataFrame) -> Nested:
     s = Source(deeds)
     sold = F.try_to_date(s.raw("dos"), "MM/dd/yyyy")
     item = section(
@@ -61,10 +61,10 @@ def nest_deeds(deeds: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         clerk_id=s.raw("clerk_id"),
         deed_id=s.raw("deed_id"),
     )
-    return nest_children(keyed(deeds), KEY, [sold, s.raw("deed_id")], item, page_rows)
+    return nest_children(keyed(deeds), KEY, [sold, s.raw("deed_id")], item)
 
 
-def nest_permits(permits: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_permits(permits: DataFrame) -> Nested:
     s = Source(permits)
     item = section(
         "permits",
@@ -87,10 +87,10 @@ def nest_permits(permits: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
             site_apartment=s.raw("site_apt"),
         ),
     )
-    return nest_children(keyed(permits), KEY, [s.raw("yr"), s.raw("id")], item, page_rows)
+    return nest_children(keyed(permits), KEY, [s.raw("yr"), s.raw("id")], item)
 
 
-def nest_relations(relations: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_relations(relations: DataFrame) -> Nested:
     s = Source(relations)
     item = section(
         "parcel_relationships",
@@ -101,7 +101,7 @@ def nest_relations(relations: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         percentage=s.raw("pct"),
     )
     order = [s.raw("related_acct"), s.raw("tp"), s.raw("pct")]
-    return nest_children(keyed(relations), KEY, order, item, page_rows)
+    return nest_children(keyed(relations), KEY, order, item)
 
 
 def mineral_struct(minerals: DataFrame) -> DataFrame:
@@ -372,7 +372,7 @@ def account_records(
     )
 
 
-def children(files: HarrisFiles, page_rows: int = PAGE_ROWS) -> dict[str, Nested]:
+def children(files: HarrisFiles) -> dict[str, Nested]:
     """The nested child families of the files that are there."""
     builders = {
         "owners": (files.owners, nest_owners),
@@ -381,16 +381,16 @@ def children(files: HarrisFiles, page_rows: int = PAGE_ROWS) -> dict[str, Nested
         "parcel_relationships": (files.relations, nest_relations),
     }
     return {
-        name: build(df, page_rows) for name, (df, build) in builders.items() if df is not None
+        name: build(df) for name, (df, build) in builders.items() if df is not None
     }
 
 
 def unified_records(
-    files: HarrisFiles, page_rows: int = PAGE_ROWS, legacy_split: bool = False
+    files: HarrisFiles, legacy_split: bool = False
 ) -> DataFrame:
-    """Unified records; children of keys above `page_rows` are in `children(files)[..].pages`."""
+    """Unified records with all their children; `children(files)[..].flat()` has the children as rows."""
     records = account_records(files.accounts, legacy_split)
-    for name, nested in children(files, page_rows).items():
+    for name, nested in children(files).items():
         records = attach(records, nested, name)
     if files.minerals is not None:
         records = records.join(mineral_struct(files.minerals), KEY, "left")

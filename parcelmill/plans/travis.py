@@ -10,7 +10,7 @@ from parcelmill.functions.dates import tax_year
 from parcelmill.functions.ids import account_id
 from parcelmill.operators.joins import keep_keys_of, lookup_join
 from parcelmill.operators.keyed import last_per_key
-from parcelmill.operators.nesting import PAGE_ROWS, Nested, attach, nest_children
+from parcelmill.operators.nesting import Nested, attach, nest_children
 from parcelmill.plans.columns import struct_of
 from parcelmill.schemas import conform, section
 from parcelmill.sources.fixed_width import (
@@ -66,7 +66,7 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("decimal(18,2)"))
 
 
-def nest_entities(lines: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_entities(lines: DataFrame) -> Nested:
     item = section(
         "tax_entities",
         entity_name=F.col("entity_name"),
@@ -80,18 +80,18 @@ def nest_entities(lines: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
         exemption_amount=_or_zero("exemption_amount"),
     )
     order = [F.col("source_pos")]
-    return nest_children(keyed_rows(lines, PROP_ENT), KEY, order, item, page_rows)
+    return nest_children(keyed_rows(lines, PROP_ENT), KEY, order, item)
 
 
-def nest_improvements(lines: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_improvements(lines: DataFrame) -> Nested:
     item = section("improvements", **{f.name: F.col(f.name) for f in IMPROVEMENT.fields[1:]})
     order = [F.col("source_pos")]
-    return nest_children(keyed_rows(lines, IMPROVEMENT), KEY, order, item, page_rows)
+    return nest_children(keyed_rows(lines, IMPROVEMENT), KEY, order, item)
 
 
-def nest_land(lines: DataFrame, page_rows: int = PAGE_ROWS) -> Nested:
+def nest_land(lines: DataFrame) -> Nested:
     item = section("land_details", **{f.name: F.col(f.name) for f in LAND.fields[1:]})
-    return nest_children(keyed_rows(lines, LAND), KEY, [F.col("source_pos")], item, page_rows)
+    return nest_children(keyed_rows(lines, LAND), KEY, [F.col("source_pos")], item)
 
 
 def subdivision_codes(lines: DataFrame) -> DataFrame:
@@ -185,14 +185,14 @@ def property_records(lines: DataFrame) -> DataFrame:
     return rows.select(KEY, "map_reference", *sections)
 
 
-def children(files: TravisFiles, page_rows: int = PAGE_ROWS) -> dict[str, Nested]:
+def children(files: TravisFiles) -> dict[str, Nested]:
     builders = {
         "tax_entities": (files.entities, nest_entities),
         "improvements": (files.improvements, nest_improvements),
         "land_details": (files.land, nest_land),
     }
     return {
-        name: build(df, page_rows) for name, (df, build) in builders.items() if df is not None
+        name: build(df) for name, (df, build) in builders.items() if df is not None
     }
 
 
@@ -214,10 +214,10 @@ def with_counts(records: DataFrame, n_agents: Column) -> DataFrame:
 
 
 def unified_records(
-    files: TravisFiles, page_rows: int = PAGE_ROWS, subdivision_key: str = "map_reference"
+    files: TravisFiles, subdivision_key: str = "map_reference"
 ) -> DataFrame:
     records = property_records(files.properties)
-    nested = children(files, page_rows)
+    nested = children(files)
     for name, n in nested.items():
         records = attach(records, n, name)
     if files.subdivisions is not None:

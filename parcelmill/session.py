@@ -30,10 +30,12 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only where `spark.checkpoint.dir` is unset (local tests) is a local folder used.
+    Only in local mode (tests) may `spark.checkpoint.dir` be unset; a local folder is used then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-parcelmill-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

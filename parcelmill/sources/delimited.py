@@ -219,8 +219,8 @@ def sniff_format(path: str) -> str:
     return "tab"
 
 
-def first_rows(spark: SparkSession, path: str, columns: list[str], n: int) -> DataFrame:
-    """First `n` rows by the sniffed format, every column as text where the file has no types."""
+def first_rows(spark: SparkSession, path: str, columns: list[str], n: int | None) -> DataFrame:
+    """First `n` rows (None: all) by the sniffed format, every column as text where the file has no types."""
     kind = sniff_format(path)
     if kind == "parquet":
         rows = spark.read.parquet(path).select(*columns)
@@ -228,4 +228,4 @@ def first_rows(spark: SparkSession, path: str, columns: list[str], n: int) -> Da
         rows = spark.read.schema(string_schema(columns)).json(path)
     else:
         rows = read_strings(spark, path, columns, "," if kind == "csv" else "\t")
-    return rows.limit(n)
+    return rows if n is None else rows.limit(n)

@@ -109,7 +109,7 @@ def upsert(
         counts = _merge(spark, root, staged, batch_id, run_time, position, source_files, buckets,
                         reload_county, total)
     except Exception as error:
-        log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error)[:1000])
+        log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error))
         raise
     log_event(spark, root, batch_id, "completed", run_time, total, counts["saved_count"])
     return counts
@@ -136,7 +136,8 @@ def _merge(
     version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     target = f"{root}/data/version={version}"
     # rebalancing splits large folders over several tasks and merges small ones
-    merged.hint("rebalance", "bucket", "county").write.partitionBy("bucket", "county").parquet(target)
+    # what a run left under this version before it failed was never committed, so it is replaced
+    merged.hint("rebalance", "bucket", "county").write.mode("overwrite").partitionBy("bucket", "county").parquet(target)
     return _commit(spark, root, target, version, batch_id, total, buckets, reload_county)
 
 

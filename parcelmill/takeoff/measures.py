@@ -114,10 +114,10 @@ def dimensions(pages: DataFrame) -> DataFrame:
 
 
 def wall_lengths(pages: DataFrame) -> DataFrame:
-    """Distinct wall lengths of 5-100 ft per plan."""
+    """Wall lengths of 5-100 ft per plan, each as often as it is written."""
     rows = pages.select("plan_id", F.explode(found(f"({LENGTH})")).alias("written"))
     sized = rows.select("plan_id", feet(F.col("written")).alias("length_ft"))
-    return sized.filter(F.col("length_ft").between(5, 100)).distinct()
+    return sized.filter(F.col("length_ft").between(5, 100))
 
 
 def _height_feet(c: Column) -> Column:

@@ -53,7 +53,7 @@ def first_match_specs(pages: DataFrame, families: list[str] | None = None) -> Da
                 )
     rows = pages.select("plan_id", "page_no", F.inline(F.array(*cells))).filter("coded IS NOT NULL")
     rule = F.col("coded").substr(1, 2)
-    value = F.substring("coded", 4, 10_000)
+    value = F.expr("substring(coded, 4)")
     page = F.when(F.col("last"), -F.col("page_no")).otherwise(F.col("page_no"))
     per_rule = rows.groupBy("plan_id", "family", "field", rule.alias("rule")).agg(
         F.min_by(value, page).alias("value")

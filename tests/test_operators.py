@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.operators import joins, keyed, nesting, quality, quantiles, repair, search
+from parcelmill.operators import joins, keyed, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
 from parcelmill.sources import delimited, runlog, sinks, store
@@ -44,22 +44,17 @@ def test_top_per_key_limits_before_the_shuffle(spark, frame):
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("listed_keys", [100, 0])
-def test_nesting_pages_hold_the_large_keys(frame, listed_keys):
-    rows = [("hot", i) for i in range(100)] + [("a", 2), ("a", 1), ("b", 7)]
+def test_nesting_holds_all_children(frame):
+    """5,000 equal and 5,000 different children of one key are all in the array and in the rows."""
+    rows = [("hot", i) for i in range(5000)] + [("hot", 7)] * 5000 + [("a", 2), ("a", 1), ("b", 7)]
     df = frame(rows, "k string, v int")
-    nested = nesting.nest_children(
-        df, "k", [F.col("v")], F.struct(F.col("v")), page_rows=10, listed_keys=listed_keys
-    )
+    nested = nesting.nest_children(df, "k", [F.col("v")], F.struct(F.col("v")))
     arrays = {r.k: [x.v for x in r["items"]] for r in nested.arrays.collect()}
-    assert arrays == {"a": [1, 2], "b": [7], "hot": list(range(10))}
-    pages = nested.pages.collect()
-    assert {r.k for r in pages} == {"hot"} and len(pages) > 5
-    assert max(len(r["items"]) for r in pages) < 40
+    assert arrays == {"a": [1, 2], "b": [7], "hot": sorted(v for k, v in rows if k == "hot")}
     assert sorted(map(tuple, nested.flat().collect())) == sorted(rows)
     parents = frame([("hot",), ("a",), ("none",)], "k string")
     got = {r.k: (len(r.kids), r.kids_count) for r in nesting.attach(parents, nested, "kids").collect()}
-    assert got == {"hot": (10, 100), "a": (2, 2), "none": (0, 0)}
+    assert got == {"hot": (10_000, 10_000), "a": (2, 2), "none": (0, 0)}
 
 
 def test_fan_out_left_join(frame):
@@ -140,6 +135,25 @@ def test_failed_upsert_is_logged_and_leaves_the_store(spark, frame):
     assert [r.account_id for r in store.read_store(spark, root).collect()] == ["1"]
 
 
+def test_upsert_recovers_after_a_crash_before_the_commit(spark, frame, monkeypatch):
+    """Data is written, the commit is not: the retry replaces what was left."""
+    root = scratch_path(spark, "t-crash")
+    schema = "account_id string, county string, v int, pos long"
+    rows = frame([("1", "harris", 1, 1), ("2", "dallas", 5, 2)], schema)
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            store.upsert(spark, root, rows, "b1", "2025-01-01 00:00:00", "pos")
+    assert store.read_store(spark, root) is None
+    store.upsert(spark, root, rows.filter("v = 1"), "b1", "2025-01-01 00:00:00", "pos")
+    assert [r.account_id for r in store.read_store(spark, root).collect()] == ["1"]
+
+
+def test_random_sample_gives_what_is_asked(spark):
+    rows = spark.range(4000).selectExpr("cast(id AS string) AS id")
+    assert sampling.random_sample(rows, "id", 3000, "s").count() == 3000
+
+
 def test_unknown_format_is_an_error(spark, frame):
     with pytest.raises(ValueError):
         sinks.write_frame(frame([(1,)], "a int"), scratch_path(spark, "x"), "orc")
@@ -254,7 +268,7 @@ def test_profile_approximate(frame):
     df = frame([(1, "a"), (2, None), (2, "a")], "x int, y string")
     for approximate in (False, True):
         got = {r.column: (r.null_count, r.distinct_count) for r in quality.profile(df, approximate).collect()}
-        assert got == {"x": (0, 2), "y": (1, 1)}
+        assert got == {"x": (0, 2), "y": (1, 2)}  # a null counts as a value
 
 
 def test_repairs_only_change_what_is_missing(frame):
