@@ -56,13 +56,13 @@ FROM {orders} o
     "fx_deeds": r"""
 SELECT lpad(cast(o.o_custkey AS string), 9, '0') AS acct, concat(lpad(cast(month(o.o_orderdate) AS string), 2, '0'), '/', lpad(cast(day(o.o_orderdate) AS string), 2, '0'), '/', cast(year(o.o_orderdate) AS string)) AS dos,
        cast(year(o.o_orderdate) AS string) AS clerk_yr, o.o_orderpriority AS clerk_id, cast(o.o_orderkey AS string) AS deed_id
-FROM {orders} o WHERE o.o_orderkey % 2 = 0
+FROM {orders} o
 """,
     "fx_permits": r"""
 SELECT cast(o.o_custkey AS string) AS acct, concat(cast(l.l_orderkey AS string), '-', cast(l.l_linenumber AS string)) AS id,
        l.l_returnflag AS status, concat('"', o.o_orderpriority, ' 5" pipe ') AS dscr, l.l_linestatus AS permit_type,
        cast(year(l.l_shipdate) AS string) AS yr, cast(l.l_suppkey AS string) AS site_num
-FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey WHERE l.l_linenumber <= 2
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 """,
     "fx_nbhd": r"""
 SELECT cast(n_nationkey AS int) AS cd, cast(n_regionkey AS string) AS grp_cd, n_name AS dscr FROM {nation} WHERE n_nationkey % 5 <> 0
@@ -92,12 +92,11 @@ SELECT concat('38-', lpad(cast(l_suppkey AS string), 8, '0')) AS account_num,
        'DALLAS COUNTY' AS county_juris_desc, '90000' AS county_taxable_val, CAST(NULL AS string) AS county_split_pct,
        CASE WHEN l_linenumber = 2 THEN '' ELSE 'ISD X' END AS isd_juris_desc, 'bad' AS isd_taxable_val, '0.5' AS isd_split_pct,
        l_orderkey * 10 + l_linenumber AS source_pos
-FROM {lineitem} WHERE l_partkey % 20 = 0
+FROM {lineitem}
 """,
     "fx_dallas_owner": r"""
-SELECT concat('38-', lpad(cast(s_suppkey AS string), 8, '0')) AS account_num, 'CO OWNER' AS owner_name, '25' AS ownership_pct FROM {supplier} WHERE s_suppkey % 3 = 0
-UNION ALL
-SELECT concat('38-', lpad(cast(s_suppkey AS string), 8, '0')), NULL, '10' FROM {supplier} WHERE s_suppkey % 6 = 0
+SELECT concat('38-', lpad(cast(s_suppkey - s_suppkey % 3 AS string), 8, '0')) AS account_num, CASE WHEN s_suppkey % 3 = 2 THEN NULL ELSE 'CO OWNER' END AS owner_name,
+       CASE WHEN s_suppkey % 3 = 0 THEN '25' ELSE '10' END AS ownership_pct FROM {supplier}
 """,
     "fx_travis_prop": r"""
 SELECT concat(lpad(cast(c_custkey AS string), 12, '0'), CASE WHEN c_custkey % 2 = 0 THEN 'R' ELSE 'C' END, '    ', '02025', rpad('', 528, ' '),
@@ -113,7 +112,7 @@ FROM {customer}
 SELECT concat(lpad(cast(o_custkey AS string), 12, '0'), '2025', rpad('', 34, ' '), rpad(o_orderpriority, 12, ' '), rpad('X', 1, ' '),
               rpad(concat('ENTITY ', o_orderstatus), 80, ' '), rpad('', 57, ' '),
               lpad(cast(cast(floor(o_totalprice) AS bigint) * 1000000000 AS string), 15, '0')) AS value, o_orderkey AS source_pos
-FROM {orders} WHERE o_orderkey % 3 = 0
+FROM {orders}
 """,
     "fx_gold": r"""
 SELECT 'harris' AS county, lpad(cast(c_custkey AS string), 13, '0') AS account_id, c_name AS owner_name, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'HOUSTON' END AS city,
@@ -146,33 +145,33 @@ SELECT p_partkey AS plan_id, cast(CASE WHEN p_partkey % 15 = 0 THEN 0 ELSE 400 +
 FROM {part}
 """,
     "fx_tieback": r"""
-SELECT cast(o_custkey AS string) AS acct, 'S' AS tp, 'split' AS dscr, cast(o_custkey + 1 AS string) AS related_acct, '0.5' AS pct FROM {orders} WHERE o_orderpriority = '1-URGENT'
+SELECT cast(o_custkey AS string) AS acct, 'S' AS tp, 'split' AS dscr, cast(o_custkey + 1 AS string) AS related_acct, '0.5' AS pct FROM {orders}
 """,
     "fx_dallas_res": r"""
-SELECT concat('38-', lpad(cast(p_partkey % 150 AS string), 8, '0')) AS account_num, CASE WHEN p_size % 4 = 0 THEN NULL ELSE cast(1960 + p_size AS string) END AS yr_built,
+SELECT concat('38-', lpad(cast(cast(floor(p_partkey / 13) AS bigint) AS string), 8, '0')) AS account_num, CASE WHEN p_size % 4 = 0 THEN NULL ELSE cast(1960 + p_size AS string) END AS yr_built,
        p_type AS bldg_class_desc, '1,900' AS tot_living_area_sf, CASE WHEN p_size % 3 = 0 THEN '1,900' ELSE '2,100' END AS tot_main_sf,
        CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE NULL END AS pool_ind, cast(p_size AS string) AS num_bedrooms, p_partkey AS source_pos
-FROM {part} WHERE p_partkey % 3 = 0
+FROM {part}
 """,
     "fx_dallas_com": r"""
-SELECT concat('38-', lpad(cast(p_partkey % 150 AS string), 8, '0')) AS account_num, cast(p_size * 1000 AS string) AS gross_bldg_area, '1999' AS year_built, p_name AS property_name,
+SELECT concat('38-', lpad(cast(cast(floor(p_partkey / 40) AS bigint) AS string), 8, '0')) AS account_num, cast(p_size * 1000 AS string) AS gross_bldg_area, '1999' AS year_built, p_name AS property_name,
        '10.5' AS phys_depr_pct, cast(cast(p_retailprice AS decimal(18,2)) AS string) AS imp_val, p_partkey AS source_pos
-FROM {part} WHERE p_partkey % 10 = 0
+FROM {part}
 """,
     "fx_dallas_land": r"""
-SELECT concat('38-', lpad(cast(p_partkey % 150 AS string), 8, '0')) AS account_num, 'R-7.5' AS zoning, cast(p_size * 100 AS string) AS area_size, '50' AS front_dim, 'x' AS depth_dim,
+SELECT concat('38-', lpad(cast(cast(floor(p_partkey / 17) AS bigint) AS string), 8, '0')) AS account_num, 'R-7.5' AS zoning, cast(p_size * 100 AS string) AS area_size, '50' AS front_dim, 'x' AS depth_dim,
        CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS ag_use_ind, p_partkey AS source_pos
-FROM {part} WHERE p_partkey % 4 = 0
+FROM {part}
 """,
     "fx_travis_imp": r"""
-SELECT concat(lpad(cast(l_orderkey % 1700 AS string), 12, '0'), lpad(cast(l_linenumber AS string), 10, '0'), rpad('1st Floor', 20, ' '), rpad(l_returnflag, 20, ' '),
+SELECT concat(lpad(cast(cast(floor(l_orderkey / 9) AS bigint) AS string), 12, '0'), lpad(cast(l_linenumber AS string), 10, '0'), rpad('1st Floor', 20, ' '), rpad(l_returnflag, 20, ' '),
               cast(1950 + l_linenumber AS string), lpad('2986', 10, '0'), lpad('80037', 10, '0'), rpad('DESC', 50, ' ')) AS value, l_orderkey * 10 + l_linenumber AS source_pos
-FROM {lineitem} WHERE l_partkey % 40 = 0
+FROM {lineitem}
 """,
     "fx_travis_land": r"""
 SELECT concat(lpad(cast(p_partkey AS string), 12, '0'), lpad(cast(p_size AS string), 10, '0'), rpad('LAND', 20, ' '), rpad(p_name, 50, ' '), rpad('F1', 20, ' '),
               lpad('100000', 10, '0'), lpad('2351200000', 10, '0')) AS value, p_partkey AS source_pos
-FROM {part} WHERE p_partkey < 1500
+FROM {part}
 """,
     "fx_travis_agent": r"""
 SELECT concat(lpad(cast(s_suppkey AS string), 12, ' '), rpad(s_name, 60, ' '), rpad('41 DR', 70, ' '), rpad('WOODCREEK', 20, ' '), 'TX ', rpad('78676', 10, ' ')) AS value, s_suppkey AS source_pos FROM {supplier}
