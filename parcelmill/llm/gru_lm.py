@@ -26,7 +26,8 @@ VOCABULARY, CLASSES, WIDTH = 2047, 40, 16
 #: One training document in SHARE is learned from, in ROUNDS rounds.
 SHARE, ROUNDS = 32, 2
 #: Window and rows of the truncated back-propagation, and of scoring.
-WINDOW, ROWS, RATE = 16, 32, 0.1
+WINDOW, ROWS, RATE = 16, 32, 0.2
+FIRST_SQUARE = 1e-5
 SCORE_WINDOW, SCORE_ROWS = 64, 256
 #: Tokens that one task learns from in a round: fewer would average weights that have hardly moved.
 TASK_TOKENS = 500_000
@@ -135,10 +136,14 @@ class Network:
             "wo": small(n, h) * 0, "bo": np.log(mass / per_class[self.of]).astype(np.float32),
         }
         self.p["x"][:, :h] += 1.0  # keep state at first
-        self.squares = {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
+        self.restart()
         self.ids = {w: i for i, w in enumerate(words)}
         self.first = self.ids.get(END, n - 1)
 
+    def restart(self) -> None:
+        """Forget the sums of squared gradients that the steps are divided by."""
+        self.squares = {k: np.full_like(v, FIRST_SQUARE) for k, v in self.p.items()}
+
     def encode(self, text: str | None) -> np.ndarray:
         get, unknown = self.ids.get, self.n - 1
         return np.array([get(t, unknown) for t in tokens(text)], np.int32)
@@ -152,6 +157,7 @@ class Network:
             size = self.p[k].size
             self.p[k] = flat[at : at + size].reshape(self.p[k].shape).astype(np.float32)
             at += size
+        self.restart()
 
     def output(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of targets given states (m, width), and what flows back into the states."""
@@ -277,18 +283,25 @@ class Network:
         return given, target, fresh
 
     def train(self, docs: list[np.ndarray]) -> None:
-        """One pass over documents laid side by side; windows are learned from while all rows are filled."""
+        """One pass over documents laid end to end and cut into rows of equal length.
+
+        All rows are filled in every window, so that no document is learned from alone. A document that a cut
+        divides starts with a new state after it; the last row is filled up with the first tokens.
+        """
         if not docs:
             return
-        streams = _streams(docs, min(ROWS, len(docs)))
-        length = max(sum(len(docs[d]) for d in s) for s in streams)
-        given, target, fresh = self._laid(docs, streams, length)
-        h = np.zeros((len(streams), WIDTH), np.float32)
+        docs = [docs[k] for k in np.random.default_rng(5).permutation(len(docs))]
+        target, begins = np.concatenate(docs), np.cumsum([0, *map(len, docs[:-1])])
+        given, fresh = np.roll(target, 1), np.zeros(len(target), bool)
+        given[begins], fresh[begins] = self.first, True
+        rows = max(1, min(ROWS, len(target) // WINDOW))
+        length = -(-len(target) // rows)
+        given, target, fresh = (np.resize(v, rows * length).reshape(rows, length).T.copy() for v in (given, target, fresh))
+        fresh[0] = True
+        h = np.zeros((rows, WIDTH), np.float32)
         for at in range(0, length, WINDOW):
-            live = [s for s, members in enumerate(streams) if sum(len(docs[d]) for d in members) >= min(at + WINDOW, length)]
-            if live:
-                w = slice(at, at + WINDOW)
-                h[live] = self.learn(given[w][:, live], target[w][:, live], fresh[w][:, live], h[live])
+            w = slice(at, at + WINDOW)
+            h = self.learn(given[w], target[w], fresh[w], h)
 
 
 def _streams(docs: list[np.ndarray], rows: int) -> list[list[int]]:

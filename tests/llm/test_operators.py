@@ -270,6 +270,13 @@ def test_language_model(docs, odd, empty):
     assert gru_lm.score_documents(empty).count() == 0
 
 
+def test_language_model_beats_counts(spark):
+    """On held-out documents the network is worth more than the counts alone."""
+    scored = gru_lm.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
+    base, model = scored.selectExpr("sum(base_score)", "sum(score)").first()
+    assert model > base
+
+
 def test_network():
     """Probabilities sum to one, windows do not change a score, and learning raises it."""
     words = [gru_lm.END, *[b"w%d" % k for k in range(60)]]
