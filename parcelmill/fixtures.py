@@ -164,7 +164,7 @@ SELECT concat('38-', lpad(cast(cast(floor(p_partkey / 17) AS bigint) AS string),
 FROM {part}
 """,
     "fx_travis_imp": r"""
-SELECT concat(lpad(cast(cast(floor(l_orderkey / 9) AS bigint) AS string), 12, '0'), lpad(cast(l_linenumber AS string), 10, '0'), rpad('1st Floor', 20, ' '), rpad(l_returnflag, 20, ' '),
+SELECT concat(lpad(cast(cast(floor(l_orderkey / 36) * 4 AS bigint) AS string), 12, '0'), lpad(cast(l_linenumber AS string), 10, '0'), rpad('1st Floor', 20, ' '), rpad(l_returnflag, 20, ' '),
               cast(1950 + l_linenumber AS string), lpad('2986', 10, '0'), lpad('80037', 10, '0'), rpad('DESC', 50, ' ')) AS value, l_orderkey * 10 + l_linenumber AS source_pos
 FROM {lineitem}
 """,
