@@ -91,25 +91,36 @@ def _pairs(pattern: str) -> Column:
 
 
 def dimensions(pages: DataFrame) -> DataFrame:
-    """Distinct width and length pairs per plan with their area.
+    """Width and length pairs per plan with their area, in the order of rule, page and place.
 
-    Full spellings are kept within 5-50 ft, bare numbers within 3-60 ft; pairs that agree to a tenth
-    of a foot are one pair.
+    Full spellings are kept within 5-50 ft, bare numbers within 3-60 ft; a pair of which both sides are
+    closer than 0.1 ft to an earlier kept pair is left out. Equal pairs are combined before they meet.
     """
+    rules = [(p, 5, 50) for p in DIMENSION_PAIRS] + [(DIMENSION_FALLBACK, 3, 60)]
 
-    def sized(array: Column, low: int, high: int) -> DataFrame:
-        rows = pages.select("plan_id", F.inline(array)).select(
-            "plan_id", feet(F.col("width")).alias("w"), feet(F.col("length")).alias("l")
-        )
-        return rows.filter(F.col("w").between(low, high) & F.col("l").between(low, high))
+    def spot(n: int, low: int, high: int):
+        fixed = [F.lit(v).alias(k) for k, v in (("rule_no", n), ("low", low), ("high", high))]
+        return lambda x, i: F.struct(*fixed, i.alias("pos"), x.alias("pair"))
 
-    full = sized(F.concat(*[_pairs(p) for p in DIMENSION_PAIRS]), 5, 50)
-    loose = sized(_pairs(DIMENSION_FALLBACK), 3, 60)
-    rounded = full.unionByName(loose).select(
-        "plan_id", F.round("w", 1).alias("width_ft"), F.round("l", 1).alias("length_ft"), "w", "l"
+    spots = F.concat(*[F.transform(_pairs(p), spot(n, low, high)) for n, (p, low, high) in enumerate(rules)])
+    rows = pages.select("plan_id", "page_no", F.inline(spots)).withColumns(
+        {"w": feet(F.col("pair.width")), "l": feet(F.col("pair.length"))}
     )
-    return rounded.groupBy("plan_id", "width_ft", "length_ft").agg(
-        F.max(F.col("w") * F.col("l")).alias("area_sqft")
+    sized = rows.filter(F.col("w").between(F.col("low"), F.col("high")) & F.col("l").between(F.col("low"), F.col("high")))
+    distinct = sized.groupBy("plan_id", "w", "l").agg(F.min(F.struct("rule_no", "page_no", "pos")).alias("place"))
+    found_pairs = distinct.groupBy("plan_id").agg(F.array_sort(F.collect_list(F.struct("place", "w", "l"))).alias("found"))
+    kept = F.aggregate(
+        "found",
+        F.slice("found", 1, 0),
+        lambda kept, x: F.when(
+            F.exists(kept, lambda k: (F.abs(k["w"] - x["w"]) < 0.1) & (F.abs(k["l"] - x["l"]) < 0.1)), kept
+        ).otherwise(F.concat(kept, F.array(x))),
+    )
+    return found_pairs.select("plan_id", F.inline(kept)).select(
+        "plan_id",
+        F.round("w", 1).alias("width_ft"),
+        F.round("l", 1).alias("length_ft"),
+        (F.col("w") * F.col("l")).alias("area_sqft"),
     )
 
 

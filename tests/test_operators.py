@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from parcelmill.takeoff import measures
 from parcelmill.operators import joins, keyed, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
@@ -346,3 +347,10 @@ def test_checks_of_rooms_and_ceilings(frame):
     scores = validate.plan_scores(checks, validate.structural_issues(facts)).first()
     assert (scores.total_checks, scores.passed_checks, scores.failed_checks) == (8, 7, 1)
     assert scores.critical_count == 1  # no rooms in the facts
+
+
+def test_dimensions_closer_than_a_tenth_of_a_foot_are_one(spark):
+    text = "12'-0\" x 14'-0\" and 12'-1\" x 14'-0\" and 12'-3\" x 14'-0\""
+    pages = spark.createDataFrame([(1, 1, text), (2, 1, "none"), (3, 1, None)], "plan_id int, page_no int, text string")
+    got = measures.dimensions(pages).collect()
+    assert sorted((r["plan_id"], r["area_sqft"]) for r in got) == [(1, 168.0), (1, 171.5)]
