@@ -6,13 +6,12 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.takeoff import measures
 from parcelmill.operators import joins, keyed, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
 from parcelmill.sources import delimited, runlog, sinks, store
 from parcelmill.sources.fixed_width import IMPROVEMENT, PROP, project_fields
-from parcelmill.takeoff import rooms, specs, validate
+from parcelmill.takeoff import measures, rooms, specs, validate
 
 
 def test_positions_count_across_spans(frame):
