@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -335,7 +336,8 @@ def _learner(network, flat):
         net.train(docs)
         seen += size
         if seen:
-            salt = uuid.uuid4().int % _SALTS
+            # the same when a lost task runs again, so that no part is counted twice or left out
+            salt = TaskContext.get().partitionId() % _SALTS
             parts = np.array_split(net.flat().astype(np.float32), _PARTS)
             yield pa.RecordBatch.from_pylist(
                 [{"part": k, "salt": salt, "tokens": float(seen), "weights": v.tobytes()} for k, v in enumerate(parts)],
