@@ -31,114 +31,106 @@ class Layout:
     fields: tuple[Field, ...]
 
 
-def _layout(name: str, key: str, spec: str) -> Layout:
-    fields = []
-    for line in spec.split():
-        field, start, end, *kind = line.split(",")
-        fields.append(Field(field, int(start), int(end), *kind))
-    return Layout(name, key, tuple(fields))
-
-
 # Name, start, end (0-based, end exclusive) and kind of every field.
-PROP = _layout(
+PROP = Layout(
     "prop",
     "account_id",
-    """
-    account_id,0,12
-    property_type,12,13
-    tax_year,17,22
-    geo_id,550,570
-    owner_id,580,592
-    owner_name,608,660
-    owner_address,693,743
-    owner_address2,743,793
-    owner_city,873,923
-    owner_state,923,926
-    owner_zip,978,988
-    property_street_name,1049,1080
-    property_street_type,1099,1120
-    property_zip,1138,1148
-    legal_description,1150,1250
-    map_reference,1680,1720
-    property_class,1720,1750
-    assessed_value_1,1820,1835,money
-    land_value,1835,1850,money
-    improvement_value,1850,1865,money
-    market_value,1923,1938,money
-    appraised_value,1938,1953,money
-    assessment_date,2000,2010,date
-    exemption_codes,2100,2130
-    deed_info,2200,2250
-    property_city,3455,3475
-    """,
+    (
+        Field("account_id", 0, 12),
+        Field("property_type", 12, 13),
+        Field("tax_year", 17, 22),
+        Field("geo_id", 550, 570),
+        Field("owner_id", 580, 592),
+        Field("owner_name", 608, 660),
+        Field("owner_address", 693, 743),
+        Field("owner_address2", 743, 793),
+        Field("owner_city", 873, 923),
+        Field("owner_state", 923, 926),
+        Field("owner_zip", 978, 988),
+        Field("property_street_name", 1049, 1080),
+        Field("property_street_type", 1099, 1120),
+        Field("property_zip", 1138, 1148),
+        Field("legal_description", 1150, 1250),
+        Field("map_reference", 1680, 1720),
+        Field("property_class", 1720, 1750),
+        Field("assessed_value_1", 1820, 1835, "money"),
+        Field("land_value", 1835, 1850, "money"),
+        Field("improvement_value", 1850, 1865, "money"),
+        Field("market_value", 1923, 1938, "money"),
+        Field("appraised_value", 1938, 1953, "money"),
+        Field("assessment_date", 2000, 2010, "date"),
+        Field("exemption_codes", 2100, 2130),
+        Field("deed_info", 2200, 2250),
+        Field("property_city", 3455, 3475),
+    ),
 )
-PROP_ENT = _layout(
+PROP_ENT = Layout(
     "prop_ent",
     "account_id",
-    """
-    account_id,0,12
-    tax_year,12,16,whole
-    jurisdiction_id,50,62
-    entity_type,62,72
-    entity_name,63,143
-    entity_assessed_value,200,215,money
-    entity_market_value,300,315,money
-    entity_taxable_value,400,415,money
-    prior_year_value,500,515,money
-    tax_rate,1000,1010,rate
-    tax_amount,1100,1115,money
-    exemption_amount,1200,1215,money
-    """,
+    (
+        Field("account_id", 0, 12),
+        Field("tax_year", 12, 16, "whole"),
+        Field("jurisdiction_id", 50, 62),
+        Field("entity_type", 62, 72),
+        Field("entity_name", 63, 143),
+        Field("entity_assessed_value", 200, 215, "money"),
+        Field("entity_market_value", 300, 315, "money"),
+        Field("entity_taxable_value", 400, 415, "money"),
+        Field("prior_year_value", 500, 515, "money"),
+        Field("tax_rate", 1000, 1010, "rate"),
+        Field("tax_amount", 1100, 1115, "money"),
+        Field("exemption_amount", 1200, 1215, "money"),
+    ),
 )
-IMPROVEMENT = _layout(
+IMPROVEMENT = Layout(
     "improvement",
     "account_id",
-    """
-    account_id,0,12
-    improvement_id,12,22
-    improvement_type,22,42
-    improvement_class,42,62
-    year_built,62,66,whole
-    square_footage,66,76,whole
-    value,76,86,whole
-    description,86,136
-    """,
+    (
+        Field("account_id", 0, 12),
+        Field("improvement_id", 12, 22),
+        Field("improvement_type", 22, 42),
+        Field("improvement_class", 42, 62),
+        Field("year_built", 62, 66, "whole"),
+        Field("square_footage", 66, 76, "whole"),
+        Field("value", 76, 86, "whole"),
+        Field("description", 86, 136),
+    ),
 )
-LAND = _layout(
+LAND = Layout(
     "land",
     "account_id",
-    """
-    account_id,0,12
-    land_id,12,22
-    land_type,22,42
-    land_description,42,92
-    land_class,92,112
-    land_area,112,122,whole
-    land_value,122,132,money
-    """,
+    (
+        Field("account_id", 0, 12),
+        Field("land_id", 12, 22),
+        Field("land_type", 22, 42),
+        Field("land_description", 42, 92),
+        Field("land_class", 92, 112),
+        Field("land_area", 112, 122, "whole"),
+        Field("land_value", 122, 132, "money"),
+    ),
 )
-AGENT = _layout(
+AGENT = Layout(
     "agent",
     "agent_id",
-    """
-    agent_id,0,12
-    agent_name,12,72
-    agent_address,72,142
-    agent_city,142,162
-    agent_state,162,165
-    agent_zip,165,175
-    """,
+    (
+        Field("agent_id", 0, 12),
+        Field("agent_name", 12, 72),
+        Field("agent_address", 72, 142),
+        Field("agent_city", 142, 162),
+        Field("agent_state", 162, 165),
+        Field("agent_zip", 165, 175),
+    ),
 )
-SUBDIVISION = _layout(
+SUBDIVISION = Layout(
     "subdivision",
     "subdivision_id",
-    """
-    subdivision_id,0,12
-    subdivision_name,12,62
-    subdivision_type,62,82
-    city,82,112
-    county,112,132
-    """,
+    (
+        Field("subdivision_id", 0, 12),
+        Field("subdivision_name", 12, 62),
+        Field("subdivision_type", 62, 82),
+        Field("city", 82, 112),
+        Field("county", 112, 132),
+    ),
 )
 SIDE_LAYOUTS = (IMPROVEMENT, LAND, AGENT, SUBDIVISION)
 
