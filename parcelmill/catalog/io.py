@@ -487,9 +487,9 @@ SECOND_BATCH = "o_orderkey % 2 = 0"
 def k4(src: Inputs):
     root = scratch_path(src.spark, "k4")
     first, second = _order_records(src, FIRST_BATCH), _order_records(src, SECOND_BATCH)
-    store.upsert(src.spark, root, first, "first", RUN_TIME, "source_pos", buckets=4)
-    counts = store.upsert(src.spark, root, second, "second", LATER, "source_pos", buckets=4)
-    again = store.upsert(src.spark, root, second, "second", LATER, "source_pos", buckets=4)
+    store.upsert(src.spark, root, first, "first", RUN_TIME, "source_pos")
+    counts = store.upsert(src.spark, root, second, "second", LATER, "source_pos")
+    again = store.upsert(src.spark, root, second, "second", LATER, "source_pos")
     if counts != again:
         raise AssertionError("a replayed batch must not be applied twice")
     records = store.read_store(src.spark, root).select(
@@ -671,7 +671,7 @@ def r2(src: Inputs):
         )
 
     ingest.ingest_upserts(
-        stream, to_records, root, f"{root}/checkpoint", "r2", RUN_TIME, "source_pos", buckets=4
+        stream, to_records, root, f"{root}/checkpoint", "r2", RUN_TIME, "source_pos"
     ).awaitTermination()
     return store.read_store(src.spark, root).select("account_id", "name", "segment")
 
@@ -687,8 +687,8 @@ def a24(src: Inputs):
     records = harris.account_records(src.view("fx_real_acct")).select(
         "account_id", "county", "valuation", F.col("account_id").cast("bigint").alias("source_pos")
     )
-    store.upsert(src.spark, root, records, "first", RUN_TIME, "source_pos", buckets=4)
-    store.upsert(src.spark, root, records, "second", LATER, "source_pos", buckets=4)
+    store.upsert(src.spark, root, records, "first", RUN_TIME, "source_pos")
+    store.upsert(src.spark, root, records, "second", LATER, "source_pos")
     stats = store.store_statistics(
         store.read_store(src.spark, root), runlog.events(src.spark, root)
     )

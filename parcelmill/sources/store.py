@@ -1,23 +1,27 @@
-"""The property store: Parquet snapshots by version, upserted by account id.
+"""The property store: append-only Parquet batches, upserted by account id.
 
-Layout: `data/version=V/bucket=B/county=C/*.parquet` plus a small `commits` table that names the
-current version of each bucket, and `staging/` with the batches as they came (removable once
-committed). An upsert rewrites only the buckets its accounts fall into, into a new
-version folder, and becomes visible when its commit rows are written; a failed write leaves the former
-snapshot in place. One writer at a time is assumed.
+Layout: `data/<folder>/county=C/*.parquet`, a folder per batch, plus a small `commits` table that names the
+folders in the order of their versions, and `staging/` with the batches as they came. An upsert writes its own
+records alone; reading takes the latest record of each account. `compact` writes what is current into one
+folder, from which readers then start. A folder counts once its commit row is written, and its name is
+never used again, so what a failed write left behind is never read. One writer at a time is assumed.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from parcelmill.operators.keyed import last_per_key
 from parcelmill.sources.runlog import log_event
 
-BUCKETS = 64
 COMMIT_DDL = (
-    "version int, batch_id string, bucket int, bucket_rows bigint, total_count bigint, "
-    "inserted_count bigint, replaced_count bigint, duplicate_count bigint"
+    "version int, batch_id string, folder string, base boolean, reload_county string, schema string, "
+    "total_count bigint, inserted_count bigint, replaced_count bigint, duplicate_count bigint"
 )
 VERSION_TAG = "1.0"
 INGESTION_TYPE = "normalized_bulk"
@@ -50,10 +54,6 @@ def with_run_metadata(
     return df.withColumn("metadata", F.struct(*fields))
 
 
-def bucket_of(c: Column, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-
-
 def commits(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.schema(COMMIT_DDL).parquet(f"{root}/commits")
@@ -61,22 +61,44 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], COMMIT_DDL)
 
 
-def read_store(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current snapshot, or None while it is empty.
+def _current(spark: SparkSession, root: str) -> list:
+    """Commit rows since the last compaction, in order: one per batch."""
+    made = commits(spark, root)
+    base = made.agg(F.coalesce(F.max(F.when(F.col("base"), F.col("version"))), F.lit(0))).first()[0]
+    return made.filter(F.col("version") >= base).orderBy("version").collect()
 
-    The current folders are named by the commits: one per bucket, so the list on the driver is as long
-    as the number of buckets and superseded versions are not scanned.
-    """
-    latest = F.max_by("bucket_rows", "version").alias("rows")
-    current = commits(spark, root).groupBy("bucket").agg(F.max("version").alias("version"), latest)
-    folders = [
-        f"{root}/data/version={r['version']}/bucket={r['bucket']}"
-        for r in current.filter("rows > 0").collect()
-    ]
-    if not folders:
+
+def read_store(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame | None:
+    """The current records (`columns`: only these, besides the key), or None while there is no batch."""
+    return _snapshot(spark, root, _current(spark, root), columns)
+
+
+def _snapshot(spark, root, current: list, columns: list[str] | None = None) -> DataFrame | None:
+    if not current:
         return None
-    data = spark.read.option("basePath", f"{root}/data").parquet(*folders)
-    return data.drop("bucket", "version")
+    schema = StructType.fromJson(json.loads(current[-1]["schema"]))
+    wanted = [f for f in schema if columns is None or f.name in {*columns, "account_id"}]
+    names = [f.name for f in wanted]
+    # one scan for each batch that is not compacted yet; the schema is the latest batch's
+    parts = [
+        spark.read.schema(schema).parquet(f"{root}/data/{r['folder']}").withColumn("_version", F.lit(r["version"]))
+        for r in current
+    ]
+    if len(parts) == 1:
+        return parts[0].select(*names)
+    # a reload ends the county's earlier records
+    for county, version in [(r["reload_county"], r["version"]) for r in current if r["reload_county"]]:
+        parts = [
+            p.filter(~F.col("county").eqNullSafe(county)) if r["version"] < version else p
+            for p, r in zip(parts, current)
+        ]
+    rows = reduce(DataFrame.unionByName, [p.select(*names, "_version") for p in parts])
+    same = Window.partitionBy("account_id")
+    if "metadata" in names:
+        seen = F.min("metadata.created_at").over(same)
+        rows = rows.withColumn("metadata", F.col("metadata").withField("created_at", seen))
+    latest = F.row_number().over(same.orderBy(F.desc("_version")))
+    return rows.withColumn("_rank", latest).filter("_rank = 1").select(*names)
 
 
 def upsert(
@@ -87,7 +109,6 @@ def upsert(
     run_time: str,
     position: str,
     source_files: list[str] | None = None,
-    buckets: int = BUCKETS,
     reload_county: str | None = None,
 ) -> dict[str, int | str]:
     """Replace or insert whole records by `account_id`; the row with the highest `position` wins.
@@ -100,14 +121,15 @@ def upsert(
         return _result(batch_id, done[0])
     total = 0
     try:
-        # the batch is built once; counting, deduplication and merge read the staged copy
+        # the batch is built once; counting and deduplication read the staged copy
         staged_path = f"{root}/staging/{batch_id}"
         batch.write.mode("overwrite").parquet(staged_path)
         staged = spark.read.schema(batch.schema).parquet(staged_path)
         total = staged.count()
         log_event(spark, root, batch_id, "started", run_time, total, source_files=source_files)
-        counts = _merge(spark, root, staged, batch_id, run_time, position, source_files, buckets,
-                        reload_county, total)
+        latest = last_per_key(staged, ["account_id"], position).drop(position)
+        fresh = with_run_metadata(latest, batch_id, run_time, source_files)
+        counts = _append(spark, root, fresh, batch_id, total, reload_county)
     except Exception as error:
         log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error))
         raise
@@ -115,74 +137,46 @@ def upsert(
     return counts
 
 
-def _merge(
-    spark, root, batch, batch_id, run_time, position, source_files, buckets, reload_county, total
-):
-    latest = last_per_key(batch, ["account_id"], position).drop(position)
-    fresh = with_run_metadata(latest, batch_id, run_time, source_files).withColumn(
-        "bucket", bucket_of(F.col("account_id"), buckets)
-    )
-    columns = fresh.columns
-    store = read_store(spark, root)
-    if store is None:
-        merged = fresh
-    else:
-        old = store.withColumn("bucket", bucket_of(F.col("account_id"), buckets))
-        if reload_county is None:
-            old = old.join(fresh.select("bucket").distinct(), "bucket", "left_semi")
-        else:
-            old = old.filter(F.col("county") != reload_county)
-        merged = _replace(old.select(*columns), fresh, columns)
-    version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    target = f"{root}/data/version={version}"
-    # rebalancing splits large folders over several tasks and merges small ones
-    # what a run left under this version before it failed was never committed, so it is replaced
-    merged.hint("rebalance", "bucket", "county").write.mode("overwrite").partitionBy("bucket", "county").parquet(target)
-    return _commit(spark, root, target, version, batch_id, total, buckets, reload_county)
-
-
-def _replace(old: DataFrame, fresh: DataFrame, columns: list[str]) -> DataFrame:
-    """Fresh records in place of old ones of the same account, in one join."""
-    a = old.select(F.col("account_id").alias("_id"), F.struct(*columns).alias("_old"))
-    b = fresh.select(F.col("account_id").alias("_id"), F.struct(*columns).alias("_new"))
-    both = a.join(b, "_id", "full_outer")
-    first_seen = F.coalesce(F.col("_old.metadata.created_at"), F.col("_new.metadata.created_at"))
-
-    def pick(name: str) -> Column:
-        new = F.col(f"_new.{name}")
-        if name == "metadata":
-            new = new.withField("created_at", first_seen)
-        return F.when(F.col("_new").isNotNull(), new).otherwise(F.col(f"_old.{name}")).alias(name)
-
-    return both.select(*[pick(c) for c in columns])
-
-
-def _commit(spark, root, target, version, batch_id, total, buckets, reload_county):
-    """Count what was written and make the version current for its buckets."""
-    written = spark.read.parquet(target).select("bucket", "metadata")
-    mine = F.col("metadata.batch_id") == batch_id
-    new = F.col("metadata.created_at") == F.col("metadata.updated_at")
-    sums = written.agg(
-        F.count_if(mine & new).alias("inserted"), F.count_if(mine & ~new).alias("replaced")
-    ).first()
-    inserted, replaced = sums["inserted"], sums["replaced"]
-    duplicates = total - inserted - replaced
-    touched = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_rows"))
-    if reload_county is not None:  # a bucket may have lost all its records
-        every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-        touched = every.join(touched, "bucket", "left").fillna(0, ["bucket_rows"])
-    touched.select(
-        F.lit(version).alias("version"),
-        F.lit(batch_id).alias("batch_id"),
-        "bucket",
-        "bucket_rows",
-        F.lit(total).cast("bigint").alias("total_count"),
-        F.lit(inserted).cast("bigint").alias("inserted_count"),
-        F.lit(replaced).cast("bigint").alias("replaced_count"),
-        F.lit(duplicates).cast("bigint").alias("duplicate_count"),
-    ).coalesce(1).write.mode("append").parquet(f"{root}/commits")
-    row = commits(spark, root).filter(F.col("version") == version).first()
-    return _result(batch_id, row)
+def _append(spark, root, fresh, batch_id, total, reload_county) -> dict[str, int | str]:
+    """Write a batch of one record per account and commit it."""
+    current = _current(spark, root)
+    folder = _write(root, fresh)
+    written = spark.read.schema(fresh.schema).parquet(f"{root}/data/{folder}")
+    known = _snapshot(spark, root, current, ["county"])
+    saved = written.count()
+    replaced = 0
+    if known is not None:
+        if reload_county is not None:
+            known = known.filter(~F.col("county").eqNullSafe(reload_county))
+        replaced = written.join(known.select("account_id"), "account_id", "left_semi").count()
+    counts = (total, saved - replaced, replaced, total - saved)
+    return _commit(spark, root, folder, batch_id, fresh.schema, counts, reload_county=reload_county)
+
+
+def _write(root: str, records: DataFrame) -> str:
+    folder = uuid.uuid4().hex
+    # rebalancing splits large counties over several tasks and merges small ones
+    records.hint("rebalance", "county").write.partitionBy("county").parquet(f"{root}/data/{folder}")
+    return folder
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """The current records in one folder; readers start from it, replays are still recognised."""
+    current = _current(spark, root)
+    records = _snapshot(spark, root, current)
+    if records is None or len(current) == 1:
+        return
+    folder = _write(root, records)
+    _commit(spark, root, folder, f"compact-{folder}", records.schema, (0, 0, 0, 0), base=True)
+
+
+def _commit(spark, root, folder, batch_id, schema, counts, base=False, reload_county=None):
+    """One commit row: from now on the folder counts."""
+    version = commits(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
+    row = (version, batch_id, folder, base, reload_county, schema.json(), *counts)
+    frame = spark.createDataFrame([row], COMMIT_DDL)
+    frame.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    return _result(batch_id, frame.first())
 
 
 def _result(batch_id, row) -> dict[str, int | str]:

@@ -44,7 +44,6 @@ def ingest_upserts(
     run_name: str,
     run_time: str,
     position: str,
-    buckets: int,
 ) -> StreamingQuery:
     """Upsert each micro-batch into the store. The batch id carries the epoch, so a replayed
     micro-batch is recognised and not applied twice."""
@@ -53,7 +52,7 @@ def ingest_upserts(
         spark = batch.sparkSession
         records = to_records(batch)
         if not records.isEmpty():
-            upsert(spark, root, records, f"{run_name}-{epoch}", run_time, position, buckets=buckets)
+            upsert(spark, root, records, f"{run_name}-{epoch}", run_time, position)
 
     return (
         source.writeStream.foreachBatch(apply)

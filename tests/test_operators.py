@@ -89,10 +89,10 @@ def test_upsert_replay_and_created_at(spark, frame):
     root = scratch_path(spark, "t-store")
     schema = "account_id string, county string, v int, pos long"
     first = frame([("1", "harris", 1, 1), ("2", "travis", 2, 2), ("1", "harris", 3, 3)], schema)
-    counts = store.upsert(spark, root, first, "b1", "2025-01-01 00:00:00", "pos", buckets=4)
+    counts = store.upsert(spark, root, first, "b1", "2025-01-01 00:00:00", "pos")
     assert (counts["inserted_count"], counts["duplicate_count"]) == (2, 1)
     second = frame([("1", "dallas", 9, 1), ("3", "harris", 4, 2)], schema)
-    counts = store.upsert(spark, root, second, "b2", "2025-01-02 00:00:00", "pos", buckets=4)
+    counts = store.upsert(spark, root, second, "b2", "2025-01-02 00:00:00", "pos")
     assert (counts["inserted_count"], counts["replaced_count"]) == (1, 1)
     assert store.upsert(spark, root, second, "b2", "2025-01-03 00:00:00", "pos") == counts
     got = {
@@ -110,15 +110,39 @@ def test_reload_drops_the_county(spark, frame):
     root = scratch_path(spark, "t-reload")
     schema = "account_id string, county string, v int, pos long"
     rows = [(str(i), "harris" if i % 2 else "travis", i, i) for i in range(20)]
-    store.upsert(spark, root, frame(rows, schema), "b1", "2025-01-01 00:00:00", "pos", buckets=4)
+    store.upsert(spark, root, frame(rows, schema), "b1", "2025-01-01 00:00:00", "pos")
     fresh = frame([("1", "harris", 100, 1)], schema)
     store.upsert(
-        spark, root, fresh, "b2", "2025-01-02 00:00:00", "pos", buckets=4, reload_county="harris"
+        spark, root, fresh, "b2", "2025-01-02 00:00:00", "pos", reload_county="harris"
     )
     got = {(r.account_id, r.v) for r in store.read_store(spark, root).collect()}
     assert got == {("1", 100)} | {(str(i), i) for i in range(0, 20, 2)}
 
 
+def test_compaction_keeps_the_records_and_the_replays(spark, frame):
+    root = scratch_path(spark, "t-compact")
+    schema = "account_id string, county string, v int, pos long"
+    batches = {
+        "b1": [("1", "harris", 1, 1), ("2", "travis", 2, 2)],
+        "b2": [("1", "dallas", 9, 1), ("3", "harris", 4, 2)],
+        "b3": [("4", None, 5, 1), ("2", "travis", 6, 2)],
+    }
+    counts = {
+        b: store.upsert(spark, root, frame(rows, schema), b, f"2025-01-0{b[1]} 00:00:00", "pos")
+        for b, rows in batches.items()
+    }
+    before = sorted(map(str, store.read_store(spark, root).collect()))
+    store.compact(spark, root)
+    assert sorted(map(str, store.read_store(spark, root).collect())) == before
+    assert len(before) == 4
+    again = store.upsert(spark, root, frame(batches["b2"], schema), "b2", "2025-01-09 00:00:00", "pos")
+    assert again == counts["b2"]
+    late = store.upsert(spark, root, frame([("4", "dallas", 7, 1)], schema), "b4", "2025-01-04 00:00:00", "pos")
+    assert late["replaced_count"] == 1
+    got = {r.account_id: (r.v, str(r.metadata.created_at)[:10]) for r in store.read_store(spark, root).collect()}
+    assert got == {"1": (9, "2025-01-01"), "2": (6, "2025-01-01"), "3": (4, "2025-01-02"), "4": (7, "2025-01-03")}
+
+
 def test_failed_upsert_is_logged_and_leaves_the_store(spark, frame):
     root = scratch_path(spark, "t-fail")
     schema = "account_id string, county string, v int, pos long"
@@ -136,12 +160,12 @@ def test_failed_upsert_is_logged_and_leaves_the_store(spark, frame):
 
 
 def test_upsert_recovers_after_a_crash_before_the_commit(spark, frame, monkeypatch):
-    """Data is written, the commit is not: the retry replaces what was left."""
+    """Data is written, the commit is not: the retry writes its own folder, the other is never read."""
     root = scratch_path(spark, "t-crash")
     schema = "account_id string, county string, v int, pos long"
     rows = frame([("1", "harris", 1, 1), ("2", "dallas", 5, 2)], schema)
     with monkeypatch.context() as patched:
-        patched.setattr(store, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        patched.setattr(store, "_commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost driver")))
         with pytest.raises(RuntimeError):
             store.upsert(spark, root, rows, "b1", "2025-01-01 00:00:00", "pos")
     assert store.read_store(spark, root) is None
