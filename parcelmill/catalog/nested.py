@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelmill.catalog import files
 from parcelmill.catalog.registry import Inputs, query
 from parcelmill.fixtures import TABLES
 from parcelmill.operators import summary
+from parcelmill.operators.keyed import split_by_id
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.plans.columns import Source
 from parcelmill.schemas import property_schema
@@ -220,6 +222,25 @@ def n6(src: Inputs):
     )
 
 
+@query(
+    "n1_rejected_rows",
+    "",
+    """SELECT 'usable' AS outcome, count(*) AS row_count FROM customer WHERE c_acctbal >= 1000
+    UNION ALL SELECT 'rejected', count(*) FROM customer WHERE c_acctbal < 1000""",
+)
+def n1_rejects(src: Inputs):
+    """Accounts without a usable id: null, blank or without a digit."""
+    balance = F.col("c_acctbal")
+    no_id = F.when(balance < 0, None).when(balance < 500, F.lit("  ")).otherwise("n/a")
+    rows = src.table("customer").select(
+        F.when(balance >= 1000, F.col("c_custkey").cast("string")).otherwise(no_id).alias("acct")
+    )
+    usable, rejected = split_by_id(rows, "acct")
+    return usable.agg(F.lit("usable").alias("outcome"), F.count("*").alias("row_count")).unionByName(
+        rejected.agg(F.lit("rejected").alias("outcome"), F.count("*").alias("row_count"))
+    )
+
+
 @query(
     "n7_neighbourhood",
     "fx_real_acct fx_nbhd",
@@ -228,7 +249,11 @@ def n6(src: Inputs):
 )
 def n7(src: Inputs):
     records = harris.account_records(src.view("fx_real_acct")).select("account_id", "market_area_1")
-    return harris.neighborhood_struct(records, src.view("fx_nbhd")).select(
+    # a file in which each code was written twice, the earlier row outdated
+    now = src.view("fx_nbhd").withColumn("turn", F.lit(1))
+    old = now.withColumns({"turn": F.lit(0), "dscr": F.lit("OLD")})
+    codes = files.reread(old.unionByName(now), "n7", ["turn", "cd"], [c for c in now.columns if c != "turn"])
+    return harris.neighborhood_struct(records, codes).select(
         "account_id", "neighborhood.group_code", "neighborhood.description"
     )
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from parcelmill.catalog import files
 from parcelmill.catalog.registry import Inputs, query
 from parcelmill.functions import casts, text
 from parcelmill.functions.ids import account_id
@@ -11,12 +12,17 @@ from parcelmill.sources import tables
 from parcelmill.sources.fixed_width import AGENT, IMPROVEMENT, PROP, SUBDIVISION, project_fields
 
 
+def harris_rows(df):
+    """Rows with an account id, in its full width."""
+    return keyed.split_by_id(df, "acct")[0].withColumn("acct", account_id(F.col("acct"), "harris"))
+
+
 def harris_accounts(src: Inputs):
-    return src.view("fx_real_acct").withColumn("acct", account_id(F.col("acct"), "harris"))
+    return harris_rows(src.view("fx_real_acct"))
 
 
 def harris_children(src: Inputs, view: str):
-    return src.view(view).withColumn("acct", account_id(F.col("acct"), "harris"))
+    return harris_rows(src.view(view))
 
 
 def typed_accounts(src: Inputs):
@@ -149,7 +155,11 @@ def j8(src: Inputs):
         "account_id",
         F.concat(F.lit("S"), F.col("account_id").cast("bigint") % 30).alias("subdivision_id"),
     )
-    codes = travis.subdivision_codes(src.view("fx_travis_subd")).select(
+    # a file in which each code was written twice, the earlier line outdated
+    now = src.view("fx_travis_subd").select(F.lit(1).alias("turn"), "value")
+    old = now.select(F.lit(0).alias("turn"), F.overlay("value", F.rpad(F.lit("OLD"), 50, " "), 13).alias("value"))
+    lines = files.reread_lines(old.unionByName(now), "j8", ["turn", "value"])
+    codes = travis.subdivision_codes(lines).select(
         F.col("subdivision_id").alias("code"), "subdivision_name"
     )
     return joins.lookup_join(lots, codes, "subdivision_id", "code")
@@ -183,7 +193,11 @@ def w1(src: Inputs):
         rows = src.view(view).select(
             F.lit(label).alias("src"), "account_num", F.col(value).alias("v"), "source_pos"
         )
-        return keyed.first_per_key(rows, ["account_num"], "source_pos")
+        # the place in the file decides; the sample's own number goes along as data
+        read = files.reread(rows, f"w1-{label}", ["source_pos"], position="place")
+        return keyed.first_per_key(read, ["account_num"], "place").drop("place").withColumn(
+            "source_pos", F.col("source_pos").cast("bigint")
+        )
 
     return (
         first("fx_dallas_appraisal", "appraisal", "land_val")
@@ -200,9 +214,10 @@ def w1(src: Inputs):
     QUALIFY row_number() OVER (PARTITION BY acct ORDER BY source_pos DESC) = 1""",
 )
 def w2(src: Inputs):
-    return keyed.last_per_key(harris_children(src, "fx_mineral"), ["acct"], "source_pos").drop(
-        "source_pos"
-    )
+    rows = src.view("fx_mineral")
+    fields = [c for c in rows.columns if c != "source_pos"]
+    read = harris_rows(files.reread(rows, "w2", ["source_pos"], fields))
+    return keyed.last_per_key(read, ["acct"], "source_pos").drop("source_pos")
 
 
 TYPED = f"""WITH t AS (SELECT {A} AS acct, try_cast(nullif(trim(tot_mkt_val), '') AS decimal(18,2)) AS tot_appr_val,

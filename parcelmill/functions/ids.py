@@ -13,6 +13,11 @@ def digits_padded(c: Column, width: int) -> Column:
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
+def has_account_id(c: Column) -> Column:
+    """False for null, blank and digitless ids: rows that no account can claim."""
+    return F.coalesce(c, F.lit("")).rlike(r"\d")
+
+
 def account_id(c: Column, county: str) -> Column:
     filled = digits_padded(c, ID_WIDTH[county])
     if county == "travis":

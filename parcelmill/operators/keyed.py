@@ -8,6 +8,8 @@ spans, summarise each span, and only then finish inside the spans.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelmill.functions.ids import has_account_id
+
 ROWS_PER_SPAN = 1_000_000
 
 
@@ -15,6 +17,12 @@ def _columns(names: list[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
+def split_by_id(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with an account id, rejects). Kept apart, so that rows without one do not meet on one key."""
+    usable = has_account_id(F.col(column))
+    return df.filter(usable), df.filter(~usable)
+
+
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first `n` rows of each key in the given order."""
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

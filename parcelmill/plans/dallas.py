@@ -9,7 +9,7 @@ from parcelmill.functions import casts, text
 from parcelmill.functions.address import numbered_street
 from parcelmill.functions.ids import account_id
 from parcelmill.functions.values import acres_to_sq_ft, division_type
-from parcelmill.operators.keyed import first_per_key
+from parcelmill.operators.keyed import first_per_key, split_by_id
 from parcelmill.operators.nesting import Nested, attach, nest_children
 from parcelmill.plans.columns import Source, struct_of
 from parcelmill.schemas import conform, section
@@ -34,7 +34,8 @@ class DallasFiles:
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn(KEY, account_id(F.col("account_num"), COUNTY))
+    """Rows with an account id, and their key; `split_by_id` has the others."""
+    return split_by_id(df, "account_num")[0].withColumn(KEY, account_id(F.col("account_num"), COUNTY))
 
 
 def first_row_struct(df: DataFrame, name: str) -> DataFrame:

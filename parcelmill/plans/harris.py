@@ -9,7 +9,7 @@ from parcelmill.functions import text
 from parcelmill.functions.ids import account_id
 from parcelmill.functions.values import value_change
 from parcelmill.operators.joins import lookup_join
-from parcelmill.operators.keyed import last_per_key
+from parcelmill.operators.keyed import last_per_key, split_by_id
 from parcelmill.operators.nesting import Nested, attach, nest_children
 from parcelmill.plans.columns import Source, struct_of
 from parcelmill.schemas import conform, section
@@ -30,12 +30,13 @@ class HarrisFiles:
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn(KEY, account_id(F.col("acct"), COUNTY))
+    """Rows with an account id, and their key; `split_by_id` has the others."""
+    return split_by_id(df, "acct")[0].withColumn(KEY, account_id(F.col("acct"), COUNTY))
 
 
 def with_position(df: DataFrame, position: str = "source_pos") -> DataFrame:
-    """Row order within the source; a frame without one keeps a constant and sorts by its fields."""
-    return df if position in df.columns else df.withColumn(position, F.lit(0).cast("bigint"))
+    """Row order within the source; a frame without one is ordered by its fields."""
+    return df if position in df.columns else df.withColumn(position, F.struct(*df.columns))
 
 
 def nest_owners(owners: DataFrame) -> Nested:

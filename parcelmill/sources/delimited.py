@@ -16,6 +16,9 @@ from parcelmill.functions import casts, text
 DELIMITERS = [",", "\t", "|", ";"]
 DEFAULT_DELIMITER = "\t"
 
+# Forms that are taken as a date, year first or day first. Month-first files name their form.
+DATE_FORMS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy", "dd/MM/yyyy")
+
 # Parse-loss limits.
 STOP_LOSS = 0.05
 EXCELLENT_LOSS = 0.02
@@ -26,45 +29,70 @@ def string_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
+def file_position() -> Column:
+    """Place of a row in the files that are scanned: file, start of its split, order in the split.
+
+    A split is read by one task from its first row to its last, so places order as the file does. Places are
+    compared, never computed with.
+    """
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def _positioned(scan: DataFrame, position: str | None) -> DataFrame:
+    return scan if position is None else scan.select("*", file_position().alias(position))
+
+
+def read_lines(spark: SparkSession, path: str, position: str | None = "source_pos", **options: str) -> DataFrame:
+    """Lines (`value`) of text files, with their place in the column `position` (None: without)."""
+    return _positioned(spark.read.options(**options).text(path), position)
+
+
 def read_strings(
-    spark: SparkSession, path: str, columns: list[str], sep: str = ",", **options: str
+    spark: SparkSession, path: str, columns: list[str], sep: str = ",", position: str | None = None, **options: str
 ) -> DataFrame:
-    """All columns as text; nothing is inferred, so the file is read once."""
+    """All columns as text; nothing is inferred, so the file is read once. `position`: a column for each row's
+    place, which first- and last-wins rules need."""
     reader = spark.read.schema(string_schema(columns)).option("header", True).option("sep", sep)
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.csv(path)
+    return _positioned(reader.csv(path), position)
 
 
 def read_delimited(
-    spark: SparkSession, path: str, types: dict[str, str], sep: str = "\t"
-) -> DataFrame:
+    spark: SparkSession, path: str, types: dict[str, str], sep: str = "\t", position: str | None = None,
+    date_forms: tuple[str, ...] = DATE_FORMS,
+) -> DataFrame:
     """Text columns with null tokens removed and the declared types applied."""
-    return apply_types(read_strings(spark, path, list(types), sep), types)
+    return apply_types(read_strings(spark, path, list(types), sep, position), types, date_forms)
 
 
-def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Declared types over text columns; a cell that does not parse is null."""
+def apply_types(df: DataFrame, types: dict[str, str], date_forms: tuple[str, ...] = DATE_FORMS) -> DataFrame:
+    """Declared types over text columns; a cell that does not parse is null. Other columns stay."""
 
     def typed(name: str, sql_type: str) -> Column:
         cell = text.tokens_to_null(F.col(name))
         if sql_type == "string":
             return cell
         if sql_type == "date":
-            return F.try_to_date(cell, "yyyy-MM-dd")
+            return F.coalesce(*[F.try_to_date(cell, form) for form in date_forms])
         if sql_type == "timestamp":
             return F.try_to_timestamp(cell)
         return casts.number_or_null(cell, sql_type)
 
-    return df.select(*[typed(n, t).alias(n) for n, t in types.items()])
+    others = [c for c in df.columns if c not in types]
+    return df.select(*[typed(n, t).alias(n) for n, t in types.items()], *others)
 
 
 def read_quote_blind(
-    spark: SparkSession, path: str, columns: list[str], sep: str = "\t"
+    spark: SparkSession, path: str, columns: list[str], sep: str = "\t", position: str | None = None
 ) -> DataFrame:
     """Quotes are data: rows with stray quotes stay whole, malformed rows keep their raw text."""
     schema = string_schema([*columns, "_corrupt"])
-    return (
+    scan = (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", sep)
@@ -73,6 +101,7 @@ def read_quote_blind(
         .option("columnNameOfCorruptRecord", "_corrupt")
         .csv(path)
     )
+    return _positioned(scan, position)
 
 
 def strip_description(c: Column) -> Column:
@@ -115,10 +144,11 @@ def repair_ragged(
 ) -> tuple[DataFrame, DataFrame]:
     """(`good`, `rejects`): exact rows, rows one field short, and rows with one empty extra field.
 
-    The extra field is accepted only with `drop_empty_extra` (account files).
+    The extra field is accepted only with `drop_empty_extra` (account files). Other columns of `lines` stay.
     """
     n = len(columns)
-    cells = lines.select("value", F.split("value", _quoted(sep), -1).alias("_cells"))
+    others = [c for c in lines.columns if c != "value"]
+    cells = lines.select("*", F.split("value", _quoted(sep), -1).alias("_cells"))
     size = F.size("_cells")
     extra = (size == n + 1) & (F.try_element_at("_cells", F.lit(n + 1)) == "")
     fits = (size == n) | (size == n - 1)
@@ -128,9 +158,10 @@ def repair_ragged(
         *[
             F.coalesce(F.get("_cells", F.lit(i)), F.lit("")).alias(c)
             for i, c in enumerate(columns)
-        ]
+        ],
+        *others,
     )
-    rejects = cells.filter(~fits).select("value", size.alias("fields"))
+    rejects = cells.filter(~fits).select("value", size.alias("fields"), *others)
     return good, rejects
 
 

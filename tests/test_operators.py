@@ -377,3 +377,49 @@ def test_dimensions_closer_than_a_tenth_of_a_foot_are_one(spark):
     pages = spark.createDataFrame([(1, 1, text), (2, 1, "none"), (3, 1, None)], "plan_id int, page_no int, text string")
     got = measures.dimensions(pages).collect()
     assert sorted((r["plan_id"], r["area_sqft"]) for r in got) == [(1, 168.0), (1, 171.5)]
+
+
+def test_places_follow_the_files_over_many_splits(spark):
+    path = scratch_path(spark, "t-places")
+    rows = spark.range(4000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("n"))
+    rows.orderBy("n").repartitionByRange(3, "n").sortWithinPartitions("n").write.option("header", True).csv(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        read = delimited.read_strings(spark, path, ["k", "n"], position="source_pos")
+        assert read.rdd.getNumPartitions() > 6
+        first = {r.k: int(r.n) for r in keyed.first_per_key(read, ["k"], "source_pos").collect()}
+        last = {r.k: int(r.n) for r in keyed.last_per_key(read, ["k"], "source_pos").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert first == {str(k): k for k in range(7)}
+    assert last == {str(n % 7): n for n in range(3993, 4000)}
+
+
+def test_county_files_as_read_give_records(spark, tmp_path):
+    (tmp_path / "accounts.csv").write_text("account_num,owner_name1\n1,A\n  ,NOBODY\n")
+    (tmp_path / "values.csv").write_text("account_num,land_val,tot_val\n1,5,9\n1,6,10\n,1,1\n")
+    read = lambda name, columns: delimited.read_strings(
+        spark, str(tmp_path / name), columns, position="source_pos"
+    )
+    files = dallas.DallasFiles(
+        accounts=read("accounts.csv", ["account_num", "owner_name1"]),
+        appraisal=read("values.csv", ["account_num", "land_val", "tot_val"]),
+    )
+    records = dallas.unified_records(files).select("account_id", "valuation.market_value").collect()
+    assert [(r.account_id, int(r.market_value)) for r in records] == [("1".zfill(17), 9)]
+
+
+def test_rows_without_an_id_are_rejects(frame):
+    rows = frame([("1",), (None,), (" ",), ("n/a",), ("0",)], "acct string")
+    usable, rejects = keyed.split_by_id(rows, "acct")
+    assert sorted(r.acct for r in usable.collect()) == ["0", "1"]
+    assert rejects.count() == 3
+
+
+def test_date_forms(frame):
+    rows = frame([("2024-03-05",), ("2024/03/05",), ("05/03/2024",), ("x",), ("",)], "d string")
+    got = [r.d and str(r.d) for r in delimited.apply_types(rows, {"d": "date"}).collect()]
+    assert got == ["2024-03-05"] * 3 + [None, None]
+    us = delimited.apply_types(rows.filter("d like '05%'"), {"d": "date"}, ("MM/dd/yyyy",))
+    assert str(us.first().d) == "2024-05-03"
