@@ -9,18 +9,20 @@ result is the one sequence that merging by rank gives.
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 #: Pieces and token pairs that one worker remembers before it starts anew; bounds its memory.
 REMEMBERED = 150_000
+#: Rows that a worker encodes before it hands them on.
+HELD_ROWS = 200
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -46,7 +48,7 @@ class _Vocabulary:
         for rank in sorted(self.bytes):
             self._learn(rank)
         self.memo.clear()
-        self.known: dict[str, tuple[list[int], bytes, bytes]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], bytes, bytes]] = {}
 
     def _prefix(self, data: bytes) -> int | None:
         while data and data not in self.ranks:
@@ -131,15 +133,15 @@ class _Vocabulary:
         return out
 
     def encode(self, text: str) -> list[list[int]]:
-        return [self.piece(p)[0] for p in self.pieces(text)]
+        return [list(self.piece(p)[0]) for p in self.pieces(text)]
 
-    def piece(self, piece: str) -> tuple[list[int], bytes, bytes]:
+    def piece(self, piece: str) -> tuple[tuple[int, ...], bytes, bytes]:
         """Ids of a piece, the same as text, and the bytes that the ids stand for."""
         found = self.known.get(piece)
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
+            ids = tuple(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
             found = ids, b",".join(b"%d" % i for i in ids), b"".join([self.bytes[i] for i in ids])
             if len(piece) <= 64:
                 self.known[piece] = found
@@ -169,40 +171,50 @@ class _Shared:
         return self.broadcast.value
 
 
-def encoder(spark: SparkSession, ranks_path: str, pattern: str, with_ids: bool = True):
-    """A function that makes, of a text column, a struct `n_tokens, ids, ids_sha256, decoded_sha256`
-    (`ids` only on request); the vocabulary is broadcast, as its file has a few MB at most."""
-    shared = _Shared(spark, read_ranks(spark, ranks_path))
-    names = ["n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"]
-
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _encode_rows(shared: _Shared, pattern: str, with_ids: bool, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared, pattern)
-        for part in texts:
-            yield pd.DataFrame([_encoded(vocabulary, t, with_ids) for t in part], columns=names)
-
-    kinds = {"n_tokens": "long", "ids": "array<int>"}
-    return pandas_udf(run, ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names)).asNondeterministic()
-
-
-def _encoded(vocabulary: _Vocabulary, text: str | None, with_ids: bool):
+        # what earlier stages left in a worker that is used again
+        pa.default_memory_pool().release_unused()
+        for batch in batches:
+            for at in range(0, batch.num_rows, HELD_ROWS):
+                part = batch.slice(at, HELD_ROWS)
+                sizes, flat, digests = [], array("i"), ([], [])
+                for text in part.column(1):
+                    before = len(flat)
+                    for out, digest in zip(digests, _encoded(vocabulary, text.as_py(), flat), strict=True):
+                        out.append(digest)
+                    sizes.append(len(flat) - before)
+                columns = [part.column(0), pa.array(sizes, pa.int64())]
+                if with_ids:
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.array(flat, np.int32))))
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(d, pa.string()) for d in digests)], names)
+
+    return run
+
+
+def _encoded(vocabulary: _Vocabulary, text: str | None, flat: array) -> tuple[str, str]:
+    """Append a text's ids to `flat`; the digests of the ids and of the bytes that they stand for."""
     pieces = list(map(vocabulary.piece, vocabulary.pieces(text or "")))
+    for p in pieces:
+        flat.extend(p[0])
     ids = b",".join([p[1] for p in pieces])
-    decoded = b"".join([p[2] for p in pieces])
-    return (
-        sum(len(p[0]) for p in pieces),
-        *[np.array([i for p in pieces for i in p[0]], np.int32)] * with_ids,
-        hashlib.sha256(ids).hexdigest(),
-        hashlib.sha256(decoded).hexdigest(),
-    )
+    return hashlib.sha256(ids).hexdigest(), hashlib.sha256(b"".join([p[2] for p in pieces])).hexdigest()
 
 
 def encode_documents(
     docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row `doc_id, n_tokens, ids, ids_sha256, decoded_sha256`, each text whole.
+    """Per row `doc_id, n_tokens, ids, ids_sha256, decoded_sha256` (`ids` only on request), each text whole.
 
     A null text counts as empty: no ids, and the digests of no bytes. Repeated rows each get a row, other
-    columns are left out, no rows give no rows. Special tokens are not known: their text is text.
+    columns are left out, no rows give no rows. Special tokens are not known: their text is text. The
+    vocabulary is broadcast, as its file has a few MB at most; a task hands on a few rows at a time.
     """
-    make = encoder(docs.sparkSession, ranks_path, pattern, with_ids)
-    return docs.select(F.col(doc_id).alias("doc_id"), make(F.col(text)).alias("e")).select("doc_id", "e.*")
+    shared = _Shared(docs.sparkSession, read_ranks(docs.sparkSession, ranks_path))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kinds = {"doc_id": rows.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids": "array<int>"}
+    names = ["doc_id", "n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"]
+    schema = ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names)
+    return rows.mapInArrow(_encode_rows(shared, pattern, with_ids, names), schema)

@@ -123,7 +123,7 @@ def test_bpe(spark, docs, odd, empty):
     ranks = byte_bpe.read_ranks(spark, RANKS)
     whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     for frame in (docs, odd):
-        for text, n, ids, a, b in frame.select("text", byte_bpe.encoder(spark, RANKS, PATTERN)(F.col("text")).alias("e")).select("text", "e.*").collect():
+        for text, n, ids, a, b in byte_bpe.encode_documents(frame, RANKS, PATTERN, doc_id="text").collect():
             want = whole.encode_ordinary(text or "")
             assert (n, list(ids)) == (len(want), want)
             assert a == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
