@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from parcelmill.llm import near_copies
 from parcelmill.llm.common import utf8, written
 
 SHINGLE, DISTANCE, SEGMENTS = 3, 3, 8
@@ -176,13 +177,14 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(small.select("e.a", "e.b").filter("a <> b").distinct(), "simhash-links")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: bool = False) -> DataFrame:
     """Per row `doc_id, fp` (signed), `component_id`: the smallest id among the rows that it is linked with;
     also `text_key`, a hash of the text, and `root`, the component's smallest fingerprint.
 
     Null and empty texts have fingerprint zero and are linked like others. Null ids never name a component
     unless it has no other. Repeated rows each get a row. Equal fingerprints are one node, so copies are never
-    paired. Other columns are left out; no rows give no rows.
+    paired. Other columns are left out; no rows give no rows. With `similar`, texts of which 0.8 of all five-word
+    shingles are common are linked too, however far apart their fingerprints are.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), _text_key(text).alias("text_key"), fingerprints(text).alias("fp"))
     prints = written(rows, "simhash-prints")
@@ -190,6 +192,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     roots = components(links(nodes))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "simhash-roots")
+    if similar:
+        of_text = prints.select("text_key", "fp").dropDuplicates(["text_key"]).join(rooted, "fp").select("text_key", "root")
+        wider = components(near_copies.links(docs.select(_text_key(text).alias("text_key"), F.col(text).alias("text")), of_text))
+        wider = wider.withColumnRenamed("root", "least")
+        rooted = rooted.join(wider, rooted.root == wider.node, "left").select("fp", "first_id", F.coalesce("least", "root").alias("root"))
+        rooted = written(rooted, "near-roots")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(named, "root").select("fp", "root", "component_id")
     return prints.join(classes, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
@@ -204,10 +212,10 @@ def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: bool = False) -> DataFrame:
     """Of each component the document of smallest id, whole; of rows with that id one. Null ids come last."""
     id_key = F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1))
-    marked = near_duplicates(docs, doc_id, text).withColumn("id_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
+    marked = near_duplicates(docs, doc_id, text, similar).withColumn("id_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     kept = marked.groupBy("root").agg(F.min(F.struct("id_key", "text_key")).alias("k")).select("k.id_key", "k.text_key")
     rows = docs.select(F.struct("*").alias("document"), id_key.alias("id_key"), _text_key(text).alias("text_key"))
     same = rows.join(kept, ["id_key", "text_key"]).groupBy("id_key", "text_key").agg(F.min("document").alias("document"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup
+from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, near_copies, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup
 from parcelmill.llm.queries import ORACLES, PATTERN, QUERIES, RANKS
 from tools.check_oracle import compare, connect
 
@@ -119,6 +119,37 @@ def test_ring_links(spark):
     assert all(got.get(p, p) == root(p) for p in prints)
 
 
+def grams(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_copies(spark, empty):
+    """The near-dedup stage leaves no two texts of five-word Jaccard 0.8 or more, with blocks of any size, and joins no others."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(40):
+        words = [f"w{n}" for n in rng.integers(0, 5000, 60 + 4 * k)]
+        for edits in (0, 1, 1, 2, 2, 3, 5, 9):
+            for at in rng.choice(len(words), edits, replace=False):
+                words[at] = f"x{rng.integers(0, 10**9)}"
+            texts.append(" ".join(words))
+    sets = [grams(t) for t in texts]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    up = list(range(len(texts)))
+    for i, j in near:
+        old, new = max(up[i], up[j]), min(up[i], up[j])
+        up = [new if u == old else u for u in up]
+    frame = spark.createDataFrame(list(enumerate(texts)), "text_key long, text string")
+    rooted = frame.select("text_key", F.col("text_key").alias("root"))
+    for block in (3, 2048):
+        got = {r["node"]: r["root"] for r in simhash_ring.components(near_copies.links(frame, rooted, block)).collect()}
+        assert [got.get(k, k) for k in range(len(texts))] == up
+    kept = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, frame.withColumnRenamed("text_key", "doc_id"), "").collect()}
+    assert kept <= set(up) and not any(i in kept and j in kept for i, j in near)
+    assert corpus_pipeline.simhash_near_dedup(spark, empty, "").count() == 0
+
+
 def test_bpe(spark, docs, odd, empty):
     ranks = byte_bpe.read_ranks(spark, RANKS)
     whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
