@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
-Rules are regular expressions over the lower-cased text, each gated by a keyword: one Aho-Corasick pass
-over a text finds the keywords it holds, and only their rules run. A detection that lies inside one of
+Rules are regular expressions over the lower-cased text, each gated by keywords of which whatever it matches
+holds one: one Aho-Corasick pass over a text finds the keywords it holds, and only their rules run. A detection that lies inside one of
 higher priority (or of equal priority, where it is shorter or later in the order of rules) is suppressed.
 """
 
@@ -21,7 +21,8 @@ from parcelmill.llm.common import utf8
 #: Fixed phrases, matched on whole words, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Families: label, keyword, name of the license as a regular expression (a blank is any white space).
+#: Families: label, keyword (or several with | between them; every form of the name holds one), name of the license as a
+#: regular expression (a blank is any white space).
 FAMILIES = [
     ("mit", "mit", r"(?:the )?mit(?: \(expat\)| expat)? licen[sc]e"),
     ("mit-0", "mit no attribution", r"mit no attribution(?: licen[sc]e)?"),
@@ -69,11 +70,11 @@ FAMILIES = [
     ("cc-by-sa", "creative commons", r"creative commons attribution-share ?alike"),
     ("cc-by", "creative commons", r"creative commons attribution"),
     ("cc", "creative commons", r"creative commons licen[sc]e"),
-    ("odbl-1.0", "open database", r"open (?:data commons )?database licen[sc]e"),
+    ("odbl-1.0", "open database|open data commons", r"open (?:data commons )?database licen[sc]e"),
     ("odc-by", "open data commons", r"open data commons attribution licen[sc]e"),
     ("ofl-1.1", "open font", r"(?:sil )?open font licen[sc]e"),
     ("ogl-uk", "open government", r"open government licen[sc]e"),
-    ("python-2.0", "python", r"python software foundation licen[sc]e|psf licen[sc]e"),
+    ("python-2.0", "python|psf", r"python software foundation licen[sc]e|psf licen[sc]e"),
     ("php-3.01", "php", r"php licen[sc]e"),
     ("ruby", "ruby", r"ruby licen[sc]e"),
     ("vim", "vim", r"vim licen[sc]e"),
@@ -139,7 +140,7 @@ TEXTS = [
     ("copyright", "copyright", r"\bcopyright (?:\(c\) |© )?(?:19|20)[0-9]{2}\b", 30, 0.3),
     ("copyright", "©", r"© ?(?:19|20)[0-9]{2}\b", 30, 0.3),
     ("proprietary", "proprietary", r"\bproprietary and confidential\b", 70, 0.7),
-    ("proprietary", "without permission", r"\b(?:may not|must not) be (?:copied|reproduced|distributed)[^.]{0,80} without (?:the )?(?:prior )?(?:written )?permission\b", 70, 0.7),
+    ("proprietary", "not be copied|not be reproduced|not be distributed", r"\b(?:may not|must not) be (?:copied|reproduced|distributed)[^.]{0,80} without (?:the )?(?:prior )?(?:written )?permission\b", 70, 0.7),
 ]
 
 
@@ -183,7 +184,8 @@ def rules() -> tuple[Rule, ...]:
 def _gate() -> tuple[ahocorasick.Automaton, dict[str, list[int]]]:
     by_keyword: dict[str, list[int]] = {}
     for k, rule in enumerate(rules()):
-        by_keyword.setdefault(rule.keyword, []).append(k)
+        for keyword in rule.keyword.split("|"):
+            by_keyword.setdefault(keyword, []).append(k)
     gate = ahocorasick.Automaton()
     for keyword in by_keyword:
         gate.add_word(keyword, keyword)
@@ -191,12 +193,17 @@ def _gate() -> tuple[ahocorasick.Automaton, dict[str, list[int]]]:
     return gate, by_keyword
 
 
-def detections(low: str) -> list[Found]:
-    """Detections in a lower-cased text that no other suppresses, by place."""
+def opened(low: str) -> list[int]:
+    """Rules of which a lower-cased text holds a keyword: all that can match, and others."""
     gate, by_keyword = _gate()
-    # keywords hold single blanks: look for them where all white space is a blank
-    flat = low.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ")
-    open_rules = sorted({k for keyword in {word for _, word in gate.iter(flat)} for k in by_keyword[keyword]})
+    # keywords hold single blanks: look for them where each run of white space (as `\s` has it) is a blank
+    flat = " ".join(low.split())
+    return sorted({k for keyword in {word for _, word in gate.iter(flat)} for k in by_keyword[keyword]})
+
+
+def detections(low: str, gated: bool = True) -> list[Found]:
+    """Detections in a lower-cased text that no other suppresses, by place; without the gate all rules run."""
+    open_rules = opened(low) if gated else range(len(rules()))
     every = [Found(m.start(), m.end(), k) for k in open_rules for m in rules()[k].pattern.finditer(low) if m.end() > m.start()]
     # by start, longest first: what contains a detection stands before it; of equal spans the better rule first
     every.sort(key=lambda f: (f.start, -f.stop, -rules()[f.order].priority, f.order))

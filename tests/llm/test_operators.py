@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -277,6 +278,46 @@ def test_licenses(odd, empty):
     assert license_rules.scan_licenses(empty).count() == 0
 
 
+def forms(tree):
+    """Texts of a parsed regular expression: every alternative, optional parts absent and present."""
+    out = [""]
+    for op, value in tree:
+        match str(op):
+            case "LITERAL":
+                options = [chr(value)]
+            case "NOT_LITERAL":
+                options = ["q"]
+            case "SUBPATTERN":
+                options = forms(value[3])
+            case "BRANCH":
+                options = [f for branch in value[1] for f in forms(branch)]
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                options = ([""] if value[0] == 0 else []) + [f * max(1, value[0]) for f in forms(value[2])]
+            case "IN":
+                options = ["q" if str(value[0][0]) == "NEGATE" else " " if str(o) == "CATEGORY" else chr(v[0] if str(o) == "RANGE" else v) for o, v in value[:2]]
+            case "AT" | "ASSERT" | "ASSERT_NOT":
+                options = [""]
+        out = [a + b for a in out for b in options]
+    return out
+
+
+def test_license_gate():
+    """The gate opens the rule of every text that a rule's alternatives make, whatever its white space; detections agree with all rules run."""
+    blanks = [" ", "  ", "\n ", "\r\n", "\t", "\u00a0", "\x1c", "\u2003\n"]
+    n = 0
+    for k, rule in enumerate(license_rules.rules()):
+        for text in forms(re._parser.parse(rule.pattern.pattern)):
+            n += 1
+            text = "x " + text.replace(" ", blanks[n % len(blanks)]) + " y"
+            if rule.pattern.search(text):
+                assert k in license_rules.opened(text), (rule.name, text)
+                if n % 97 == 0:
+                    assert license_rules.detections(text) == license_rules.detections(text, gated=False)
+    assert "gpl-3.0" in license_rules.scan("under the GNU General\n   Public License, version 3")["labels"]
+    for text, label in (("PSF license", "python-2.0"), ("Open Data Commons Database License", "odbl-1.0"), ("must not be copied without prior written permission", "proprietary")):
+        assert label in license_rules.scan(text)["labels"].split(",")
+
+
 def test_classifier(spark, sf_dir, odd, empty):
     documents, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     scored = subword_classifier.score_quality(documents, labels).join(labels, "doc_id").filter("held_out").collect()
