@@ -66,10 +66,11 @@ _PIECE = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Tag(NamedTuple):
-    """An open element: its name, its path of block elements, and how its texts count."""
+    """An open element: its name, its path of block elements, that of its innermost block, and how its texts count."""
 
     name: str
     path: str
+    block: str
     out: bool
     soft: bool
     comment: bool
@@ -93,7 +94,7 @@ def _marks(attributes: str) -> tuple[str, bool, bool]:
     return label, bool(words & MARKS), bool(words & COMMENTS)
 
 
-_ROOT = Tag("", "", False, False, False, False)
+_ROOT = Tag("", "", "", False, False, False, False)
 
 
 def tokens(page: str) -> Iterator[tuple[str | None, Tag]]:
@@ -141,7 +142,7 @@ def tokens(page: str) -> Iterator[tuple[str | None, Tag]]:
             marked = False
         out, soft = top.out or name in OUTSIDE or name == "header" and "article" not in top.path, (top.soft or marked) and not main
         path = f"{top.path}/{name}{label}" if name in BLOCK or label else top.path
-        tag = Tag(name, path, out, soft, top.comment or comment and name not in ("html", "body", "main"), top.link or name == "a")
+        tag = Tag(name, path, path if name in BLOCK or main else top.block, out, soft, top.comment or comment and name not in ("html", "body", "main"), top.link or name == "a")
         opened[id(top), name, attributes] = tag
         stack.append(tag)
 
@@ -359,14 +360,14 @@ def extract(page: str | None, told: dict) -> str:
     places = (tuple(told.get("articles", ())), tuple(told.get("mains", ())))
     found: list[list[str]] = [[], [], []]
     text: list[str] = []
-    links, slot = 0, _ROOT
+    links, slot, own = 0, _ROOT, ""  # `own`: path of the block in which the text begins, which an opening tag's border does not give
 
     def flush() -> None:
         nonlocal text, links
         block = " ".join("".join(text).split())
         if block and not dropped(slot):
             for k, paths in enumerate(places):
-                if any(slot.path == p or slot.path.startswith(p + "/") for p in paths):
+                if any(own == p or own.startswith(p + "/") for p in paths):
                     found[k].append(block)
             if 2 * links <= len(block) and told.get("fixed", {}).get(slot.path) != crc32(block.encode("utf-8", "replace")):
                 found[2].append(block)
@@ -379,6 +380,7 @@ def extract(page: str | None, told: dict) -> str:
             slot, block_path = tag, tag.path
         if piece is not None:
             if not text:
+                own = tag.block
                 slot = tag if not tag.path.startswith(block_path + "/") else slot
             text.append(piece)
             links += len(piece.strip()) * tag.link

@@ -379,6 +379,15 @@ def test_wrappers(spark):
     assert html_wrappers.extract_pages(frame.filter("false")).count() == 0
 
 
+def test_bare_article_text(spark):
+    """Text that stands in an article or main element itself belongs to it, before its first block and after."""
+    bodies = ["<article>Lead {0}<p>More</p>tail</article>", "<article> <b>Lead</b> {0}<p>More</p>tail</article>", "<main>Lead {0}<p>More</p>tail</main>",
+              "<div role=main>Lead {0}<p>More</p><div>tail</div></div>", "<article><div>Lead <i class=x>{0}</i></div><p><em class=y>More</em></p>tail</article>"]
+    rows = [(10 * h + k, f"https://h{h}.example/{k}", PAGE.format("Before" + body.format(k) + "After", k)) for h, body in enumerate(bodies) for k in range(4)]
+    got = html_wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {10 * h + k: f"Lead {k}\nMore\ntail" for h in range(len(bodies)) for k in range(4)}
+
+
 def test_alignment():
     """What one page has and another has not becomes optional, neighbours of equal kind repeated, other texts slots."""
     one = html_wrappers.skeleton("<div><h1>A</h1><p>x</p></div>")
