@@ -8,7 +8,7 @@ partial wrappers are aligned again by host and salt, then by host, so a host wit
 never in one task.
 
 The wrapper says where a host keeps its articles, and which slots hold the same text on every page. Pages
-meet their host's wrapper in a join on the host.
+meet their host's wrapper in a join on the host. What decides in practice are the lists of tags and marks below.
 """
 
 import html as entities
