@@ -3,8 +3,8 @@
 Counts of all words come from all training rows. The most frequent words form the network's vocabulary and
 fall into classes of about equal mass; every other word is one `unknown` word of the network, times its share
 among the other words. The output layer starts as the unigram model of all training rows. The network then
-learns, in numpy, by back-propagation truncated at windows, in every task on a constant share of its training
-documents; the tasks' weights are averaged after each round, so what is learned grows with the input. For
+learns, in numpy, by back-propagation truncated at windows, from every training document once: in each round
+the tasks learn from the documents of one hash class, then their weights are averaged. For
 scoring, documents run through the network side by side, each whole: its state is carried across windows.
 """
 
@@ -24,8 +24,8 @@ from parcelmill.llm.common import crc32_of, utf8, written
 
 #: Words of the network's vocabulary, their classes, and the width of its state.
 VOCABULARY, CLASSES, WIDTH = 2047, 40, 16
-#: One training document in SHARE is learned from, in ROUNDS rounds.
-SHARE, ROUNDS = 32, 2
+#: Rounds of learning: each training document is learned from in one of them.
+ROUNDS = 4
 #: Window and rows of the truncated back-propagation, and of scoring.
 WINDOW, ROWS, RATE = 16, 32, 0.2
 FIRST_SQUARE = 1e-5
@@ -386,6 +386,11 @@ def _scorer(network, flat):
     return score
 
 
+def learning_rows(rows: DataFrame, k: int) -> DataFrame:
+    """The training rows of round `k`; every training row is in one round."""
+    return rows.filter(F.col("learned") & (F.pmod(F.xxhash64("doc_key", "text_key"), F.lit(ROUNDS)) == k))
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
     """Per row `doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`.
 
@@ -418,12 +423,11 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     network = Network([bytes(r["word"]) for r in top], np.array([*[r["c"] for r in top], rest], np.float64))
     shared, flat = spark.sparkContext.broadcast(network), network.flat()
-    slice_ = rows.filter(F.col("learned") & (F.pmod(F.xxhash64("doc_key", "text_key"), F.lit(SHARE)) == 0)).select("text")
-    slice_ = written(slice_.repartition(max(1, int(total) // SHARE // TASK_TOKENS)), "lm-slice")
     shape = "part int, salt int, tokens double, weights binary"
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS):
         now = spark.sparkContext.broadcast(flat)
-        parts = slice_.mapInArrow(_learner(shared, now), shape)
+        own = learning_rows(rows, k).select("text").coalesce(max(1, int(total) // ROUNDS // TASK_TOKENS))
+        parts = own.mapInArrow(_learner(shared, now), shape)
         mean = parts.groupBy("part", "salt").applyInArrow(_mean, shape).groupBy("part").applyInArrow(_mean, shape).orderBy("part").collect()
         if mean:
             flat = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in mean])

@@ -349,6 +349,16 @@ def test_language_model_beats_counts(spark):
     assert model > base
 
 
+def test_language_model_learns_from_all(spark, docs, monkeypatch):
+    """Over all rounds, the network learns from every training row once and from no other."""
+    taken = []
+    rows_of = gru_lm.learning_rows
+    monkeypatch.setattr(gru_lm, "learning_rows", lambda rows, k: taken.append(rows_of(rows, k).select("doc_id", "text_key")) or rows_of(rows, k))
+    gru_lm.score_documents(docs)
+    learned = sorted(r["doc_id"] for part in taken for r in part.collect())
+    assert learned == sorted(r["doc_id"] for r in docs.select("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2)
+
+
 def test_network():
     """Probabilities sum to one, windows do not change a score, and learning raises it."""
     words = [gru_lm.END, *[b"w%d" % k for k in range(60)]]
