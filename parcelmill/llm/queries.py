@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup
+from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup, winnowing
 from parcelmill.llm.common import table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -55,6 +55,14 @@ def op10_source_mix(spark, sf_dir):
     return source_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_winnowing(spark, sf_dir):
+    return winnowing.edited_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.as_text(F.col("fingerprint")).alias("fingerprint"), winnowing.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 OP3_SQL = r"""
 WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -130,11 +138,52 @@ placed AS (
 SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM placed
 """
 
+OP11_SQL = (
+    r"""
+WITH ordered AS (
+    SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, coalesce(text, '')) AS r, doc_id, coalesce(text, '') AS text FROM documents
+),
+beside AS (
+    SELECT *, coalesce(lead(text) OVER (ORDER BY r), first_value(text) OVER (ORDER BY r)) AS next_text, length(text) // 3 AS third,
+        coalesce(lead(r) OVER (ORDER BY r), 1) AS next_r
+    FROM ordered
+),
+texts AS (
+    SELECT r, 0 AS kind, text FROM beside
+    UNION ALL SELECT r, 1, left(text, length(text) - third) || left(next_text, third) FROM beside
+),
+units AS (SELECT r, kind, list_transform(regexp_extract_all(lower(text), '{unit}'), lambda u: ('0x' || left(md5(u), 15))::BIGINT) AS h FROM texts),
+grams AS (
+    SELECT r, kind, len(h) AS n_units, p, list_reduce(
+        list_prepend(0::BIGINT, h[p + 1 : p + 5]), lambda a, x: xor(((a & 576460752303423487) << 1) | (a >> 59), x)) AS hash
+    FROM units, unnest(range(greatest(len(h) - 4, least(len(h), 1)))) AS t(p)
+),
+windows AS (
+    SELECT r, kind, n_units, p, -(min({{'hash': hash, 'back': -p}}) OVER (PARTITION BY r, kind ORDER BY p ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING)).back AS place
+    FROM grams
+),
+chosen AS (SELECT DISTINCT r, kind, place FROM windows WHERE p = 0 OR p + 16 <= n_units - 4),
+entries AS (SELECT c.r, c.kind, c.place, g.hash FROM chosen c JOIN grams g ON g.r = c.r AND g.kind = c.kind AND g.p = c.place),
+prints AS (
+    SELECT r, kind, string_agg(place || ':' || lower(lpad(to_hex(hash), 15, '0')), ' ' ORDER BY place) AS print, list_distinct(list(hash)) AS hashes
+    FROM entries GROUP BY r, kind
+),
+whole AS (
+    SELECT t.r, t.kind, t.text, coalesce(p.print, '') AS print, coalesce(p.hashes, []) AS hashes FROM texts t LEFT JOIN prints p ON t.r = p.r AND t.kind = p.kind
+)
+SELECT b.doc_id, CAST(length(b.text) AS BIGINT) AS n_chars, sha256(e.text) AS edited_sha256, o.print AS fingerprint, e.print AS edited_fingerprint,
+    coalesce(len(list_intersect(o.hashes, e.hashes))::DOUBLE / nullif(len(list_distinct(o.hashes || e.hashes)), 0), 1) AS near_edited,
+    coalesce(len(list_intersect(o.hashes, x.hashes))::DOUBLE / nullif(len(list_distinct(o.hashes || x.hashes)), 0), 1) AS near_next
+FROM beside b JOIN whole o ON o.r = b.r AND o.kind = 0 JOIN whole e ON e.r = b.r AND e.kind = 1 JOIN whole x ON x.r = b.next_r AND x.kind = 0
+"""
+).format(unit=winnowing.UNIT)
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_wrapper_text, op2_unit_dedup, op3_quality_ledger, op4_impact_topk, op5_license_rules, op6_subword_quality,
         op7_simhash_ring, op8_gru_score, op9_byte_bpe, op10_source_mix,
+        op11_winnowing,
     )
 }
-ORACLES = {"op3_quality_ledger": OP3_SQL, "op4_impact_topk": OP4_SQL, "op10_source_mix": OP10_SQL}
+ORACLES = {"op3_quality_ledger": OP3_SQL, "op4_impact_topk": OP4_SQL, "op10_source_mix": OP10_SQL, "op11_winnowing": OP11_SQL}
