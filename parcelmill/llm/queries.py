@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup, winnowing
+from parcelmill.llm import byte_bpe, gru_lm, html_wrappers, impact_topk, license_rules, prefix_trie, quality_ledger, simhash_ring, source_mix, subword_classifier, unit_dedup, whitening, winnowing
 from parcelmill.llm.common import table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -63,6 +63,14 @@ def op11_winnowing(spark, sf_dir):
     )
 
 
+def op12_block_whitening(spark, sf_dir):
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 OP3_SQL = r"""
 WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -183,7 +191,7 @@ QUERIES = {
     for f in (
         op1_wrapper_text, op2_unit_dedup, op3_quality_ledger, op4_impact_topk, op5_license_rules, op6_subword_quality,
         op7_simhash_ring, op8_gru_score, op9_byte_bpe, op10_source_mix,
-        op11_winnowing,
+        op11_winnowing, op12_block_whitening, op13_prefix_trie,
     )
 }
 ORACLES = {"op3_quality_ledger": OP3_SQL, "op4_impact_topk": OP4_SQL, "op10_source_mix": OP10_SQL, "op11_winnowing": OP11_SQL}
