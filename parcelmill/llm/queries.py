@@ -186,6 +186,47 @@ FROM beside b JOIN whole o ON o.r = b.r AND o.kind = 0 JOIN whole e ON e.r = b.r
 """
 ).format(unit=winnowing.UNIT)
 
+OP13_SQL = r"""
+WITH ordered AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS position,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, count(*) AS own, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+        lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))) % 4 AS h
+    FROM ordered GROUP BY conv_id
+),
+steps AS (
+    SELECT c.conv_id, o.position + 1 AS depth, role, text FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.position < c.h
+    UNION ALL
+    SELECT c.conv_id, o.position - c.h + least(c.h, coalesce(b.own, 0)) + 1, role, text
+    FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.position >= c.h LEFT JOIN convs b ON b.conv_id = c.base
+),
+paths AS (
+    SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, count(*) OVER (PARTITION BY conv_id) AS length,
+        string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS key
+    FROM steps
+    UNION ALL
+    SELECT conv_id, 0, 0, (SELECT count(*) FROM steps s WHERE s.conv_id = c.conv_id), '' FROM convs c
+),
+nodes AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length) AS ends
+    FROM paths GROUP BY key, depth
+),
+parents AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+grown AS (SELECT n.*, coalesce(p.n_children, 0) AS n_children FROM nodes n LEFT JOIN parents p USING (key)),
+subtrees AS (
+    SELECT left(g.key, 32 * t.d) AS key, sum(saved) AS saved_tokens, sum((n_children = 0)::INT) AS n_leaves
+    FROM grown g, unnest(range(g.depth + 1)) AS t(d) GROUP BY 1
+)
+SELECT g.conv_id, CAST(g.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+    CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(g.ends, '')) AS ends_sha256
+FROM grown g JOIN subtrees s USING (key) LEFT JOIN nodes p ON g.depth > 0 AND p.key = left(g.key, 32 * (g.depth - 1))
+"""
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -194,4 +235,4 @@ QUERIES = {
         op11_winnowing, op12_block_whitening, op13_prefix_trie,
     )
 }
-ORACLES = {"op3_quality_ledger": OP3_SQL, "op4_impact_topk": OP4_SQL, "op10_source_mix": OP10_SQL, "op11_winnowing": OP11_SQL}
+ORACLES = {"op3_quality_ledger": OP3_SQL, "op4_impact_topk": OP4_SQL, "op10_source_mix": OP10_SQL, "op11_winnowing": OP11_SQL, "op13_prefix_trie": OP13_SQL}
