@@ -12,6 +12,7 @@ from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.plans.columns import Source
 from parcelmill.schemas import property_schema
 from parcelmill.session import scratch_path
+from parcelmill.sources import store
 
 
 def harris_files(src: Inputs) -> harris.HarrisFiles:
@@ -57,35 +58,43 @@ def gold_records(src: Inputs) -> DataFrame:
     return gold.union_counties(src.spark, builders)[0]
 
 
-_STORED: dict[tuple, str] = {}
+_STORES: dict[tuple, str] = {}
 
 
-def _fingerprint(src: Inputs) -> tuple:
-    """Count, size and newest change of the base files, so that changed data is never served stale."""
-    parts = []
+def _files_of(src: Inputs) -> tuple:
+    """Names, sizes and times of the base files, from their listing: changed data is never served stale."""
+    found = []
     for name in TABLES:
-        meta = src.table(name).select("_metadata.file_size", "_metadata.file_modification_time")
-        row = meta.distinct().agg(
-            F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time")
-        )
-        parts.append(tuple(row.first()))
-    return (src.spark.sparkContext.applicationId, src.sf_dir, tuple(parts))
+        path = src.spark._jvm.org.apache.hadoop.fs.Path(f"{src.sf_dir}/{name}.parquet")
+        system = path.getFileSystem(src.spark._jsc.hadoopConfiguration())
+        top = system.getFileStatus(path)
+        for f in system.listStatus(path) if top.isDirectory() else [top]:
+            found.append((str(f.getPath()), f.getLen(), f.getModificationTime()))
+    return (src.spark.sparkContext.applicationId, *found)
 
 
-def stored_gold(src: Inputs) -> DataFrame:
-    """Unified records of all counties, written once per session and base data.
+def sample_store(src: Inputs) -> str:
+    """A property store of all counties, from three batches that overlap and a reload of one county.
 
-    Reports read the written table, as they would read the property store: only the nested fields a
-    report needs are scanned, and the records are not rebuilt for each report.
+    The first batch has records of all counties in an earlier state, and some that later batches do not have;
+    the second brings Travis and Dallas up to date, the third Harris, whose other records end.
     """
-    key = _fingerprint(src)
-    if key not in _STORED:
-        path = scratch_path(src.spark, "gold")
+    key = _files_of(src)
+    if key not in _STORES:
+        root = scratch_path(src.spark, "store")
+        path = f"{root}/records"
         gold_records(src).write.partitionBy("county").parquet(path)
-        _STORED[key] = path
-    schema = property_schema()
-    stored = src.spark.read.schema(schema).parquet(_STORED[key])
-    return stored.select(*schema.names)
+        schema = property_schema()
+        records = src.spark.read.schema(schema).parquet(path).select(*schema.names, F.lit(1).alias("pos"))
+        ended = F.when(F.col("county") == "harris", F.concat(F.lit("ended-"), "account_id")).otherwise(F.col("account_id"))
+        bare = {n: F.lit(None).cast(schema[n].dataType) for n in ("mailing_address", "valuation", "legal_status")}
+        earlier = records.withColumns({"account_id": ended, "year": F.lit(None).cast("int")} | bare)
+        harris_now = records.filter("county = 'harris'")
+        store.upsert(src.spark, root, earlier.unionByName(harris_now.limit(100)), "earlier", "2025-05-01 12:00:00", "pos")
+        store.upsert(src.spark, root, records.filter("county <> 'harris'"), "update", "2025-05-02 12:00:00", "pos")
+        store.upsert(src.spark, root, harris_now, "reload", "2025-05-03 12:00:00", "pos", reload_county="harris")
+        _STORES[key] = root
+    return _STORES[key]
 
 
 HARRIS = "fx_real_acct fx_owners fx_deeds fx_permits fx_mineral fx_tieback fx_nbhd"

@@ -13,13 +13,13 @@ from parcelmill.catalog.nested import (
     T_OK,
     TRAVIS,
     money,
-    stored_gold,
+    sample_store,
 )
 from parcelmill.catalog.registry import Inputs, query
-from parcelmill.functions.values import county_property_type
-from parcelmill.operators import quality, repair
+from parcelmill.operators import ledger, quality, repair
 from parcelmill.plans import harris, travis
 from parcelmill.session import scratch_path
+from parcelmill.sources import store
 from parcelmill.sources.fixed_width import PROP
 
 # One row per record with a flag per report field: the rule of each county restated over its sources.
@@ -42,8 +42,12 @@ cov AS (SELECT county, field, count(*) AS total, count(*) FILTER (ok) AS non_emp
 ALL = f"{HARRIS} {TRAVIS} {DALLAS}"
 
 
+def ledger_of(src: Inputs) -> DataFrame:
+    return store.coverage_ledger(src.spark, sample_store(src))
+
+
 def coverage_of(src: Inputs) -> DataFrame:
-    return quality.field_coverage(stored_gold(src), quality.COVERAGE_FIELDS)
+    return ledger.coverage(ledger_of(src), quality.COVERAGE_FIELDS)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -120,7 +124,7 @@ def a13(src: Inputs):
     SELECT county, account_id, missing FROM m WHERE missing <> ''""",
 )
 def a14(src: Inputs):
-    missing = quality.missing_key_fields(stored_gold(src))
+    missing = ledger.missing_records(store.coverage_gaps(src.spark, sample_store(src)))
     return missing.select(
         "county", "account_id", F.array_join("missing_fields", ",").alias("missing")
     )
@@ -151,7 +155,7 @@ def a15(src: Inputs):
     UNION ALL SELECT county, field, non_empty FROM cov WHERE field IN ('tax_entities', 'improvements')""",
 )
 def a16(src: Inputs):
-    return quality.field_coverage(stored_gold(src), quality.LOAD_PATHS).select(
+    return ledger.coverage(ledger_of(src), quality.LOAD_PATHS).select(
         "county", "field", "non_empty"
     )
 
@@ -181,22 +185,7 @@ def a16(src: Inputs):
         WHERE d.county = l.county), 6) AS percent FROM l GROUP BY county, dimension, value""",
 )
 def a17(src: Inputs):
-    unknown = F.lit("Unknown")
-    dims = [
-        quality.Dimension(
-            "property_type",
-            county_property_type(
-                F.col("county"),
-                F.col("property_details.property_type"),
-                F.col("property_details.division_code"),
-                F.col("property_details.state_class"),
-            ),
-        ),
-        quality.Dimension("city", F.coalesce("property_address.city", unknown)),
-        quality.Dimension("zip_code", F.coalesce("property_address.zip_code", unknown)),
-        quality.Dimension("improvements", F.col("child_counts.improvements")),
-    ]
-    return rounded(quality.county_distributions(stored_gold(src), dims), "percent")
+    return rounded(ledger.distributions(ledger_of(src)), "percent")
 
 
 @query(
@@ -206,9 +195,7 @@ def a17(src: Inputs):
         bool_or(tax) AS has_tax_entities FROM rec GROUP BY county""",
 )
 def a17_features(src: Inputs):
-    return quality.feature_presence(
-        stored_gold(src), ["improvements", "land_details", "tax_entities"]
-    )
+    return ledger.feature_presence(ledger_of(src), ["improvements", "land_details", "tax_entities"])
 
 
 def sparse_accounts(src: Inputs) -> DataFrame:
@@ -324,12 +311,13 @@ def a22(src: Inputs):
     f"""WITH {FLAGS_SQL} SELECT h.field, round(h.non_empty * 100.0 / h.total, 6) AS left_rate,
         round(t.non_empty * 100.0 / t.total, 6) AS right_rate,
         CASE WHEN h.non_empty > 0 AND t.non_empty > 0 THEN 'common' WHEN h.non_empty > 0 THEN 'only_harris'
-            WHEN t.non_empty > 0 THEN 'only_travis' ELSE 'neither' END AS side
+            WHEN t.non_empty > 0 THEN 'only_travis' ELSE 'neither' END AS side,
+        CASE WHEN (h.non_empty > 0) <> (t.non_empty > 0) THEN 'extend the other county with ' || h.field END AS advice
     FROM cov h JOIN cov t ON h.field = t.field AND h.county = 'harris' AND t.county = 'travis'""",
 )
 def a23(src: Inputs):
     compared = quality.compare_coverage(coverage_of(src), "harris", "travis")
-    return rounded(compared, "left_rate", "right_rate").drop("advice")
+    return rounded(compared, "left_rate", "right_rate")
 
 
 @query(

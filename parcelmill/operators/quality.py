@@ -87,7 +87,7 @@ def is_filled(df: DataFrame, path: str) -> Column:
     return F.coalesce(filled, F.lit(False))
 
 
-def _percent(part: Column, total: Column) -> Column:
+def percent(part: Column, total: Column) -> Column:
     return F.coalesce(F.try_divide(part * F.lit(100.0), total), F.lit(0.0))
 
 
@@ -117,8 +117,8 @@ def field_coverage(df: DataFrame, paths: list[str], by: str = "county") -> DataF
     long = totals.select(F.col("_by").alias(by), "total", F.inline(rows))
     return long.withColumns(
         {
-            "presence_rate": _percent(F.col("present"), F.col("total")),
-            "quality_rate": _percent(F.col("non_empty"), F.col("total")),
+            "presence_rate": percent(F.col("present"), F.col("total")),
+            "quality_rate": percent(F.col("non_empty"), F.col("total")),
         }
     )
 
@@ -224,7 +224,7 @@ def county_distributions(df: DataFrame, dimensions: list[Dimension]) -> DataFram
     )
     totals = df.groupBy("county").agg(F.count(F.lit(1)).alias("total"))
     joined = counts.join(totals, "county")
-    return joined.withColumn("percent", _percent(F.col("count"), F.col("total"))).drop("total")
+    return joined.withColumn("percent", percent(F.col("count"), F.col("total"))).drop("total")
 
 
 def feature_presence(df: DataFrame, arrays: list[str]) -> DataFrame:

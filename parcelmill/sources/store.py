@@ -1,30 +1,37 @@
-"""The property store: append-only Parquet batches, upserted by account id.
+"""The property store: a bucketed Spark table of record batches, upserted by account id, with a coverage ledger.
 
-Layout: `data/<folder>/county=C/*.parquet`, a folder per batch, plus a small `commits` table that names the
-folders in the order of their versions, and `staging/` with the batches as they came. An upsert writes its own
-records alone; reading takes the latest record of each account. `compact` writes what is current into one
-folder, from which readers then start. A folder counts once its commit row is written, and its name is
-never used again, so what a failed write left behind is never read. One writer at a time is assumed.
+Layout: `data/batch=B/` (one table, in buckets by `account_id`), `ledger/batch=B/` and `gaps/batch=B/` (what the batch
+changes in the counts, see `operators.ledger`), `staging/` with the batches as they came, and a small `commits` table.
+A batch counts once its commit row is written, and its name is never used again, so what a failed write left behind is
+never read. One writer at a time is assumed; superseded folders are not removed.
+
+All batches are partitions of one table, so a read is one scan however many there are, and the buckets of a batch lie
+with those of every other: taking the latest record of each account, and meeting a new batch with the stored ones,
+needs no exchange of what is stored. A patch is a batch of ids and changed fields only, laid over the record on read.
+After `compact_after` batches they are merged: the late ones among themselves while they are few against the rest
+(`MERGE_SHARE`), else all.
 """
 
+import hashlib
 import json
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import BooleanType, StructField, StructType
 
+from parcelmill.operators import ledger
 from parcelmill.operators.keyed import last_per_key
 from parcelmill.sources.runlog import log_event
 
 COMMIT_DDL = (
-    "version int, batch_id string, folder string, base boolean, reload_county string, schema string, "
+    "version int, batch_id string, batch string, supersedes int, reload_county string, patched array<string>, "
+    "buckets int, records bigint, schema string, "
     "total_count bigint, inserted_count bigint, replaced_count bigint, duplicate_count bigint"
 )
 VERSION_TAG = "1.0"
 INGESTION_TYPE = "normalized_bulk"
+COMPACT_AFTER, MERGE_SHARE = 16, 0.25
 
 
 def with_run_metadata(
@@ -55,17 +62,49 @@ def with_run_metadata(
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(COMMIT_DDL).parquet(f"{root}/commits")
-    except AnalysisException:
+    """The commit rows; none where nothing has been written. Any other fault of the log is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/commits")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], COMMIT_DDL)
+    return spark.read.schema(COMMIT_DDL).parquet(f"{root}/commits")
 
 
-def _current(spark: SparkSession, root: str) -> list:
-    """Commit rows since the last compaction, in order: one per batch."""
+def _current(spark: SparkSession, root: str) -> list[dict]:
+    """Commit rows that count, in order: at most `compact_after` and the merged ones before them."""
     made = commits(spark, root)
-    base = made.agg(F.coalesce(F.max(F.when(F.col("base"), F.col("version"))), F.lit(0))).first()[0]
-    return made.filter(F.col("version") >= base).orderBy("version").collect()
+    last = made.agg(F.coalesce(F.max(F.when(F.col("supersedes") == 0, F.col("version"))), F.lit(0))).first()[0]
+    kept: list[dict] = []
+    for row in made.filter(F.col("version") >= last).drop("schema").orderBy("version").collect():
+        if row["supersedes"] is not None:
+            kept = [r for r in kept if r["version"] < row["supersedes"]]
+        kept.append(row.asDict())
+    if kept:  # the schema of the latest batch is the store's
+        kept[-1]["schema"] = made.filter(F.col("version") == kept[-1]["version"]).select("schema").first()[0]
+    return kept
+
+
+def _schema(row) -> StructType:
+    return StructType.fromJson(json.loads(row["schema"]))
+
+
+def _declared(spark: SparkSession, root: str, schema: StructType, buckets: int, batches: list[str]) -> str:
+    """Name of the bucketed table over `data`, declared in the catalog with the given batches."""
+    fields = [*schema, StructField("_patch", BooleanType())]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    name = "store_" + hashlib.md5(f"{root}|{ddl}|{buckets}".encode()).hexdigest()
+    location = f"{root}/data".replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, batch string) USING parquet PARTITIONED BY (batch) "
+        f"CLUSTERED BY (account_id) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    if batches:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (batch = '{b}')" for b in batches))
+        spark.catalog.refreshTable(name)
+    return name
+
+
+def _batches(spark: SparkSession, root: str, schema: StructType, buckets: int, batches: list[str]) -> DataFrame:
+    return spark.table(_declared(spark, root, schema, buckets, batches)).filter(F.col("batch").isin(batches))
 
 
 def read_store(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame | None:
@@ -73,32 +112,45 @@ def read_store(spark: SparkSession, root: str, columns: list[str] | None = None)
     return _snapshot(spark, root, _current(spark, root), columns)
 
 
+def _laid_over(c: Column, path: str, value: Column) -> Column:
+    """The column `c` with the field below it that `path` names set to `value`."""
+    _, _, inner = path.partition(".")
+    return c.withField(inner, value) if inner else value
+
+
 def _snapshot(spark, root, current: list, columns: list[str] | None = None) -> DataFrame | None:
     if not current:
         return None
-    schema = StructType.fromJson(json.loads(current[-1]["schema"]))
-    wanted = [f for f in schema if columns is None or f.name in {*columns, "account_id"}]
-    names = [f.name for f in wanted]
-    # one scan for each batch that is not compacted yet; the schema is the latest batch's
-    parts = [
-        spark.read.schema(schema).parquet(f"{root}/data/{r['folder']}").withColumn("_version", F.lit(r["version"]))
-        for r in current
-    ]
-    if len(parts) == 1:
-        return parts[0].select(*names)
+    schema = _schema(current[-1])
+    names = [f.name for f in schema if columns is None or f.name in {*columns, "account_id"}]
+    batches = [r["batch"] for r in current]
+    rows = _batches(spark, root, schema, current[-1]["buckets"], batches)
+    patched = {p for r in current for p in r["patched"] or [] if p.partition(".")[0] in names}
+    if len(current) == 1:
+        return rows.select(*names)
     # a reload ends the county's earlier records
-    for county, version in [(r["reload_county"], r["version"]) for r in current if r["reload_county"]]:
-        parts = [
-            p.filter(~F.col("county").eqNullSafe(county)) if r["version"] < version else p
-            for p, r in zip(parts, current)
-        ]
-    rows = reduce(DataFrame.unionByName, [p.select(*names, "_version") for p in parts])
+    for county, batch in [(r["reload_county"], r["batch"]) for r in current if r["reload_county"]]:
+        rows = rows.filter(~(F.col("county").eqNullSafe(county) & (F.col("batch") < batch)))
     same = Window.partitionBy("account_id")
+    whole = ~F.col("_patch")
+    rows = rows.select(*dict.fromkeys([*names, "batch", "_patch"]))
+    if patched:
+        base = F.max(F.when(whole, F.col("batch"))).over(same)
+        latest = {}
+        for path in patched:
+            value = F.struct("batch", F.col(path).alias("value"))
+            latest[path] = F.max(F.when(~whole & F.col(path).isNotNull(), value)).over(same)
+        rows = rows.withColumns({"_base": base} | {f"_to {p}": c for p, c in latest.items()})
+        for path in patched:
+            to, section = F.col(f"`_to {path}`"), path.partition(".")[0]
+            changed = _laid_over(F.col(section), path, to["value"])
+            rows = rows.withColumn(section, F.when(to["batch"] > F.col("_base"), changed).otherwise(F.col(section)))
     if "metadata" in names:
-        seen = F.min("metadata.created_at").over(same)
+        seen = F.min(F.when(whole, F.col("metadata.created_at"))).over(same)
         rows = rows.withColumn("metadata", F.col("metadata").withField("created_at", seen))
-    latest = F.row_number().over(same.orderBy(F.desc("_version")))
-    return rows.withColumn("_rank", latest).filter("_rank = 1").select(*names)
+    # whole records come before patches, the latest first
+    rank = F.row_number().over(same.orderBy("_patch", F.desc("batch")))
+    return rows.withColumn("_rank", rank).filter((F.col("_rank") == 1) & whole).select(*names)
 
 
 def upsert(
@@ -110,11 +162,14 @@ def upsert(
     position: str,
     source_files: list[str] | None = None,
     reload_county: str | None = None,
+    buckets: int | None = None,
+    compact_after: int = COMPACT_AFTER,
 ) -> dict[str, int | str]:
     """Replace or insert whole records by `account_id`; the row with the highest `position` wins.
 
     Returns the counts of the run. A batch id that is already committed is not applied again. The
     first `created_at` of a record is kept. `reload_county` drops the county's other records.
+    `buckets` counts for a new store alone (the session's shuffle partitions, if not given).
     """
     done = commits(spark, root).filter(F.col("batch_id") == batch_id).limit(1).collect()
     if done:
@@ -129,51 +184,148 @@ def upsert(
         log_event(spark, root, batch_id, "started", run_time, total, source_files=source_files)
         latest = last_per_key(staged, ["account_id"], position).drop(position)
         fresh = with_run_metadata(latest, batch_id, run_time, source_files)
-        counts = _append(spark, root, fresh, batch_id, total, reload_county)
+        if reload_county is not None and any(r["patched"] for r in _current(spark, root)):
+            compact(spark, root)  # a patch may have given a record its county
+        counts = _append(spark, root, fresh, batch_id, total, reload_county, buckets)
     except Exception as error:
         log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error))
         raise
     log_event(spark, root, batch_id, "completed", run_time, total, counts["saved_count"])
+    _merge(spark, root, compact_after)
     return counts
 
 
-def _append(spark, root, fresh, batch_id, total, reload_county) -> dict[str, int | str]:
-    """Write a batch of one record per account and commit it."""
+def _append(spark, root, fresh, batch_id, total, reload_county, buckets) -> dict[str, int | str]:
+    """Write a batch of one record per account, and what it changes in the counts, and commit it."""
     current = _current(spark, root)
-    folder = _write(root, fresh)
-    written = spark.read.schema(fresh.schema).parquet(f"{root}/data/{folder}")
-    known = _snapshot(spark, root, current, ["county"])
-    saved = written.count()
-    replaced = 0
+    buckets = current[-1]["buckets"] if current else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, version = _new_batch(spark, root)
+    _write(spark, root, fresh.schema, buckets, name, fresh)
+    written = _batches(spark, root, fresh.schema, buckets, [name]).select(*fresh.columns)
+    known = _snapshot(spark, root, current)
+    replaced, gone = 0, None
     if known is not None:
-        if reload_county is not None:
-            known = known.filter(~F.col("county").eqNullSafe(reload_county))
-        replaced = written.join(known.select("account_id"), "account_id", "left_semi").count()
+        ids = written.select("account_id")
+        gone = known.join(ids, "account_id", "left_semi")
+        if reload_county is None:
+            replaced = known.select("account_id").join(ids, "account_id", "left_semi").count()
+        else:
+            ends = F.col("county").eqNullSafe(reload_county)
+            gone = known.filter(ends).unionByName(gone.filter(~ends))
+            replaced = known.filter(~ends).select("account_id").join(ids, "account_id", "left_semi").count()
+    _write_counts(root, name, ledger.signed(written, gone))
+    saved = written.count()
     counts = (total, saved - replaced, replaced, total - saved)
-    return _commit(spark, root, folder, batch_id, fresh.schema, counts, reload_county=reload_county)
+    return _commit(spark, root, version, name, batch_id, fresh.schema, buckets, saved, counts, reload_county=reload_county)
 
 
-def _write(root: str, records: DataFrame) -> str:
-    folder = uuid.uuid4().hex
-    # rebalancing splits large counties over several tasks and merges small ones
-    records.hint("rebalance", "county").write.partitionBy("county").parquet(f"{root}/data/{folder}")
-    return folder
+def patch(spark: SparkSession, root: str, changes: DataFrame, paths: list[str], batch_id: str, run_time: str) -> dict[str, int | str]:
+    """Set fields of stored records: `changes` has `account_id`, `county` and a column for each path, null where it stays.
+
+    Only ids and changed fields are written. Ids that the store does not have are left out; a batch id that is
+    already committed is not applied again. Returns the counts: `replaced_count` records are repaired.
+    """
+    done = commits(spark, root).filter(F.col("batch_id") == batch_id).limit(1).collect()
+    if done:
+        return _result(batch_id, done[0])
+    current = _current(spark, root)
+    if not current:
+        raise ValueError("there is no record to patch")
+    schema, buckets = _schema(current[-1]), current[-1]["buckets"]
+    name, version = _new_batch(spark, root)
+    log_event(spark, root, batch_id, "started", run_time, 0)
+    have = _snapshot(spark, root, current, ["account_id"])
+    given = changes.filter(F.coalesce(*[F.col(f"`{p}`").cast("string") for p in paths]).isNotNull()).dropDuplicates(["account_id"]).join(have, "account_id", "left_semi")
+    columns = []
+    for field in schema:
+        below = [p for p in paths if p.partition(".")[0] == field.name]
+        if field.name in ("account_id", "county"):
+            c = F.col(field.name)
+        elif not below:
+            c = F.lit(None).cast(field.dataType)
+        elif below == [field.name]:
+            c = F.col(field.name).cast(field.dataType)
+        else:
+            inner = {p.partition(".")[2]: p for p in below}
+            parts = [(F.col(f"`{inner[f.name]}`") if f.name in inner else F.lit(None)).cast(f.dataType).alias(f.name) for f in field.dataType]
+            c = F.struct(*parts)
+        columns.append(c.alias(field.name))
+    _write(spark, root, schema, buckets, name, given.select(*columns), is_patch=True)
+    following = {"batch": name, "patched": paths, "reload_county": None, "buckets": buckets, "schema": schema.json()}
+    ids = _batches(spark, root, schema, buckets, [name]).select("account_id")
+    after = _snapshot(spark, root, [*current, following]).join(ids, "account_id", "left_semi")
+    before = _snapshot(spark, root, current).join(ids, "account_id", "left_semi")
+    _write_counts(root, name, ledger.signed(after, before))
+    saved = ids.count()
+    counts = _commit(spark, root, version, name, batch_id, schema, buckets, saved, (saved, 0, saved, 0), patched=paths)
+    log_event(spark, root, batch_id, "completed", run_time, saved, saved)
+    return counts
+
+
+def _new_batch(spark, root) -> tuple[str, int]:
+    """A batch name that sorts after all others and is never used again, and its version."""
+    version = commits(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
+    return f"{version:010d}-{uuid.uuid4().hex}", version
+
+
+def _write(spark, root, schema, buckets, name, records, is_patch=False) -> None:
+    rows = records.select(*schema.names, F.lit(is_patch), F.lit(name))
+    rows.repartition(buckets, "account_id").write.insertInto(_declared(spark, root, schema, buckets, []))
+
+
+def _write_counts(root: str, name: str, facts: DataFrame) -> None:
+    ledger.entries(facts).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
+    ledger.gaps(facts).write.parquet(f"{root}/gaps/batch={name}")
+
+
+def coverage_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Ledger rows of the batches that count; no record is read."""
+    return _counts(spark, root, "ledger", ledger.LEDGER_DDL, _current(spark, root))
+
+
+def coverage_gaps(spark: SparkSession, root: str) -> DataFrame:
+    return _counts(spark, root, "gaps", ledger.GAPS_DDL, _current(spark, root))
+
+
+def _counts(spark, root, what, ddl, current) -> DataFrame:
+    paths = [f"{root}/{what}/batch={r['batch']}" for r in current]
+    return spark.read.schema(ddl).parquet(*paths) if paths else spark.createDataFrame([], ddl)
 
 
 def compact(spark: SparkSession, root: str) -> None:
-    """The current records in one folder; readers start from it, replays are still recognised."""
+    """The current records in one batch; readers start from it, replays are still recognised."""
+    current = _current(spark, root)
+    if len(current) > 1:
+        _merged(spark, root, current, 0)
+
+
+def _merge(spark, root, compact_after: int) -> None:
+    """Merge batches once more than `compact_after` count: the late ones alone while they hold a small share."""
     current = _current(spark, root)
-    records = _snapshot(spark, root, current)
-    if records is None or len(current) == 1:
+    if len(current) <= compact_after:
         return
-    folder = _write(root, records)
-    _commit(spark, root, folder, f"compact-{folder}", records.schema, (0, 0, 0, 0), base=True)
+    first, late = current[0], current[1:]
+    simple = not any(r["patched"] or r["reload_county"] for r in late)
+    if simple and sum(r["records"] for r in late) < MERGE_SHARE * first["records"]:
+        _merged(spark, root, late, late[0]["version"])
+    else:
+        _merged(spark, root, current, 0)
 
 
-def _commit(spark, root, folder, batch_id, schema, counts, base=False, reload_county=None):
-    """One commit row: from now on the folder counts."""
-    version = commits(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    row = (version, batch_id, folder, base, reload_county, schema.json(), *counts)
+def _merged(spark, root, rows: list, supersedes: int) -> None:
+    schema, buckets = _schema(rows[-1]), rows[-1]["buckets"]
+    name, version = _new_batch(spark, root)
+    _write(spark, root, schema, buckets, name, _snapshot(spark, root, rows))
+    ledger.summed(_counts(spark, root, "ledger", ledger.LEDGER_DDL, rows)).select(*[c.split()[0] for c in ledger.LEDGER_DDL.split(", ")]).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
+    open_gaps = _counts(spark, root, "gaps", ledger.GAPS_DDL, rows).groupBy("county", "account_id", "missing").agg(F.sum("change").alias("change"))
+    open_gaps.filter("change <> 0").write.parquet(f"{root}/gaps/batch={name}")
+    saved = _batches(spark, root, schema, buckets, [name]).count()
+    _commit(spark, root, version, name, f"compact-{name}", schema, buckets, saved, (0, 0, 0, 0), supersedes=supersedes)
+
+
+def _commit(spark, root, version, name, batch_id, schema, buckets, records, counts, supersedes=None, reload_county=None, patched=None):
+    """One commit row: from now on the batch counts."""
+    row = (version, batch_id, name, supersedes, reload_county, patched, buckets, records, schema.json(), *counts)
     frame = spark.createDataFrame([row], COMMIT_DDL)
     frame.coalesce(1).write.mode("append").parquet(f"{root}/commits")
     return _result(batch_id, frame.first())
