@@ -34,16 +34,9 @@ def _rotated(x: Column, by: int) -> Column:
     return low.bitwiseOR(F.shiftrightunsigned(x, BITS - by)) if by else x
 
 
-def _from(values: Column, start: int | Column) -> Column:
-    """`values` without the first `start`."""
-    return F.slice(values, F.lit(1) + start, F.greatest(F.size(values) - start, F.lit(0)))
-
-
 def _joined(left: Column, right: Column, shift: int, combine: Callable[[Column, Column], Column]) -> Column:
-    """combine(left[i], right[i + shift]) wherever both exist."""
-    tail = _from(right, shift)
-    length = F.least(F.size(left), F.size(tail))
-    return F.zip_with(F.slice(left, F.lit(1), length), F.slice(tail, F.lit(1), length), combine)
+    """combine(left[i], right[i + shift]) for each i; what lies past the end of `right` is null. `right` must be computed already."""
+    return F.transform(left, lambda x, i: combine(x, F.get(right, i + shift)))
 
 
 def unit_hashes(text: Column) -> Column:
@@ -71,7 +64,8 @@ def gram_hashes(hashes: Column, k: int = GRAM) -> Column:
         return _let(done, lambda kept: _let(twice, lambda d: grown(d, 2 * m, kept, width)))
 
     whole = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, x: _rotated(acc, 1).bitwiseXOR(x))
-    return F.when(F.size(hashes) >= k, grown(hashes, 1, None, 0)).when(F.size(hashes) > 0, F.array(whole)).otherwise(hashes)
+    every = F.slice(grown(hashes, 1, None, 0), F.lit(1), F.size(hashes) - (k - 1))  # the others reach past the end
+    return F.when(F.size(hashes) >= k, every).when(F.size(hashes) > 0, F.array(whole)).otherwise(hashes)
 
 
 def minimum_places(grams: Column, window: int = WINDOW) -> Column:
@@ -82,13 +76,13 @@ def minimum_places(grams: Column, window: int = WINDOW) -> Column:
 
     def grown(places: Column, m: int) -> Column:
         if m == window:
-            return F.array_distinct(places)
+            return F.array_distinct(F.slice(places, F.lit(1), F.size(grams) - (window - 1)))  # the others reach past the end
         step = min(m, window - m)
         return _let(_joined(places, places, step, smaller), lambda p: grown(p, m + step))
 
     every = F.sequence(F.lit(0), F.size(grams) - 1)
     few = F.array(F.size(grams) - F.array_position(F.reverse(grams), F.array_min(grams)).cast("int"))
-    return F.when(F.size(grams) >= window, grown(every, 1)).when(F.size(grams) > 0, few).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(grams) >= window, _let(every, lambda e: grown(e, 1))).when(F.size(grams) > 0, few).otherwise(F.array().cast("array<int>"))
 
 
 def fingerprint(text: Column, k: int = GRAM, window: int = WINDOW) -> Column:
