@@ -27,7 +27,7 @@ VOCABULARY, CLASSES, WIDTH = 2047, 40, 16
 #: Rounds of learning: each training document is learned from in one of them.
 ROUNDS = 4
 #: Window and rows of the truncated back-propagation, and of scoring.
-WINDOW, ROWS, RATE = 16, 32, 0.2
+WINDOW, ROWS, RATE = 16, 256, 0.4
 FIRST_SQUARE = 1e-5
 SCORE_WINDOW, SCORE_ROWS = 64, 256
 #: Tokens that one task learns from in a round: fewer would average weights that have hardly moved.
@@ -230,20 +230,26 @@ class Network:
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each document, whole."""
-        streams = _streams(docs, SCORE_ROWS)
-        order = sorted(range(len(streams)), key=lambda s: -sum(len(docs[d]) for d in streams[s]))
-        streams = [streams[s] for s in order]
-        lengths = np.array([sum(len(docs[d]) for d in s) for s in streams])
-        given, target, fresh = self._laid(docs, streams, int(lengths.max(initial=0)))
+        streams = sorted(_streams(docs, SCORE_ROWS), key=lambda s: -sum(len(docs[d]) for d in s))
+        laid = [self._laid(docs, s) for s in streams]
+        lengths = np.array([len(target) for _, target, _, _ in laid], np.int64)
         p, w = self.p, WIDTH
         half = np.concatenate([np.full(2 * w, 0.5), np.ones(w)]).astype(np.float32)
         x, u = p["x"] * half, p["u"] * half
         h = np.zeros((len(streams), w), np.float32)
-        result = np.zeros(target.shape, np.float64)
-        for at in range(0, len(given), SCORE_WINDOW):
+        out = np.zeros(len(docs))
+        for at in range(0, int(lengths.max(initial=0)), SCORE_WINDOW):
+            # only a window of the streams that reach it is laid side by side, so one long text takes no more room
+            reach = int(np.searchsorted(-lengths, -at, "left"))
+            given, target, owner = (np.zeros((SCORE_WINDOW, reach), np.int32) for _ in range(3))
+            fresh = np.zeros((SCORE_WINDOW, reach), bool)
+            for s in range(reach):
+                for wide, row in zip((given, target, fresh, owner), laid[s], strict=True):
+                    part = row[at : at + SCORE_WINDOW]
+                    wide[: len(part), s] = part
             states, widths = [], []
-            for t in range(at, min(at + SCORE_WINDOW, len(given))):
-                live = int(np.searchsorted(-lengths, -t, "left"))  # streams longer than t stand first
+            for t in range(min(SCORE_WINDOW, int(lengths[0]) - at)):
+                live = int(np.searchsorted(-lengths, -(at + t), "left"))  # streams longer than that stand first
                 h0 = h[:live]
                 if fresh[t, :live].any():
                     h0[fresh[t, :live]] = 0
@@ -259,29 +265,19 @@ class Network:
                 h0 += n
                 states.append(h0.copy())
                 widths.append(live)
-            flat = np.concatenate([target[at + k, :live] for k, live in enumerate(widths)])
+            flat, owners = (np.concatenate([m[k, :live] for k, live in enumerate(widths)]) for m in (target, owner))
             found = self.output(np.concatenate(states), flat)[0]
-            for k, part in enumerate(np.split(found, np.cumsum(widths)[:-1])):
-                result[at + k, : len(part)] = part
-        out = np.zeros(len(docs))
-        for s, members in enumerate(streams):
-            begins = np.concatenate([[0], np.cumsum([len(docs[d]) for d in members])]).astype(int)
-            for d, a, b in zip(members, begins[:-1], begins[1:], strict=True):
-                out[d] = result[a:b, s].sum()
+            out += np.bincount(owners, weights=found, minlength=len(docs))
         return out
 
-    def _laid(self, docs: list[np.ndarray], streams: list[list[int]], length: int):
-        given = np.full((length, len(streams)), self.n - 1, np.int32)
-        target, fresh = given.copy(), np.zeros(given.shape, bool)
-        for s, members in enumerate(streams):
-            at = 0
-            for d in members:
-                ids = docs[d]
-                target[at : at + len(ids), s] = ids
-                given[at, s], given[at + 1 : at + len(ids), s] = self.first, ids[:-1]
-                fresh[at, s] = True
-                at += len(ids)
-        return given, target, fresh
+    def _laid(self, docs: list[np.ndarray], members: list[int]) -> tuple[np.ndarray, ...]:
+        """Given and wanted words, first words and documents of a stream of documents laid end to end."""
+        target = np.concatenate([docs[d] for d in members]).astype(np.int32)
+        sizes = [len(docs[d]) for d in members]
+        begins = np.cumsum([0, *sizes[:-1]])
+        given, fresh = np.roll(target, 1), np.zeros(len(target), bool)
+        given[begins], fresh[begins] = self.first, True
+        return given, target, fresh, np.repeat(np.array(members, np.int32), sizes)
 
     def train(self, docs: list[np.ndarray]) -> None:
         """One pass over documents laid end to end and cut into rows of equal length.

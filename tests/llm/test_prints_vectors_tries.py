@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.llm import prefix_trie, whitening, winnowing
+from parcelmill.llm import gru_lm, prefix_trie, whitening, winnowing
 
 DOCS = "doc_id long, text string, next_text string, bucket string, fingerprint long"
 TURNS = "conv_id long, turn long, role string, text string, depth long, length string, d1 long"
@@ -230,3 +230,16 @@ def test_accumulated_deep_chain():
     out = prefix_trie.accumulated(chain.assign(below_children=0, below_leaves=0, below_saved=0))
     assert list(out["saved_tokens"]) == list(range(n, 0, -1)) and set(out["n_leaves"]) == {1} and list(out["n_children"]) == [1] * (n - 1) + [0]
     assert out["top"].sum() == 1 and out["top"][0]
+
+
+# --- language model: a very long text beside short ones ---------------------------------------------------------------
+
+
+def test_long_text_is_scored_as_if_alone():
+    words = [f"w{i}".encode() for i in range(50)]
+    net = gru_lm.Network(words, np.array([*range(60, 10, -1), 7], np.float64))
+    texts = [" ".join(f"w{i * i % 53}" for i in range(n)) for n in (20_000, 3, 700, 64, 63, 65, 0, 1, 64)] + ["w1 w2"] * 300
+    docs = [net.encode(t) for t in texts]
+    net.train(docs)
+    together = net.score(docs)
+    assert together == pytest.approx([net.score([d])[0] for d in docs], rel=1e-4)
