@@ -1,5 +1,7 @@
 """Unified-record queries (N*, J6, U*) and the flagship county report."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,9 +10,8 @@ from parcelmill.catalog.registry import Inputs, query
 from parcelmill.fixtures import TABLES
 from parcelmill.operators import summary
 from parcelmill.operators.keyed import split_by_id
+from parcelmill.operators.nesting import Nested
 from parcelmill.plans import dallas, gold, harris, travis
-from parcelmill.plans.columns import Source
-from parcelmill.schemas import property_schema
 from parcelmill.session import scratch_path
 from parcelmill.sources import store
 
@@ -49,13 +50,22 @@ def dallas_files(src: Inputs) -> dallas.DallasFiles:
     )
 
 
-def gold_records(src: Inputs) -> DataFrame:
-    builders = {
-        "travis": lambda: travis.unified_records(travis_files(src)),
-        "dallas": lambda: dallas.unified_records(dallas_files(src)),
-        "harris": lambda: harris.unified_records(harris_files(src)),
+def county_records(src: Inputs) -> dict[str, Callable[[], DataFrame]]:
+    """Records of each county, with the numbers of their children."""
+    return {
+        "travis": lambda: travis.unified_records(travis_files(src), arrays=False),
+        "dallas": lambda: dallas.unified_records(dallas_files(src), arrays=False),
+        "harris": lambda: harris.unified_records(harris_files(src), arrays=False),
+    }
+
+
+def county_children(src: Inputs) -> dict[str, dict[str, Nested]]:
+    """Child families of each county that are rows of files."""
+    return {
+        "travis": travis.children(travis_files(src)),
+        "dallas": dallas.children(dallas_files(src)),
+        "harris": harris.children(harris_files(src)),
     }
-    return gold.union_counties(src.spark, builders)[0]
 
 
 _STORES: dict[tuple, str] = {}
@@ -76,23 +86,21 @@ def _files_of(src: Inputs) -> tuple:
 def sample_store(src: Inputs) -> str:
     """A property store of all counties, from three batches that overlap and a reload of one county.
 
-    The first batch has records of all counties in an earlier state, and some that later batches do not have;
-    the second brings Travis and Dallas up to date, the third Harris, whose other records end.
+    The first batch has records of all counties in an earlier state, those of Harris under ids that end; the second
+    brings all up to date, and the third reloads Harris, so that its other records go.
     """
     key = _files_of(src)
     if key not in _STORES:
         root = scratch_path(src.spark, "store")
-        path = f"{root}/records"
-        gold_records(src).write.partitionBy("county").parquet(path)
-        schema = property_schema()
-        records = src.spark.read.schema(schema).parquet(path).select(*schema.names, F.lit(1).alias("pos"))
+        records, _ = gold.union_counties(src.spark, county_records(src), f"{root}/counties")
+        records = records.withColumn("pos", F.lit(1))
         ended = F.when(F.col("county") == "harris", F.concat(F.lit("ended-"), "account_id")).otherwise(F.col("account_id"))
-        bare = {n: F.lit(None).cast(schema[n].dataType) for n in ("mailing_address", "valuation", "legal_status")}
+        bare = {n: F.lit(None).cast(records.schema[n].dataType) for n in ("mailing_address", "valuation", "legal_status")}
         earlier = records.withColumns({"account_id": ended, "year": F.lit(None).cast("int")} | bare)
-        harris_now = records.filter("county = 'harris'")
-        store.upsert(src.spark, root, earlier.unionByName(harris_now.limit(100)), "earlier", "2025-05-01 12:00:00", "pos")
-        store.upsert(src.spark, root, records.filter("county <> 'harris'"), "update", "2025-05-02 12:00:00", "pos")
-        store.upsert(src.spark, root, harris_now, "reload", "2025-05-03 12:00:00", "pos", reload_county="harris")
+        late, reloaded = records.filter("county <> 'harris'"), records.filter("county = 'harris'")
+        store.upsert(src.spark, root, earlier, "earlier", "2025-05-01 12:00:00", "pos")
+        store.upsert(src.spark, root, late.unionByName(reloaded), "update", "2025-05-02 12:00:00", "pos")
+        store.upsert(src.spark, root, reloaded, "reload", "2025-05-03 12:00:00", "pos", reload_county="harris")
         _STORES[key] = root
     return _STORES[key]
 
@@ -539,12 +547,7 @@ def n17(src: Inputs):
 )
 def n18(src: Inputs):
     files = dallas_files(src)
-    rows = dallas.keyed(files.accounts)
-    named = rows.select("account_id", dallas.primary_owner_name(Source(rows)).alias("_primary_name"))
-    with_owners = dallas.with_owners(named, files.owners)
-    return with_owners.select("account_id", F.explode("owners").alias("o")).select(
-        "account_id", "o.owner_type", "o.name", "o.percentage"
-    )
+    return dallas.all_owners(files).flat().select("account_id", "owner_type", "name", "percentage")
 
 
 @query(
@@ -622,29 +625,38 @@ def n21(src: Inputs):
 @query(
     "j6_nest_join",
     HARRIS,
-    f"""WITH o AS (SELECT {H_ID} AS id, count(*) AS n, min(ln_num) AS first_line FROM fx_owners GROUP BY 1),
-    d AS (SELECT {H_ID} AS id, count(*) AS n FROM fx_deeds GROUP BY 1),
-    p AS (SELECT {H_ID} AS id, count(*) AS n, min(yr) AS first_year FROM fx_permits GROUP BY 1),
-    t AS (SELECT {H_ID} AS id, count(*) AS n FROM fx_tieback GROUP BY 1),
+    f"""WITH o AS (SELECT {H_ID} AS id, count(*) AS n, string_agg(ln_num || ':' || coalesce(trim(name), ''), ','
+            ORDER BY ln_num) AS all_of FROM fx_owners GROUP BY 1),
+    d AS (SELECT {H_ID} AS id, count(*) AS n, string_agg(deed_id, ',' ORDER BY strptime(dos, '%m/%d/%Y'), deed_id)
+        AS all_of FROM fx_deeds GROUP BY 1),
+    p AS (SELECT {H_ID} AS id, count(*) AS n, string_agg(yr || ':' || id, ',' ORDER BY yr, id) AS all_of
+        FROM fx_permits GROUP BY 1),
+    t AS (SELECT {H_ID} AS id, count(*) AS n, string_agg(related_acct, ',') AS all_of FROM fx_tieback GROUP BY 1),
     m AS (SELECT {H_ID} AS id, dor_cd FROM fx_mineral
         QUALIFY row_number() OVER (PARTITION BY acct ORDER BY source_pos DESC) = 1)
     SELECT {H_ID} AS account_id, coalesce(o.n, 0) AS owners, coalesce(d.n, 0) AS deeds,
-        coalesce(p.n, 0) AS permits, coalesce(t.n, 0) AS relations, o.first_line, p.first_year,
-        m.dor_cd AS mineral_code, n.dscr AS neighborhood
+        coalesce(p.n, 0) AS permits, coalesce(t.n, 0) AS relations, coalesce(o.all_of, '') AS all_owners,
+        coalesce(d.all_of, '') AS all_deeds, coalesce(p.all_of, '') AS all_permits,
+        coalesce(t.all_of, '') AS all_relations, m.dor_cd AS mineral_code, n.dscr AS neighborhood
     FROM fx_real_acct a LEFT JOIN o ON {H_ID} = o.id LEFT JOIN d ON {H_ID} = d.id LEFT JOIN p ON {H_ID} = p.id
     LEFT JOIN t ON {H_ID} = t.id LEFT JOIN m ON {H_ID} = m.id
     LEFT JOIN fx_nbhd n ON a.market_area_1 = cast(n.cd AS string)""",
 )
 def j6(src: Inputs):
-    first = F.lit(1)
+    def listed(family: str, *fields: str):
+        parts = lambda x: F.concat_ws(":", *[F.coalesce(F.trim(x[f].cast("string")), F.lit("")) for f in fields])
+        return F.array_join(F.transform(family, parts), ",")
+
     return harris.unified_records(harris_files(src)).select(
         "account_id",
         "child_counts.owners",
         "child_counts.deeds",
         "child_counts.permits",
         F.col("child_counts.parcel_relationships").alias("relations"),
-        F.try_element_at("owners", first).getField("line_number").alias("first_line"),
-        F.try_element_at("permits", first).getField("year").alias("first_year"),
+        listed("owners", "line_number", "name").alias("all_owners"),
+        listed("deeds", "deed_id").alias("all_deeds"),
+        listed("permits", "year", "permit_id").alias("all_permits"),
+        listed("parcel_relationships", "related_account_id").alias("all_relations"),
         F.col("mineral_rights.dor_code").alias("mineral_code"),
         F.col("neighborhood.description").alias("neighborhood"),
     )
@@ -664,19 +676,45 @@ def u1(src: Inputs):
 @query(
     "u2_union_counties",
     f"{HARRIS} {TRAVIS} {DALLAS}",
-    f"""SELECT 'harris' AS county, {H_ID} AS account_id, {money('tot_mkt_val')} AS market_value,
-        (SELECT count(*) FROM fx_owners o WHERE o.acct = trim(a.acct)) AS owners FROM fx_real_acct a
-    UNION ALL SELECT 'travis', {T_ID}, cast(0 AS decimal(18,2)),
-        CASE WHEN trim(substr(value, 609, 52)) <> '' THEN 1 ELSE 0 END FROM fx_travis_prop WHERE {T_OK}
-    UNION ALL SELECT 'dallas', {D_ID}, (SELECT cast(trunc(cast(min_by(tot_val, source_pos) AS double))
-        AS decimal(18,2)) FROM fx_dallas_appraisal v WHERE v.account_num = d.account_num),
-        1 + (SELECT count(*) FROM fx_dallas_owner o WHERE o.account_num = d.account_num
-            AND owner_name IS NOT NULL) FROM fx_dallas_account d""",
+    f"""WITH h AS (SELECT acct, count(*) AS n FROM fx_owners GROUP BY acct),
+    o AS (SELECT account_num, count(*) AS n FROM fx_dallas_owner WHERE owner_name IS NOT NULL GROUP BY 1),
+    e AS (SELECT {T_ID} AS id, count(*) AS n FROM fx_travis_ent GROUP BY 1),
+    r AS (SELECT 'harris' AS county, {H_ID.replace('acct', 'a.acct')} AS account_id,
+        {money('tot_mkt_val')} AS market_value, coalesce(h.n, 0) AS children FROM fx_real_acct a LEFT JOIN h ON h.acct = trim(a.acct)
+    UNION ALL SELECT 'travis', {T_ID}, cast(0 AS decimal(18,2)), coalesce(e.n, 0)
+        FROM fx_travis_prop LEFT JOIN e ON e.id = {T_ID} WHERE {T_OK}
+    UNION ALL SELECT 'dallas', {D_ID.replace('account_num', 'd.account_num')}, (SELECT cast(trunc(cast(min_by(tot_val,
+        source_pos) AS double)) AS decimal(18,2)) FROM fx_dallas_appraisal v WHERE v.account_num = d.account_num),
+        1 + coalesce(o.n, 0) FROM fx_dallas_account d LEFT JOIN o ON o.account_num = d.account_num),
+    c AS (SELECT 'harris' AS county, {H_ID} AS id, ln_num || ':' || coalesce(trim(name), '') AS child FROM fx_owners
+        WHERE acct IN (SELECT trim(acct) FROM fx_real_acct)
+    UNION ALL SELECT 'dallas', {D_ID}, 'primary:' || concat_ws(' ', owner_name1, owner_name2) FROM fx_dallas_account
+    UNION ALL SELECT 'dallas', {D_ID}, 'additional:' || trim(owner_name) FROM fx_dallas_owner
+        WHERE owner_name IS NOT NULL)
+    SELECT 'record' AS kind, county, account_id, market_value, children, NULL AS value FROM r
+    UNION ALL SELECT 'child', county, id, NULL, NULL, child FROM c
+    UNION ALL SELECT 'status', county, NULL, NULL, count(*), 'ok' FROM r GROUP BY county
+    UNION ALL SELECT 'status', 'broken', NULL, NULL, 0, 'failed'""",
 )
 def u2(src: Inputs):
-    return gold_records(src).select(
-        "county", "account_id", "valuation.market_value", "child_counts.owners"
+    """Three counties and one whose file breaks while it is read."""
+    torn = travis_files(src).properties
+    torn = torn.withColumn("value", F.when(F.col("value").substr(1, 12) > "000000000009", F.raise_error(F.lit("torn line"))).otherwise(F.col("value")))
+    builders = county_records(src) | {"broken": lambda: travis.unified_records(travis.TravisFiles(torn), arrays=False)}
+    records, status = gold.union_counties(src.spark, builders, scratch_path(src.spark, "u2"))
+    n_children = F.when(F.col("county") == "travis", F.col("child_counts.tax_entities")).otherwise(F.col("child_counts.owners"))
+    out = records.select(F.lit("record").alias("kind"), "county", "account_id", "valuation.market_value", n_children.alias("children"))
+    out = out.unionByName(
+        status.select(F.lit("status").alias("kind"), "county", F.col("records").alias("children"), F.col("status").alias("value")),
+        allowMissingColumns=True,
     )
+    for county, first in (("harris", F.col("line_number").cast("string")), ("dallas", F.col("owner_type"))):
+        owners = county_children(src)[county]["owners"].flat()
+        value = F.concat(first, F.lit(":"), F.coalesce(F.trim("name"), F.lit("")))
+        known = owners.join(records.filter(F.col("county") == county).select("account_id"), "account_id", "left_semi")
+        rows = known.select(F.lit("child").alias("kind"), F.lit(county).alias("county"), "account_id", value.alias("value"))
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 @query(
@@ -694,7 +732,7 @@ def u2(src: Inputs):
 def flagship(src: Inputs):
     """Records with owners, valued and summed per county."""
     files = harris.HarrisFiles(src.view("fx_real_acct"), src.view("fx_owners"))
-    records = harris.unified_records(files)
+    records = harris.unified_records(files, arrays=False)
     value = F.col("valuation.market_value")
     usable = F.when((value > 0) & (value < 100_000_000), value)
     return records.groupBy("county").agg(

@@ -395,40 +395,55 @@ def u3(src: Inputs):
 )
 def m1(src: Inputs):
     lost = (F.col("county") == "harris") & (F.col("n_tax_entities") == 0)
-    gold = src.view("fx_gold").withColumn("county", F.when(~lost, F.col("county")))
-    fixed = repair.fill_county(gold.select("account_id", "owner_name", "county"))
-    return fixed.withColumn("repaired_total", repair.repaired_count(fixed))
+    gold = src.view("fx_gold").select(
+        "account_id", "owner_name", F.when(~lost, F.col("county")).alias("county"), lost.alias("lost"), F.lit(1).alias("pos")
+    )
+    fixed, total = repaired_store(src, gold, repair.fill_county, "county")
+    return fixed.select("account_id", "owner_name", "county", F.col("lost").alias("repaired"), total)
+
+
+def repaired_store(src: Inputs, records: DataFrame, rule, path: str):
+    """Records of a store after a repair, and the number of those repaired."""
+    root = scratch_path(src.spark, "repair")
+    store.upsert(src.spark, root, records, "load", "2025-06-01 12:00:00", "pos")
+    counts = store.repair(src.spark, root, rule, path, "repair", "2025-06-02 12:00:00")
+    return store.read_store(src.spark, root), F.lit(counts["replaced_count"]).cast("bigint").alias("repaired_total")
 
 
 def _harris_with_gaps(src: Inputs) -> DataFrame:
     gap = F.col("account_id").cast("bigint") % 3 == 0
     records = harris.account_records(src.view("fx_real_acct"))
     street, value = F.col("property_address.street_address"), F.col("valuation.market_value")
-    return records.withColumn(
-        "property_address",
-        F.col("property_address").withField("street_address", F.when(~gap, street)),
-    ).withColumn("valuation", F.col("valuation").withField("market_value", F.when(~gap, value)))
+    gaps = {
+        "property_address": F.col("property_address").withField("street_address", F.when(~gap, street)),
+        "valuation": F.col("valuation").withField("market_value", F.when(~gap, value)),
+        "gap": gap,
+        "pos": F.lit(1),
+    }
+    return records.withColumns(gaps).select("account_id", "county", *gaps)
 
 
 @query(
     "m2_fill_street_address",
     "fx_real_acct",
-    f"""SELECT {H_ID} AS account_id, site_addr_1 AS street_address, cast(trim(acct) AS bigint) % 3 = 0 AS repaired
+    f"""SELECT {H_ID} AS account_id, site_addr_1 AS street_address, cast(trim(acct) AS bigint) % 3 = 0 AS repaired,
+        (SELECT count(*) FROM fx_real_acct WHERE cast(trim(acct) AS bigint) % 3 = 0) AS repaired_total
     FROM fx_real_acct""",
 )
 def m2(src: Inputs):
-    return repair.fill_street_address(_harris_with_gaps(src)).select(
-        "account_id", "property_address.street_address", "repaired"
-    )
+    fixed, total = repaired_store(src, _harris_with_gaps(src), repair.fill_street_address, "property_address.street_address")
+    return fixed.select("account_id", "property_address.street_address", F.col("gap").alias("repaired"), total)
 
 
 @query(
     "m3_fill_market_value",
     "fx_real_acct",
     f"""SELECT {H_ID} AS account_id, {money('tot_mkt_val')} AS market_value,
-        cast(trim(acct) AS bigint) % 3 = 0 AND {money('tot_mkt_val')} IS NOT NULL AS repaired FROM fx_real_acct""",
+        cast(trim(acct) AS bigint) % 3 = 0 AND {money('tot_mkt_val')} IS NOT NULL AS repaired, (SELECT count(*)
+        FROM fx_real_acct WHERE cast(trim(acct) AS bigint) % 3 = 0 AND {money('tot_mkt_val')} IS NOT NULL)
+        AS repaired_total FROM fx_real_acct""",
 )
 def m3(src: Inputs):
-    return repair.fill_market_value(_harris_with_gaps(src)).select(
-        "account_id", "valuation.market_value", "repaired"
-    )
+    fixed, total = repaired_store(src, _harris_with_gaps(src), repair.fill_market_value, "valuation.market_value")
+    value = F.col("valuation.market_value")
+    return fixed.select("account_id", value, (F.col("gap") & value.isNotNull()).alias("repaired"), total)

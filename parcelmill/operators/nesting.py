@@ -1,17 +1,20 @@
-"""Child rows as arrays on the parent record.
+"""Child rows of a parent record: as rows, as pages of bounded size, as arrays, or only counted.
 
 Every key is treated alike: there is no count beforehand, no threshold and no cap. The rows of a family
-(`rows`) are the child table, which Spark deals out like any other; a record's array holds all children of
-its key. Arrays are put together in two steps, by key and a salt and then by key, so that the sorting and
-packing of a key with very many children is spread, and only its finished parts meet.
+(`rows`) are the child table, which Spark deals out like any other. `pages` cuts the ordered children of each key
+into pages of about `PAGE_BYTES`, however many a key has: exports, the store and backups keep these beside the
+records. `arrays` puts all children of a key into one row, which must then fit one.
 """
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelmill.session import scratch_path
+
 SALTS = 64
+PAGE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,43 @@ class Nested:
         items = F.transform(F.array_sort("all"), lambda x: x["v"]).alias("items")
         return whole.select(self.key, items, F.size("all").cast("bigint").alias("n"))
 
+    @property
+    def counts(self) -> DataFrame:
+        """(key, n), counted within each task first; no child is moved."""
+        return self.rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+
+    def pages(self, page_bytes: int = PAGE_BYTES) -> DataFrame:
+        """(key, page, items): the children of each key in order, cut where their JSON reaches `page_bytes`.
+
+        Equal children of a key are one row with their number until the last step, so however many there are, none of
+        them meet. The distinct ones are dealt out as ranges of (key, child) and stored; a key's ranges are
+        summed up, and each then finds the bytes before its children. A page holds the children that begin in it.
+        """
+        size = F.octet_length(F.to_json(F.struct("item"))).cast("bigint")
+        distinct = self.rows.groupBy(self.key, "item").agg(F.count(F.lit(1)).alias("copies")).withColumn("size", size)
+        path = scratch_path(self.rows.sparkSession, "ranges")
+        distinct.repartitionByRange(self.key, "item").withColumn("part", F.spark_partition_id()).write.parquet(path)
+        ranged = self.rows.sparkSession.read.parquet(path)  # file partitions are not ranges: `part` says which
+        earlier = Window.partitionBy(self.key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = ranged.groupBy(self.key, "part").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes")).select(
+            self.key, "part", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("before")
+        )
+        inside = Window.partitionBy(self.key, "part").orderBy("item").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        taken = F.sum(F.col("size") * F.col("copies")).over(inside)
+        placed = ranged.join(starts, [self.key, "part"]).withColumn("start", F.col("before") + taken - F.col("size") * F.col("copies"))
+        last = F.col("start") + F.col("size") * (F.col("copies") - 1)
+        cut = placed.withColumn("page", F.explode(F.sequence(F.floor(F.col("start") / page_bytes), F.floor(last / page_bytes))))
+
+        def first_at(offset: Column) -> Column:
+            """Number of copies that begin before the byte `offset`."""
+            return F.least(F.greatest(F.ceil((offset - F.col("start")) / F.col("size")), F.lit(0)), F.col("copies"))
+
+        here = first_at((F.col("page") + 1) * page_bytes) - first_at(F.col("page") * page_bytes)
+        entry = F.struct("start", "item", here.cast("int").alias("here"))
+        packed = cut.filter(here > 0).groupBy(self.key, "page").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        items = F.flatten(F.transform("entries", lambda e: F.array_repeat(e["item"]["v"], e["here"])))
+        return packed.select(self.key, "page", items.alias("items"))
+
     def flat(self) -> DataFrame:
         """All children, one row each; a child field named like the key becomes `source_account`."""
         names = self.rows.schema["item"].dataType["v"].dataType.names
@@ -45,12 +85,22 @@ def nest_children(children: DataFrame, key: str, order: list[Column], value: Col
     return Nested(key, children.select(key, F.struct(place.alias("o"), value.alias("v")).alias("item")))
 
 
-def attach(parent: DataFrame, nested: Nested, name: str) -> DataFrame:
-    """Left join the arrays and the child counts (`<name>_count`) to the parent.
+def attach(parent: DataFrame, nested: Nested, name: str, arrays: bool = True) -> DataFrame:
+    """Left join the arrays (unless not wanted) and the child counts (`<name>_count`) to the parent.
 
     No children gives an empty array and the count 0.
     """
+    if not arrays:
+        counted = parent.join(nested.counts, nested.key, "left")
+        return counted.withColumn(f"{name}_count", F.coalesce("n", F.lit(0).cast("bigint"))).drop("n")
     joined = parent.join(nested.arrays.withColumnRenamed("items", name), nested.key, "left")
     element = joined.schema[name].dataType
     filled = joined.withColumn(name, F.coalesce(F.col(name), F.array().cast(element)))
     return filled.withColumn(f"{name}_count", F.coalesce("n", F.lit(0).cast("bigint"))).drop("n")
+
+
+def rows_of(pages: DataFrame, key: str) -> DataFrame:
+    """The children of pages as rows: key, `position` (page and place in it), `child`."""
+    return pages.select(key, "page", F.posexplode("items").alias("place", "child")).select(
+        key, F.struct("page", "place").alias("position"), "child"
+    )

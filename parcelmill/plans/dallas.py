@@ -86,12 +86,11 @@ def primary_owner_name(s: Source) -> Column:
     return text.join_present(" ", s.raw("owner_name1"), s.raw("owner_name2"))
 
 
-def with_owners(records: DataFrame, owners: DataFrame | None) -> DataFrame:
-    """Owner array: the primary owner with the share that is left, then the additional ones."""
+def primary_share(records: DataFrame, owners: DataFrame | None) -> DataFrame:
+    """`_primary`: the primary owner with the share that the additional owners leave; null without a name."""
     share_left = F.lit(100).cast("decimal(9,4)")
     if owners is not None:
         records = records.join(owner_share(owners), KEY, "left")
-        records = attach(records, nest_owners(owners), "_additional")
         share_left = share_left - F.coalesce("additional_pct", F.lit(0).cast("decimal(18,4)"))
     primary = section(
         "owners",
@@ -99,15 +98,34 @@ def with_owners(records: DataFrame, owners: DataFrame | None) -> DataFrame:
         owner_type=F.lit("primary"),
         percentage=share_left.try_cast("decimal(9,4)"),
     )
-    first = F.array_compact(F.array(F.when(F.col("_primary_name") != "", primary)))
+    out = records.withColumn("_primary", F.when(F.col("_primary_name") != "", primary))
+    return out.drop("additional_pct") if owners is not None else out
+
+
+def all_owners(files: "DallasFiles") -> Nested:
+    """Owners as rows: the primary one of each account first, then the additional ones of known accounts."""
+    rows = keyed(files.accounts)
+    named = primary_share(rows.select(KEY, primary_owner_name(Source(rows)).alias("_primary_name")), files.owners)
+    first = F.struct(F.lit(0).alias("o0"), F.lit(None).cast("string").alias("o1"), F.lit(None).cast("double").alias("o2"))
+    owners = named.filter(F.col("_primary").isNotNull()).select(KEY, F.struct(first.alias("o"), F.col("_primary").alias("v")).alias("item"))
+    if files.owners is None:
+        return Nested(KEY, owners)
+    order = F.struct(F.lit(1).alias("o0"), F.col("item.o.o0").alias("o1"), F.col("item.o.o1").alias("o2"))
+    others = nest_owners(files.owners).rows.join(named.select(KEY), KEY, "left_semi")
+    return Nested(KEY, owners.unionByName(others.select(KEY, F.struct(order.alias("o"), F.col("item.v").alias("v")).alias("item"))))
+
+
+def with_owners(records: DataFrame, owners: DataFrame | None, arrays: bool = True) -> DataFrame:
+    """Owner array: the primary owner, then the additional ones; without `arrays` only their number."""
+    records = primary_share(records, owners)
+    first = F.array_compact(F.array("_primary"))
     if owners is None:
-        return records.withColumn("owners", first)
-    return records.withColumns(
-        {
-            "owners": F.concat(first, F.col("_additional")),
-            "owners_count": F.size(first) + F.col("_additional_count"),
-        }
-    ).drop("_additional", "_additional_count", "additional_pct")
+        return records.withColumn("owners", first).drop("_primary")
+    records = attach(records, nest_owners(owners), "_additional", arrays)
+    count = F.size(first) + F.col("_additional_count")
+    if arrays:
+        records = records.withColumn("owners", F.concat(first, F.col("_additional")))
+    return records.withColumn("owners_count", count).drop("_primary", "_additional", "_additional_count")
 
 
 def tax_entities(a: Part) -> Column:
@@ -360,7 +378,11 @@ def joined_rows(files: DallasFiles) -> DataFrame:
     return rows
 
 
-def unified_records(files: DallasFiles) -> DataFrame:
+def children(files: DallasFiles) -> dict[str, Nested]:
+    return {} if files.owners is None else {"owners": all_owners(files)}
+
+
+def unified_records(files: DallasFiles, arrays: bool = True) -> DataFrame:
     rows = joined_rows(files)
     s = Source(rows)
     apprl, res, com, land = (
@@ -410,4 +432,4 @@ def unified_records(files: DallasFiles) -> DataFrame:
         ).alias("metadata"),
         name.alias("_primary_name"),
     )
-    return conform(with_owners(records, files.owners))
+    return conform(with_owners(records, files.owners, arrays))

@@ -1,34 +1,42 @@
 """Union of the counties and the flattened export."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from parcelmill.operators import joins
 from parcelmill.plans.harris import HarrisFiles
 from parcelmill.schemas import property_schema
 
 
+STATUS_DDL = "county string, status string, error string, records bigint"
+
+
 def union_counties(
-    spark: SparkSession, builders: dict[str, Callable[[], DataFrame]]
-) -> tuple[DataFrame, dict[str, str]]:
-    """Records of all counties whose sources resolve, and a status per county.
+    spark: SparkSession, builders: dict[str, Callable[[], DataFrame]], root: str
+) -> tuple[DataFrame, DataFrame]:
+    """Records of all counties that could be built, and a status row per county.
 
-    A county with missing files or columns fails alone; its error text is its status.
+    Each county is a job of its own, which writes to its own folder under `root`; they run side by side. A county
+    that fails, be it while its files are found or while they are read, fails alone: its status is `failed`, with
+    the error's first line, and nothing of it is among the records.
     """
-    out = None
-    status = {}
-    for county, build in builders.items():
+
+    def load(county: str) -> tuple:
+        path = f"{root}/{county}"
         try:
-            records = build()
-        except (AnalysisException, FileNotFoundError) as error:
-            status[county] = f"failed: {str(error).splitlines()[0]}"
-            continue
-        out = records if out is None else out.unionByName(records)
-        status[county] = "ok"
-    return (spark.createDataFrame([], property_schema()) if out is None else out), status
+            builders[county]().write.parquet(path)
+            return county, "ok", None, spark.read.schema(property_schema()).parquet(path).count()
+        except Exception as error:  # whatever ends one county's job must not end the others'
+            return county, "failed", (str(error).splitlines() or [type(error).__name__])[0], 0
+
+    with ThreadPoolExecutor(len(builders) or 1) as pool:
+        status = list(pool.map(load, builders))
+    paths = [f"{root}/{county}" for county, state, *_ in status if state == "ok"]
+    records = spark.read.schema(property_schema()).parquet(*paths) if paths else spark.createDataFrame([], property_schema())
+    return records, spark.createDataFrame(status, STATUS_DDL)
 
 
 def flat_export(files: HarrisFiles, key: str = "acct") -> DataFrame:

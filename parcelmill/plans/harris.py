@@ -387,12 +387,15 @@ def children(files: HarrisFiles) -> dict[str, Nested]:
 
 
 def unified_records(
-    files: HarrisFiles, legacy_split: bool = False
+    files: HarrisFiles, legacy_split: bool = False, arrays: bool = True
 ) -> DataFrame:
-    """Unified records with all their children; `children(files)[..].flat()` has the children as rows."""
+    """Unified records with all their children, or (`arrays=False`) with the numbers of those that are rows of a file.
+
+    `children(files)[..]` has the children as rows and as pages.
+    """
     records = account_records(files.accounts, legacy_split)
     for name, nested in children(files).items():
-        records = attach(records, nested, name)
+        records = attach(records, nested, name, arrays)
     if files.minerals is not None:
         records = records.join(mineral_struct(files.minerals), KEY, "left")
     if files.neighborhoods is not None:

@@ -214,12 +214,12 @@ def with_counts(records: DataFrame, n_agents: Column) -> DataFrame:
 
 
 def unified_records(
-    files: TravisFiles, subdivision_key: str = "map_reference"
+    files: TravisFiles, subdivision_key: str = "map_reference", arrays: bool = True
 ) -> DataFrame:
     records = property_records(files.properties)
     nested = children(files)
     for name, n in nested.items():
-        records = attach(records, n, name)
+        records = attach(records, n, name, arrays)
     if files.subdivisions is not None:
         records = with_subdivision(records, files.subdivisions, subdivision_key)
     records = conform(records)  # absent child families are empty arrays from here on

@@ -1,7 +1,10 @@
 """File sinks: plain writes, nested JSON export, flat CSV export and backup, each with a manifest."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from parcelmill.operators.nesting import rows_of
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -39,15 +42,24 @@ def export_manifest(df: DataFrame, label: str, created_at: str) -> DataFrame:
     )
 
 
-def export_records(df: DataFrame, path: str, label: str, created_at: str) -> None:
-    """Nested records as JSON lines under `records`, their manifest under `manifest`.
+def export_records(df: DataFrame, path: str, label: str, created_at: str, children: dict[str, DataFrame] | None = None) -> None:
+    """Records as JSON lines under `records`, pages of their children under `children/<family>`, a manifest under `manifest`.
 
-    The manifest counts what was written, so it agrees with the files.
+    Children that stand in a record's own arrays go with it; `children` are those that do not, as pages
+    (key, page, items), so that a record of any number of children can be written. The manifest counts what was
+    written, so it agrees with the files.
     """
     write_frame(df, f"{path}/records", "json")
+    for family, pages in (children or {}).items():
+        write_frame(pages, f"{path}/children/{family}", "json")
     written = df.sparkSession.read.text(f"{path}/records")
     write_frame(export_manifest(written, label, created_at), f"{path}/manifest", "json")
 
 
-def backup(df: DataFrame, path: str, created_at: str) -> None:
-    export_records(with_iso_times(df), path, "all", created_at)
+def exported_children(spark: SparkSession, path: str, family: str, schema: StructType, key: str) -> DataFrame:
+    """The children of an export as rows: key, position, child. `schema` is that of the pages."""
+    return rows_of(spark.read.schema(schema).json(f"{path}/children/{family}"), key)
+
+
+def backup(df: DataFrame, path: str, created_at: str, children: dict[str, DataFrame] | None = None) -> None:
+    export_records(with_iso_times(df), path, "all", created_at, children)

@@ -1,6 +1,7 @@
 """The property store: a bucketed Spark table of record batches, upserted by account id, with a coverage ledger.
 
-Layout: `data/batch=B/` (one table, in buckets by `account_id`), `ledger/batch=B/` and `gaps/batch=B/` (what the batch
+Layout: `data/batch=B/` (one table, in buckets by `account_id`), `children/F/batch=B/` (pages of the child family F, see
+`operators.nesting`; a record names the batch that its children came with), `ledger/batch=B/` and `gaps/batch=B/` (what the batch
 changes in the counts, see `operators.ledger`), `staging/` with the batches as they came, and a small `commits` table.
 A batch counts once its commit row is written, and its name is never used again, so what a failed write left behind is
 never read. One writer at a time is assumed; superseded folders are not removed.
@@ -15,13 +16,15 @@ After `compact_after` batches they are merged: the late ones among themselves wh
 import hashlib
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from parcelmill.operators import ledger
 from parcelmill.operators.keyed import last_per_key
+from parcelmill.operators.nesting import PAGE_BYTES, Nested, rows_of
 from parcelmill.sources.runlog import log_event
 
 COMMIT_DDL = (
@@ -32,6 +35,8 @@ COMMIT_DDL = (
 VERSION_TAG = "1.0"
 INGESTION_TYPE = "normalized_bulk"
 COMPACT_AFTER, MERGE_SHARE = 16, 0.25
+#: Of the store itself: whether a row is a patch, and the batch that brought the record's children.
+OWN_FIELDS = [StructField("_patch", BooleanType()), StructField("_children", StringType())]
 
 
 def with_run_metadata(
@@ -89,7 +94,7 @@ def _schema(row) -> StructType:
 
 def _declared(spark: SparkSession, root: str, schema: StructType, buckets: int, batches: list[str]) -> str:
     """Name of the bucketed table over `data`, declared in the catalog with the given batches."""
-    fields = [*schema, StructField("_patch", BooleanType())]
+    fields = [*schema, *[f for f in OWN_FIELDS if f.name not in schema.names]]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     name = "store_" + hashlib.md5(f"{root}|{ddl}|{buckets}".encode()).hexdigest()
     location = f"{root}/data".replace("'", "\\'")
@@ -112,6 +117,25 @@ def read_store(spark: SparkSession, root: str, columns: list[str] | None = None)
     return _snapshot(spark, root, _current(spark, root), columns)
 
 
+def child_pages(spark: SparkSession, root: str, family: str) -> DataFrame | None:
+    """Pages (account_id, page, items) of the current records' children, or None where the store has none."""
+    current = _current(spark, root)
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/children/{family}")
+    if not current or not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
+        return None
+    pages = spark.read.parquet(f"{root}/children/{family}")
+    owners = _snapshot(spark, root, current, ["_children"]).filter(F.col("_children").isNotNull())
+    owners = owners.select("account_id", F.col("_children").alias("batch"))
+    # an account may have a large share of the pages: both sides are dealt out, so that such a join can be split
+    return pages.join(owners, ["account_id", "batch"]).select("account_id", "page", "items")
+
+
+def children(spark: SparkSession, root: str, family: str) -> DataFrame | None:
+    """The children of the current records as rows: account_id, position, child."""
+    pages = child_pages(spark, root, family)
+    return None if pages is None else rows_of(pages, "account_id")
+
+
 def _laid_over(c: Column, path: str, value: Column) -> Column:
     """The column `c` with the field below it that `path` names set to `value`."""
     _, _, inner = path.partition(".")
@@ -123,6 +147,7 @@ def _snapshot(spark, root, current: list, columns: list[str] | None = None) -> D
         return None
     schema = _schema(current[-1])
     names = [f.name for f in schema if columns is None or f.name in {*columns, "account_id"}]
+    names += [c for c in columns or [] if c == "_children"]
     batches = [r["batch"] for r in current]
     rows = _batches(spark, root, schema, current[-1]["buckets"], batches)
     patched = {p for r in current for p in r["patched"] or [] if p.partition(".")[0] in names}
@@ -163,13 +188,15 @@ def upsert(
     source_files: list[str] | None = None,
     reload_county: str | None = None,
     buckets: int | None = None,
+    children: dict[str, Nested] | None = None,
     compact_after: int = COMPACT_AFTER,
 ) -> dict[str, int | str]:
     """Replace or insert whole records by `account_id`; the row with the highest `position` wins.
 
     Returns the counts of the run. A batch id that is already committed is not applied again. The
     first `created_at` of a record is kept. `reload_county` drops the county's other records.
-    `buckets` counts for a new store alone (the session's shuffle partitions, if not given).
+    `buckets` counts for a new store alone (the session's shuffle partitions, if not given). `children` are
+    the child families of the batch's records, keyed by `account_id`; they replace those that the records had.
     """
     done = commits(spark, root).filter(F.col("batch_id") == batch_id).limit(1).collect()
     if done:
@@ -186,7 +213,7 @@ def upsert(
         fresh = with_run_metadata(latest, batch_id, run_time, source_files)
         if reload_county is not None and any(r["patched"] for r in _current(spark, root)):
             compact(spark, root)  # a patch may have given a record its county
-        counts = _append(spark, root, fresh, batch_id, total, reload_county, buckets)
+        counts = _append(spark, root, fresh, batch_id, total, reload_county, buckets, children or {})
     except Exception as error:
         log_event(spark, root, batch_id, "failed", run_time, total, 0, str(error))
         raise
@@ -195,26 +222,27 @@ def upsert(
     return counts
 
 
-def _append(spark, root, fresh, batch_id, total, reload_county, buckets) -> dict[str, int | str]:
-    """Write a batch of one record per account, and what it changes in the counts, and commit it."""
+def _append(spark, root, fresh, batch_id, total, reload_county, buckets, children) -> dict[str, int | str]:
+    """Write a batch of one record per account, its children, and what it changes in the counts, and commit it."""
     current = _current(spark, root)
     buckets = current[-1]["buckets"] if current else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name, version = _new_batch(spark, root)
-    _write(spark, root, fresh.schema, buckets, name, fresh)
+    _write(spark, root, fresh.schema, buckets, name, fresh, children=F.lit(name if children else None))
+    for family, nested in children.items():
+        nested.pages(PAGE_BYTES).write.parquet(f"{root}/children/{family}/batch={name}")
     written = _batches(spark, root, fresh.schema, buckets, [name]).select(*fresh.columns)
     known = _snapshot(spark, root, current)
-    replaced, gone = 0, None
+    gone = None
     if known is not None:
         ids = written.select("account_id")
         gone = known.join(ids, "account_id", "left_semi")
-        if reload_county is None:
-            replaced = known.select("account_id").join(ids, "account_id", "left_semi").count()
-        else:
+        if reload_county is not None:
             ends = F.col("county").eqNullSafe(reload_county)
             gone = known.filter(ends).unionByName(gone.filter(~ends))
-            replaced = known.filter(~ends).select("account_id").join(ids, "account_id", "left_semi").count()
-    _write_counts(root, name, ledger.signed(written, gone))
-    saved = written.count()
+    facts = _write_counts(spark, root, name, ledger.signed(written, gone))
+    # what a reload ends is not replaced
+    kept = F.lit(True) if reload_county is None else ~F.col("county").eqNullSafe(reload_county)
+    saved, replaced = facts.agg(F.count_if(F.col("sign") > 0), F.count_if((F.col("sign") < 0) & kept)).first()
     counts = (total, saved - replaced, replaced, total - saved)
     return _commit(spark, root, version, name, batch_id, fresh.schema, buckets, saved, counts, reload_county=reload_county)
 
@@ -255,27 +283,46 @@ def patch(spark: SparkSession, root: str, changes: DataFrame, paths: list[str],
     ids = _batches(spark, root, schema, buckets, [name]).select("account_id")
     after = _snapshot(spark, root, [*current, following]).join(ids, "account_id", "left_semi")
     before = _snapshot(spark, root, current).join(ids, "account_id", "left_semi")
-    _write_counts(root, name, ledger.signed(after, before))
+    _write_counts(spark, root, name, ledger.signed(after, before))
     saved = ids.count()
     counts = _commit(spark, root, version, name, batch_id, schema, buckets, saved, (saved, 0, saved, 0), patched=paths)
     log_event(spark, root, batch_id, "completed", run_time, saved, saved)
     return counts
 
 
+def repair(
+    spark: SparkSession, root: str, rule: Callable[[DataFrame], DataFrame], path: str, batch_id: str, run_time: str
+) -> dict[str, int | str]:
+    """Apply one of the rules of `operators.repair` to the stored records as a patch of the field `path`."""
+    section = path.partition(".")[0]
+    have = read_store(spark, root, ["county", section])
+    if have is None:
+        raise ValueError("there is no record to repair")
+    fixed = rule(have).filter("repaired")
+    changes = fixed.select("account_id", *({"county"} - {path}), F.col(path).alias(path))
+    return patch(spark, root, changes, [path], batch_id, run_time)
+
+
 def _new_batch(spark, root) -> tuple[str, int]:
     """A batch name that sorts after all others and is never used again, and its version."""
     version = commits(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
     return f"{version:010d}-{uuid.uuid4().hex}", version
 
 
-def _write(spark, root, schema, buckets, name, records, is_patch=False) -> None:
-    rows = records.select(*schema.names, F.lit(is_patch), F.lit(name))
+def _write(spark, root, schema, buckets, name, records, is_patch=False, children=None) -> None:
+    own = F.lit(None) if children is None else children
+    rows = records.select(*schema.names, F.lit(is_patch), own.cast("string"), F.lit(name))
     rows.repartition(buckets, "account_id").write.insertInto(_declared(spark, root, schema, buckets, []))
 
 
-def _write_counts(root: str, name: str, facts: DataFrame) -> None:
-    ledger.entries(facts).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
-    ledger.gaps(facts).write.parquet(f"{root}/gaps/batch={name}")
+def _write_counts(spark, root: str, name: str, facts: DataFrame) -> DataFrame:
+    """Ledger and gaps of a batch from its signed facts, which are built once and staged."""
+    path = f"{root}/staging/facts-{name}"
+    facts.write.parquet(path)
+    staged = spark.read.schema(facts.schema).parquet(path)
+    ledger.entries(staged).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
+    ledger.gaps(staged).write.parquet(f"{root}/gaps/batch={name}")
+    return staged
 
 
 def coverage_ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -315,7 +362,8 @@ def _merge(spark, root, compact_after: int) -> None:
 def _merged(spark, root, rows: list, supersedes: int) -> None:
     schema, buckets = _schema(rows[-1]), rows[-1]["buckets"]
     name, version = _new_batch(spark, root)
-    _write(spark, root, schema, buckets, name, _snapshot(spark, root, rows))
+    records = _snapshot(spark, root, rows, [*schema.names, "_children"])
+    _write(spark, root, schema, buckets, name, records, children=F.col("_children"))
     ledger.summed(_counts(spark, root, "ledger", ledger.LEDGER_DDL, rows)).select(*[c.split()[0] for c in ledger.LEDGER_DDL.split(", ")]).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
     open_gaps = _counts(spark, root, "gaps", ledger.GAPS_DDL, rows).groupBy("county", "account_id", "missing").agg(F.sum("change").alias("change"))
     open_gaps.filter("change <> 0").write.parquet(f"{root}/gaps/batch={name}")

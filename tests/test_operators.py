@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.operators import joins, keyed, nesting, quality, quantiles, repair, sampling, search
+from parcelmill.operators import joins, keyed, ledger, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
 from parcelmill.sources import delimited, runlog, sinks, store
@@ -273,10 +273,126 @@ def test_counties_fail_alone(spark, frame):
         {
             "harris": lambda: harris.unified_records(harris.HarrisFiles(df)),
             "travis": lambda: spark.read.parquet("/no/such/folder"),
+            # planning works, reading fails
+            "dallas": lambda: harris.unified_records(harris.HarrisFiles(df.withColumn("yr", F.raise_error(F.lit("torn"))))),
         },
+        scratch_path(spark, "t-union"),
     )
     assert records.count() == 1
-    assert status["harris"] == "ok" and status["travis"].startswith("failed")
+    got = {r.county: r for r in status.collect()}
+    assert {c: r.status for c, r in got.items()} == {"harris": "ok", "travis": "failed", "dallas": "failed"}
+    assert "PATH_NOT_FOUND" in got["travis"].error and got["harris"].records == 1 and got["dallas"].records == 0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_many_small_batches_stay_readable(spark, frame):
+    root = scratch_path(spark, "t-many")
+    schema = "account_id string, county string, v int, pos long"
+    want = {}
+    for b in range(20):
+        rows = [(str(k), "harris" if k % 3 else "travis", 100 * b + k, 1) for k in range(b % 7, 40, 1 + b % 5)]
+        want |= {r[0]: r[2] for r in rows}
+        store.upsert(spark, root, frame(rows, schema), f"b{b}", f"2025-01-01 00:00:{b:02d}", "pos", buckets=2, compact_after=4)
+        if b in (2, 5):  # a plan of one scan, without an exchange, before and after batches were merged
+            read = store.read_store(spark, root)
+            assert _exchanges(read) == 0 and read._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.account_id: r.v for r in store.read_store(spark, root).collect()} == want
+    assert len(store._current(spark, root)) <= 5
+    counted = ledger.coverage(store.coverage_ledger(spark, root), ["account_id"]).collect()
+    assert {r.county: r.total for r in counted} == {"harris": sum(int(k) % 3 > 0 for k in want), "travis": sum(int(k) % 3 == 0 for k in want)}
+
+
+def test_ledger_follows_batches_patches_and_reloads(spark, frame):
+    root = scratch_path(spark, "t-ledger")
+    section = "struct<street_address: string, full_address: string>"
+    schema = f"account_id string, county string, property_address {section}, year int, pos long"
+    batches = [
+        ([("1", "harris", ("a", "x"), 1, 1), ("2", "harris", (None, "y"), 0, 1), ("3", "travis", (None, None), 2, 1)], None),
+        ([("3", "dallas", ("b", None), 2, 1), ("4", None, ("c", "z"), None, 1), ("2", "harris", (None, "w"), 5, 1)], None),
+        ([("5", "harris", (None, "q"), 7, 1), ("1", "harris", (" ", "r"), 0, 1)], "harris"),
+    ]
+
+    def agrees():
+        records = store.read_store(spark, root)
+        paths = ["account_id", "county", "year", "property_address"]
+        direct = quality.field_coverage(records, paths).select("county", "field", "total", "present", "non_empty")
+        summed = ledger.coverage(store.coverage_ledger(spark, root), paths).select("county", "field", "total", "present", "non_empty")
+        assert sorted(map(tuple, direct.collect()), key=repr) == sorted(map(tuple, summed.collect()), key=repr)
+        return {r.account_id: (r.county, r.property_address.street_address, r.year) for r in records.collect()}
+
+    for i, (rows, reload_county) in enumerate(batches):
+        store.upsert(spark, root, frame(rows, schema), f"b{i}", f"2025-01-0{i + 1} 00:00:00", "pos", reload_county=reload_county)
+        agrees()
+    counts = store.repair(spark, root, repair.fill_county, "county", "m1", "2025-01-05 00:00:00")
+    assert counts["replaced_count"] == 1 and agrees()["4"] == ("harris", "c", None)
+    counts = store.repair(spark, root, repair.fill_street_address, "property_address.street_address", "m2", "2025-01-06 00:00:00")
+    assert counts["replaced_count"] == 1 and agrees()["5"] == ("harris", "q", 7)
+    assert store.repair(spark, root, repair.fill_county, "county", "m1", "2025-01-07 00:00:00")["replaced_count"] == 1  # replayed
+    want = {"1": ("harris", " ", 0), "3": ("dallas", "b", 2), "4": ("harris", "c", None), "5": ("harris", "q", 7)}
+    assert agrees() == want
+    store.compact(spark, root)
+    assert agrees() == want and len(store._current(spark, root)) == 1
+    store.upsert(spark, root, frame([("5", "travis", (None, None), 1, 1)], schema), "b9", "2025-01-09 00:00:00", "pos")
+    assert agrees() == want | {"5": ("travis", None, 1)}  # a whole record ends what was laid over the one before
+    # a reload ends a record whose county a patch has set
+    store.upsert(spark, root, frame([("6", None, ("d", None), 1, 1)], schema), "b10", "2025-01-10 00:00:00", "pos")
+    store.repair(spark, root, repair.fill_county, "county", "m1b", "2025-01-11 00:00:00")
+    store.upsert(spark, root, frame([("7", "harris", ("e", None), 1, 1)], schema), "b11", "2025-01-12 00:00:00", "pos", reload_county="harris")
+    assert set(agrees()) == {"3", "5", "7"}
+
+
+def test_a_damaged_log_is_no_empty_store(spark, frame, tmp_path):
+    (tmp_path / "commits").mkdir()
+    (tmp_path / "commits" / "part-0.parquet").write_text("torn")
+    with pytest.raises(Exception):
+        store.read_store(spark, str(tmp_path))
+    assert store.read_store(spark, str(tmp_path / "none")) is None
+
+
+def _hot_children(spark, n=30_000):
+    """A third of all rows on one key, half of them equal."""
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("account_id"),
+        F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("id")).alias("line"),
+    )
+    value = F.struct(F.col("line").alias("line"), F.concat(F.lit("owner "), F.col("line").cast("string")).alias("name"))
+    return nesting.nest_children(rows, "account_id", [F.col("line")], value)
+
+
+def test_pages_of_a_hot_key(spark):
+    nested = _hot_children(spark)
+    pages = nested.pages(2000)
+    sizes = pages.withColumn("bytes", F.length(F.to_json(F.struct("items")))).groupBy("account_id").agg(F.max("bytes"), F.count("*"), F.max("page")).collect()
+    assert max(r[1] for r in sizes) < 2300 and all(r[2] == r[3] + 1 for r in sizes)
+    assert max(r[2] for r in sizes) > 100
+    got = nesting.rows_of(pages, "account_id").filter("account_id = 'hot'").orderBy("position").select("child.line").collect()
+    assert [r.line for r in got] == sorted([0] * 5000 + list(range(3, 30_000, 6)))
+    assert nesting.rows_of(pages, "account_id").count() == 30_000
+    one = nested.pages(1 << 30)
+    assert one.groupBy("account_id").count().filter("count > 1").isEmpty()
+
+
+def test_children_go_through_store_export_and_backup(spark, frame):
+    root = scratch_path(spark, "t-children")
+    nested = _hot_children(spark, 3000)
+    ids = nested.rows.select("account_id").distinct().withColumns({"county": F.lit("harris"), "pos": F.lit(1)})
+    store.upsert(spark, root, ids, "b1", "2025-01-01 00:00:00", "pos", children={"owners": nested})
+    fewer = nesting.Nested("account_id", nested.rows.filter("account_id <> 'hot' AND item.v.line < 50"))
+    store.upsert(spark, root, ids.filter("account_id <> 'hot'"), "b2", "2025-01-02 00:00:00", "pos", children={"owners": fewer})
+    want = {r.account_id: r["count"] for r in fewer.rows.groupBy("account_id").count().collect()} | {"hot": 1000}
+    for _ in range(2):  # before and after compaction
+        got = store.children(spark, root, "owners")
+        assert {r.account_id: r["count"] for r in got.groupBy("account_id").count().collect()} == want
+        store.compact(spark, root)
+    assert store.children(spark, root, "deeds") is None
+    pages = store.child_pages(spark, root, "owners")
+    sinks.backup(store.read_store(spark, root), f"{root}/backup", "2025-01-03", {"owners": pages})
+    back = sinks.exported_children(spark, f"{root}/backup", "owners", pages.schema, "account_id")
+    lines = [r.line for r in back.filter("account_id = 'hot'").orderBy("position").select("child.line").collect()]
+    assert lines == sorted([0] * 500 + list(range(3, 3000, 6)))
 
 
 def test_filled_rules(frame):
