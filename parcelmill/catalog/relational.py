@@ -8,7 +8,8 @@ from parcelmill.functions import casts, text
 from parcelmill.functions.ids import account_id
 from parcelmill.operators import joins, keyed, sampling, search, summary
 from parcelmill.plans import travis
-from parcelmill.sources import tables
+from parcelmill.session import scratch_path
+from parcelmill.sources import search_index, tables
 from parcelmill.sources.fixed_width import AGENT, IMPROVEMENT, PROP, SUBDIVISION, project_fields
 
 
@@ -481,9 +482,11 @@ def f2(src: Inputs):
         owner_label(F.col("owner_name"), F.lit(None).cast("string")),
         F.coalesce("city", F.lit("No Address")),
     ]
-    return search.contains_any(gold, " #12 ", columns).unionByName(
-        search.contains_any(gold, "UNKNOWN owner", columns)
-    )
+    path = scratch_path(src.spark, "f2")
+    search_index.build_text_index(gold, "account_id", columns, path)
+    first, second = (search_index.containing(src.spark, path, t) for t in (" #12 ", "UNKNOWN owner"))
+    found = search_index.matching(gold, "account_id", first)
+    return found.unionByName(search_index.matching(gold, "account_id", second))
 
 
 @query(
@@ -511,9 +514,10 @@ def f3(src: Inputs):
 def f4(src: Inputs):
     accounts = src.view("fx_real_acct")
     columns = [F.col(c) for c in ("site_addr_1", "mailto", "lgl_1", "lgl_2")]
-    return search.word_search(accounts, ["TRUST", "blk", "france"], columns).select(
-        F.trim("acct").alias("acct"), "score"
-    )
+    path = scratch_path(src.spark, "f4")
+    search_index.build_word_index(accounts, "acct", columns, path)
+    found = search_index.word_search(src.spark, path, ["TRUST", "blk", "france"])
+    return found.select(F.trim("key").alias("acct"), "score")
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parcelmill.operators import joins, keyed, ledger, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
-from parcelmill.sources import delimited, runlog, sinks, store
+from parcelmill.sources import delimited, runlog, search_index, sinks, store
 from parcelmill.sources.fixed_width import IMPROVEMENT, PROP, project_fields
 from parcelmill.takeoff import measures, rooms, specs, validate
 
@@ -539,3 +539,31 @@ def test_date_forms(frame):
     assert got == ["2024-03-05"] * 3 + [None, None]
     us = delimited.apply_types(rows.filter("d like '05%'"), {"d": "date"}, ("MM/dd/yyyy",))
     assert str(us.first().d) == "2024-05-03"
+
+
+SEARCHED = [("1", "10 Main St #12", "ACME Trust"), ("2", "aaaa", None), ("3", None, None), ("4", "", "É b#1 aaa"),
+            ("5", "mainmain main", "trust trust"), ("6", "#1", "2#12"), ("7", "ab", "a"), ("8", "x" * 500 + "#12", "")]
+
+
+@pytest.mark.parametrize("term", [" #12 ", "main", "aaa", "aaaa", "aaaaa", "MAINMAIN M", "é b", "a", "#1", "zzz", "trust t", "x" * 60, ""])
+def test_text_index_finds_what_a_scan_finds(spark, frame, term):
+    df = frame(SEARCHED, "id string, address string, owner string")
+    path = scratch_path(spark, "t-text")
+    columns = [F.col("address"), F.col("owner")]
+    search_index.build_text_index(df, "id", columns, path)
+    got = search_index.matching(df, "id", search_index.containing(spark, path, term))
+    assert sorted(r.id for r in got.collect()) == sorted(r.id for r in search.contains_any(df, term, columns).collect())
+
+
+def test_word_index_reads_the_parts_of_its_terms(spark, frame):
+    df = frame(SEARCHED, "id string, address string, owner string")
+    path = scratch_path(spark, "t-words")
+    columns = [F.col("address"), F.col("owner")]
+    search_index.build_word_index(df, "id", columns, path)
+    for terms in (["TRUST", "main"], ["10"], ["nowhere"], ["trust", "Trust", ""]):
+        got = search_index.word_search(spark, path, terms)
+        want = search.word_search(df, [t for t in terms if t], columns)
+        assert sorted(map(tuple, got.collect())) == sorted((r.id, r.score) for r in want.collect())
+    plan = search_index.word_search(spark, path, ["trust"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    assert search_index.word_search(spark, path, ["trust"]).inputFiles().__len__() >= 1
