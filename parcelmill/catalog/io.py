@@ -237,6 +237,7 @@ def s9(src: Inputs):
     "fx_real_acct",
     f"""SELECT 'record' AS kind, {H_ID} AS account_id, {money('land_val')} AS land_value,
         market_area_1 AS market_area FROM fx_real_acct
+    UNION ALL SELECT 'array', {H_ID}, {money('land_val')}, market_area_1 FROM fx_real_acct
     UNION ALL SELECT 'corrupt', 'broken ' || s_name, NULL, NULL FROM supplier""",
 )
 def s10(src: Inputs):
@@ -247,12 +248,23 @@ def s10(src: Inputs):
     records.select("account_id", "county", "valuation", "property_details").write.json(f"{root}/a")
     src.table("supplier").select(F.concat(F.lit("broken "), "s_name")).write.text(f"{root}/b")
     good, corrupt = delimited.read_json_records(src.spark, f"{root}/*", property_schema())
-    return good.select(
-        F.lit("record").alias("kind"),
-        "account_id",
-        "valuation.land_value",
-        F.col("property_details.market_area_1").alias("market_area"),
-    ).unionByName(
+    # the same records as one array, with brackets, quotes and escapes inside a text
+    note = F.lit('a, [b] {c\\" ,').alias("note")
+    texts = records.select("account_id", F.to_json(F.struct(note, "account_id", "valuation", "property_details")).alias("value"))
+    opens = F.when(F.col("account_id") == texts.agg(F.min("account_id")).scalar(), "[").otherwise(",")
+    lines = texts.select("account_id", F.concat(opens, "value").alias("value")).unionByName(src.spark.sql("SELECT '~' AS account_id, ']' AS value"))
+    lines.orderBy("account_id").select("value").coalesce(1).write.text(f"{root}/c")
+    listed, _ = delimited.read_json_records(src.spark, f"{root}/c", property_schema(), array_file=True)
+
+    def shown(kind: str, df: DataFrame) -> DataFrame:
+        return df.select(
+            F.lit(kind).alias("kind"),
+            "account_id",
+            "valuation.land_value",
+            F.col("property_details.market_area_1").alias("market_area"),
+        )
+
+    return shown("record", good).unionByName(shown("array", listed)).unionByName(
         corrupt.select(F.lit("corrupt").alias("kind"), F.col("_corrupt").alias("account_id")),
         allowMissingColumns=True,
     )
@@ -341,12 +353,14 @@ def s13(src: Inputs):
 @query(
     "s14_sniffed_first_rows",
     "",
-    """SELECT 'csv' AS kind, 40 AS rows UNION ALL SELECT 'json', 40 UNION ALL SELECT 'parquet', 40
-    UNION ALL SELECT 'tab', (SELECT count(*) FROM customer)""",
+    """WITH c AS (SELECT cast(c_custkey AS string) AS id, c_name FROM customer),
+    f AS (SELECT cast(c_custkey AS string) AS id, c_name FROM customer ORDER BY c_custkey LIMIT 40)
+    SELECT k.kind, id, c_name FROM f, (VALUES ('csv'), ('json'), ('parquet')) k(kind)
+    UNION ALL SELECT 'tab', id, c_name FROM c""",
 )
 def s14(src: Inputs):
     root = scratch_path(src.spark, "s14")
-    rows = src.table("customer").select(F.col("c_custkey").cast("string").alias("id"), "c_name")
+    rows = src.table("customer").orderBy("c_custkey").select(F.col("c_custkey").cast("string").alias("id"), "c_name")
     sinks.write_frame(rows, f"{root}/a.csv", "csv")
     sinks.write_frame(rows, f"{root}/a.json", "json")
     sinks.write_frame(rows, f"{root}/a.parquet", "parquet")
@@ -354,9 +368,8 @@ def s14(src: Inputs):
     out = None
     for name, n in [("a.csv", 40), ("a.json", 40), ("a.parquet", 40), ("a.txt", None)]:
         kind = delimited.sniff_format(name)
-        first = delimited.first_rows(src.spark, f"{root}/{name}", ["id", "c_name"], n)
-        counted = first.agg(F.count("id").alias("rows")).withColumn("kind", F.lit(kind))
-        out = counted if out is None else out.unionByName(counted)
+        first = delimited.first_rows(src.spark, f"{root}/{name}", ["id", "c_name"], n).withColumn("kind", F.lit(kind))
+        out = first if out is None else out.unionByName(first)
     return out
 
 

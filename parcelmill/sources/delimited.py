@@ -8,9 +8,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelmill.functions import casts, text
+from parcelmill.sources.json_arrays import read_arrays
 
 # Candidate delimiters in order of preference, and the one for a file without any.
 DELIMITERS = [",", "\t", "|", ";"]
@@ -225,13 +226,10 @@ def read_json_records(
 ) -> tuple[DataFrame, DataFrame]:
     """(`records`, `corrupt`) of a JSON-lines folder, or of files that hold one array each.
 
-    An array file is one JSON value and so is read by one task; large data belongs in JSON lines.
+    An array file is cut into its elements by many tasks (see `json_arrays`).
     """
     if array_file:
-        files = spark.read.text(path, wholetext=True)
-        parsed = files.select("value", F.from_json("value", ArrayType(schema)).alias("r"))
-        records = parsed.select(F.explode("r").alias("r")).select("r.*")
-        return records, parsed.filter("r IS NULL").select(F.col("value").alias("_corrupt"))
+        return read_arrays(spark, path, schema)
     with_corrupt = StructType([*schema.fields, StructField("_corrupt", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     lines = spark.read.text(path)
@@ -254,9 +252,10 @@ def first_rows(spark: SparkSession, path: str, columns: list[str], n: int | None
     """First `n` rows (None: all) by the sniffed format, every column as text where the file has no types."""
     kind = sniff_format(path)
     if kind == "parquet":
-        rows = spark.read.parquet(path).select(*columns)
+        rows = _positioned(spark.read.parquet(path).select(*columns, "_metadata"), "_place")
     elif kind == "json":
-        rows = spark.read.schema(string_schema(columns)).json(path)
+        rows = _positioned(spark.read.schema(string_schema(columns)).json(path), "_place")
     else:
-        rows = read_strings(spark, path, columns, "," if kind == "csv" else "\t")
-    return rows if n is None else rows.limit(n)
+        rows = read_strings(spark, path, columns, "," if kind == "csv" else "\t", position="_place")
+    # Spark reads large files first: the first rows are those that stand first
+    return (rows if n is None else rows.orderBy("_place").limit(n)).select(*columns)

@@ -193,6 +193,25 @@ def test_json_array_file(spark, tmp_path):
     assert [r._corrupt for r in corrupt.collect()] == ["{broken"]
 
 
+def test_json_array_is_read_in_splits(spark, tmp_path):
+    texts = ["plain", 'q"uote', "back\\", 'both\\"', "[", "]}", "{,,[", ",", "", "a,b,\\,", "\n,\t", "é漢,🙂"]
+    rows = [{"a": i, "t": texts[i % len(texts)], "l": [1, [2, {"x": ",]"}]], "o": {"k": texts[-i % len(texts)]}} for i in range(3000)]
+    (tmp_path / "big.json").write_text(" \n[" + ", ".join(json.dumps(r, ensure_ascii=i % 2 == 0, indent=None if i % 3 else 1) for i, r in enumerate(rows)) + "\n]\n ")
+    (tmp_path / "none.json").write_text("[ ]")
+    (tmp_path / "one.json").write_text('[{"a": 7, "t": "x"}]')
+    (tmp_path / "torn.json").write_text('[{"a": 8, "t": "y"}, {"a": nine}, {"a": 10}]')
+    schema = spark.createDataFrame([], "a int, t string").schema
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        assert spark.read.option("lineSep", ",").text(str(tmp_path)).rdd.getNumPartitions() > 8
+        records, corrupt = delimited.read_json_records(spark, str(tmp_path), schema, array_file=True)
+        got = sorted((r.a, r.t) for r in records.collect() if r.t is not None)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted([(r["a"], r["t"]) for r in rows] + [(7, "x"), (8, "y")])
+    assert [r._corrupt for r in corrupt.collect()] == ['{"a": nine}']
+
+
 def test_delimited_null_tokens(spark, tmp_path):
     (tmp_path / "f.txt").write_text("a\tb\tc\nx\tN/A\t2025-01-31\nNULL\t1,5\tbad\n")
     df = delimited.read_delimited(
