@@ -269,18 +269,24 @@ def a20(src: Inputs):
     return rounded(files.unionByName(average), "integrity")
 
 
+PROFILED = {
+    "county": "string", "account_id": "string", "owner_name": "string", "city": "string", "market_value": "decimal(18,2)",
+    "total_market_value": "decimal(18,2)", "assessed_value": "decimal(18,2)", "property_type": "string",
+    "year_built": "int", "n_tax_entities": "int",
+}
+
+
 @query(
     "a21_profile",
     "fx_gold",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_count, "
+        f"SELECT '{c}' AS column, '{kind}' AS type, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_count, "
         f"count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS distinct_count FROM fx_gold"
-        for c in ["county", "account_id", "owner_name", "city", "market_value", "total_market_value",
-                  "assessed_value", "property_type", "year_built", "n_tax_entities"]
+        for c, kind in PROFILED.items()
     ),
-)
+)
 def a21(src: Inputs):
-    return quality.profile(src.view("fx_gold")).drop("type")
+    return quality.profile(src.view("fx_gold"))
 
 
 @query(

@@ -202,43 +202,101 @@ def t9(src: Inputs):
     return measures.fixture_counts(best(src))
 
 
+# A text for each specification, by family, and what it says. Plan -p has the text at place p % (number of texts).
+SPEC_SAMPLES = [
+    ("structural", "CRAWL SPACE", "foundation_type", "CRAWL SPACE"),
+    ("structural", "SLAB THICKNESS: 0-6", "foundation_thickness", "0-6"),
+    ("structural", "HIP ROOF", "roof_type", "HIP ROOF"),
+    ("structural", "ROOF PITCH: 6-12", "roof_pitch", "6-12"),
+    ("structural", "METAL ROOFING", "roof_material", "METAL ROOFING"),
+    ("structural", "2x6 STUD", "stud_size", "2x6"),
+    ("structural", "16 ON CENTER", "stud_spacing", "16"),
+    ("structural", "2x10 JOIST", "joist_size", "2x10"),
+    ("structural", "JOIST 24 OC", "joist_spacing", "24"),
+    ("structural", "4x12 BEAM", "beam_size", "4x12"),
+    ("structural", "GLULAM 6x10", "beam_size", "6x10"),
+    ("system", "PACKAGE UNIT", "hvac_type", "PACKAGE UNIT"),
+    ("system", "3.5 TON", "hvac_capacity", "3.5"),
+    ("system", "SEER 14", "hvac_efficiency", "14"),
+    ("system", "FLEXIBLE DUCT", "duct_material", "FLEXIBLE DUCT"),
+    ("system", "2 EXHAUST FAN", "exhaust_fans", "2"),
+    ("system", "TANKLESS", "water_heater_type", "TANKLESS"),
+    ("system", "40 GAL WH", "water_heater_capacity", "40"),
+    ("system", "PROPANE", "water_heater_fuel", "PROPANE"),
+    ("system", "PEX PIPE", "pipe_supply", "PEX PIPE"),
+    ("system", "CAST IRON PIPE", "pipe_drain", "CAST IRON PIPE"),
+    ("system", "3 TOILET", "toilets", "3"),
+    ("system", "2 LAVATORY", "sinks", "2"),
+    ("system", "1 BATHTUB", "tubs", "1"),
+    ("system", "2 SHOWER", "showers", "2"),
+    ("system", "200 AMP SERVICE", "panel_amperage", "200"),
+    ("system", "40 SPACE PANEL", "panel_spaces", "40"),
+    ("system", "12 AWG CABLE", "wire_gauge", "12"),
+    ("system", "ROMEX", "wire_type", "ROMEX"),
+    ("system", "4 GFCI", "gfci_outlets", "4"),
+    ("system", "2 DEDICATED", "dedicated_outlets", "2"),
+    ("system", "9 RECEPTACLES", "standard_outlets", "9"),
+    ("system", "8 X 10 DUCT", "duct_size", "8 x 10"),
+    ("system", "3/4 INCH PIPE", "pipe_size", "3/4"),
+    ("material", "R-19 WALL", "wall_r_value", "19"),
+    ("material", "R-38 ATTIC", "ceiling_r_value", "38"),
+    ("material", "SPRAY FOAM", "insulation_type", "SPRAY FOAM"),
+    ("material", "BRICK VENEER", "siding_type", "BRICK VENEER"),
+    ("material", "5/8 INCH DRYWALL", "drywall_thickness", "5/8"),
+    ("material", "LATEX PAINT", "paint_finish", "LATEX PAINT"),
+    ("material", "SATIN FINISH", "paint_primer", "SATIN FINISH"),
+    ("material", "4 INCH BASEBOARD", "trim_baseboard", "4"),
+    ("material", "5 INCH CROWN", "trim_crown", "5"),
+    ("material", "3 INCH CASING", "trim_casing", "3"),
+    ("material", "CARPET", "flooring_type", "CARPET"),
+]
+
+
+def _sample_sql(family: str) -> str:
+    rows = [f"({k}, '{field}', '{value}')" for k, (f, _, field, value) in enumerate(SPEC_SAMPLES) if f == family]
+    return f"""SELECT -p_partkey AS plan_id, field, value FROM part JOIN (VALUES {", ".join(rows)}) d(k, field, value)
+    ON p_partkey % {len(SPEC_SAMPLES)} = d.k"""
+
+
+def _specs_of(src: Inputs, family: str) -> DataFrame:
+    texts = F.array(*[F.lit(f"NOTE {text} END") for _, text, _, _ in SPEC_SAMPLES])
+    samples = src.table("part").select(
+        (-F.col("p_partkey")).alias("plan_id"), F.lit(1).alias("page_no"), F.get(texts, (F.col("p_partkey") % len(SPEC_SAMPLES)).cast("int")).alias("text")
+    )
+    pages_of = best(src).select("plan_id", "page_no", "text").unionByName(samples)
+    first = specs.first_match_specs(pages_of, [family])
+    return first.unionByName(specs.all_match_specs(pages_of, [family])).drop("family")
+
+
 @query(
     "t10_structural_specs",
     "",
-    """SELECT p_partkey AS plan_id, d.field, d.value FROM part, (VALUES ('foundation_type', 'SLAB ON GRADE'),
-    ('roof_type', 'GABLE ROOF')) d(field, value) WHERE p_partkey % 4 <> 0""",
+    f"""SELECT p_partkey AS plan_id, d.field, d.value FROM part, (VALUES ('foundation_type', 'SLAB ON GRADE'),
+    ('roof_type', 'GABLE ROOF')) d(field, value) WHERE p_partkey % 4 <> 0 UNION ALL {_sample_sql('structural')}""",
 )
 def t10(src: Inputs):
-    texts = best(src)
-    first = specs.first_match_specs(texts, ["structural"])
-    every = specs.all_match_specs(texts, ["structural"])
-    return first.unionByName(every).drop("family")
+    return _specs_of(src, "structural")
 
 
 @query(
     "t11_system_specs",
     "",
-    """SELECT p_partkey AS plan_id, 'hvac_capacity' AS field, '4' AS value FROM part WHERE p_partkey % 4 <> 0
+    f"""SELECT p_partkey AS plan_id, 'hvac_capacity' AS field, '4' AS value FROM part WHERE p_partkey % 4 <> 0
     UNION ALL SELECT p_partkey, d.field, d.value FROM part, (VALUES ('toilets', '30'), ('panel_amperage', '200'),
-    ('water_heater_capacity', '50')) d(field, value) WHERE p_partkey % 3 <> 0""",
+    ('water_heater_capacity', '50')) d(field, value) WHERE p_partkey % 3 <> 0 UNION ALL {_sample_sql('system')}""",
 )
 def t11(src: Inputs):
-    texts = best(src)
-    first = specs.first_match_specs(texts, ["system"])
-    every = specs.all_match_specs(texts, ["system"])
-    return first.unionByName(every).drop("family")
+    return _specs_of(src, "system")
 
 
 @query(
     "t12_material_specs",
     "",
-    """SELECT p_partkey AS plan_id, 'wall_r_value' AS field, '13' AS value FROM part WHERE p_partkey % 3 <> 0""",
+    f"""SELECT p_partkey AS plan_id, 'wall_r_value' AS field, '13' AS value FROM part WHERE p_partkey % 3 <> 0
+    UNION ALL {_sample_sql('material')}""",
 )
 def t12(src: Inputs):
-    texts = best(src)
-    first = specs.first_match_specs(texts, ["material"])
-    every = specs.all_match_specs(texts, ["material"])
-    return first.unionByName(every).drop("family")
+    return _specs_of(src, "material")
 
 
 @query(
@@ -368,9 +426,18 @@ def _facts(src: Inputs) -> DataFrame:
     return src.view(FACTS).withColumn("floor_area_sum", F.col("windows") * 100)
 
 
-@query("t16_range_checks", FACTS, f"WITH {_CHECKS_SQL} SELECT * FROM c")
+@query(
+    "t16_range_checks",
+    FACTS,
+    f"""WITH {_CHECKS_SQL} SELECT * FROM c
+    UNION ALL SELECT plan_id, 'room_area', room_area, room_area BETWEEN 50 AND 500 FROM fx_plan_facts
+    UNION ALL SELECT plan_id, 'ceiling_height', windows / 4, windows / 4 BETWEEN 8 AND 12 FROM fx_plan_facts""",
+)
 def t16(src: Inputs):
-    return validate.check_results(_facts(src)).withColumn("value", F.round("value", 6))
+    facts = _facts(src)
+    ceilings = facts.select("plan_id", (F.col("windows") / 4).alias("height_ft"))
+    checks = validate.check_results(facts, facts.select("plan_id", F.col("room_area").alias("area")), ceilings)
+    return checks.withColumn("value", F.round("value", 6))
 
 
 _ISSUES_SQL = """i AS (SELECT plan_id, concat_ws(',', CASE WHEN total_sqft = 0 THEN 'no_total_area' END,
@@ -391,9 +458,23 @@ _ISSUES_SQL = """i AS (SELECT plan_id, concat_ws(',', CASE WHEN total_sqft = 0 T
         'no_flooring_type') AS warnings FROM fx_plan_facts)"""
 
 
-@query("t17_structural_issues", FACTS, f"WITH {_ISSUES_SQL} SELECT * FROM i")
+@query(
+    "t17_structural_issues",
+    FACTS,
+    f"""WITH {_ISSUES_SQL} SELECT i.plan_id, critical, concat_ws(',', CASE WHEN windows % 3 = 0 THEN 'no_floor_areas' END,
+        warnings, CASE WHEN total_sqft > 0 AND windows * 300 > total_sqft * 2 THEN 'dimension_area' END,
+        CASE WHEN total_sqft > 0 AND doors * 60 > sqrt(total_sqft) * 12 THEN 'wall_length' END) AS warnings
+    FROM i JOIN fx_plan_facts f ON i.plan_id = f.plan_id""",
+)
 def t17(src: Inputs):
-    issues = validate.structural_issues(_facts(src))
+    facts = _facts(src).withColumns(
+        {
+            "floor_area_sum": F.when(F.col("windows") % 3 != 0, F.col("floor_area_sum")),
+            "dimension_area": F.col("windows") * 300,
+            "wall_length": F.col("doors") * 60,
+        }
+    )
+    issues = validate.structural_issues(facts)
     return issues.select(
         "plan_id",
         F.array_join("critical", ",").alias("critical"),

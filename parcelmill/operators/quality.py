@@ -286,31 +286,24 @@ def overall_advice(integrity: DataFrame) -> DataFrame:
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, null count and distinct count (a null counts as one value) per column.
 
-    With `approximate` the distinct counts are sketches, which need one pass and constant memory.
+    The values of all columns become (column, value) pairs, which are counted within each task first; values are told
+    apart by their text. With `approximate` the distinct counts are sketches, which need constant memory.
     """
-    names = df.columns
-    kinds = F.approx_count_distinct if approximate else F.count_distinct
-
-    def distinct(c: Column) -> Column:
-        return kinds(c) + F.coalesce(F.max(c.isNull().cast("long")), F.lit(0))
-
-    totals = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)],
-        *[distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(names)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(df.schema[c].dataType.simpleString()).alias("type"),
-                F.col(f"n{i}").alias("null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
-            )
-            for i, c in enumerate(names)
-        ]
-    )
-    return totals.select("rows", F.inline(rows))
+    kinds = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (i, df.schema[c].dataType.simpleString())])
+    names = F.array(*[F.lit(c) for c in df.columns])
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(df.columns)])
+    pairs = df.select(F.inline(cells))
+    if approximate:
+        distinct = F.approx_count_distinct("value") + F.coalesce(F.max(F.col("value").isNull().cast("long")), F.lit(0))
+        counted = pairs.groupBy("at").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("null_count"), distinct.alias("distinct_count")
+        )
+    else:
+        values = pairs.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"))
+        nulls = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
+        counted = values.groupBy("at").agg(F.sum("n").alias("rows"), nulls.alias("null_count"), F.count(F.lit(1)).alias("distinct_count"))
+    column, kind = F.get(names, F.col("at")), F.try_element_at(kinds, F.col("at"))
+    return counted.select("rows", column.alias("column"), kind.alias("type"), "null_count", "distinct_count")
 
 
 FIXED_WIDTH_GUESS = 200

@@ -71,24 +71,37 @@ def _rule_items(n: int, rule: tuple) -> Column:
     return F.transform(found(pattern, group), item).cast(ROOM_ITEM)
 
 
+def _floor_total_items() -> Column:
+    """Areas of whole floors: they are no rooms, and rule out rooms of the same area."""
+
+    def item(x: Column, i: Column) -> Column:
+        area = x.try_cast("int")
+        none = F.lit(None).cast("string")
+        return F.struct(F.lit(-1), i, none, none, area, area, area, F.lit(False))
+
+    return F.transform(found(FLOOR_NUMBER, 2), item).cast(ROOM_ITEM)
+
+
 def rooms(pages: DataFrame) -> DataFrame:
     """One room per plan and distinct area: the first rule that finds the area names it."""
-    items = [_keyword_items()] + [
+    items = [_keyword_items(), _floor_total_items()] + [
         _rule_items(len(ROOM_KEYWORDS) + i, rule) for i, rule in enumerate(ROOM_RULES)
     ]
+    # rooms and floor areas are findings of one pass over the texts, and meet in one aggregate
     hits = pages.select("plan_id", "page_no", F.inline(F.concat(*items))).filter(
         F.col("area").between(F.col("low"), F.col("high"))
     )
-    totals = pages.select("plan_id", F.explode(found(FLOOR_NUMBER, 2)).alias("area")).select(
-        "plan_id", F.col("area").try_cast("int").alias("area")
-    ).distinct()
-    plain = hits.filter("skip_floor").join(totals, ["plan_id", "area"], "left_anti")
-    kept = plain.unionByName(hits.filter("NOT skip_floor").select(*plain.columns))
-    first = F.min_by(
-        F.struct("name", "room_key", "rule_no", "page_no"), F.struct("rule_no", "page_no", "pos")
-    )
+    is_room = F.col("rule_no") >= 0
+    named = F.struct("name", "room_key", "rule_no", "page_no")
+    order = F.struct("rule_no", "page_no", "pos")
     # the group is (plan, area): few rows leave each map task even for a very large plan
-    return kept.groupBy("plan_id", "area").agg(first.alias("r")).select("plan_id", "area", "r.*")
+    found_by = hits.groupBy("plan_id", "area").agg(
+        F.bool_or(~is_room).alias("is_floor"),
+        F.min_by(named, F.when(is_room, order)).alias("any"),
+        F.min_by(named, F.when(is_room & ~F.col("skip_floor"), order)).alias("sure"),
+    )
+    chosen = F.when(F.col("is_floor"), F.col("sure")).otherwise(F.col("any")).alias("r")
+    return found_by.select("plan_id", "area", chosen).filter("r IS NOT NULL").select("plan_id", "area", "r.*")
 
 
 def master_bathroom(pages: DataFrame) -> DataFrame:
