@@ -31,6 +31,9 @@ from parcelmill.llm.common import written
 SALTS = 32
 #: Hosts and distinct page shapes that a task holds before it hands its partial wrappers on.
 HELD_SHAPES = 5000
+#: Blocks that stand in each other, as wrappers see them: what is nested deeper counts as part of the block at this depth.
+#: Its text stays, in blocks of its own; only its place in the wrapper is that of its ancestor.
+DEEPEST = 200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes template noscript svg math object audio video canvas select".split())
@@ -141,7 +144,7 @@ def tokens(page: str) -> Iterator[tuple[str | None, Tag]]:
         if main or name in ("html", "body"):
             marked = False
         out, soft = top.out or name in OUTSIDE or name == "header" and "article" not in top.path, (top.soft or marked) and not main
-        path = f"{top.path}/{name}{label}" if name in BLOCK or label else top.path
+        path = f"{top.path}/{name}{label}" if (name in BLOCK or label) and top.path.count("/") < DEEPEST else top.path
         tag = Tag(name, path, path if name in BLOCK or main else top.block, out, soft, top.comment or comment and name not in ("html", "body", "main"), top.link or name == "a")
         opened[id(top), name, attributes] = tag
         stack.append(tag)

@@ -228,9 +228,9 @@ def phrases(words: bytes) -> tuple[int, int | None, int | None, set[str]]:
     first = last = None
     n, labels = 0, set()
     for phrase, label in _PHRASES.items():
-        at = words.find(phrase)
+        at, before, word = words.find(phrase), 0, 0
         while at >= 0:
-            word = words.count(b" ", 0, at)
+            word, before = word + words.count(b" ", before, at), at  # blanks since the last place
             n, first, last = n + 1, word if first is None else min(first, word), word if last is None else max(last, word)
             labels.add(label)
             at = words.find(phrase, at + 1)

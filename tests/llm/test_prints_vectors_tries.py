@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmill.llm import gru_lm, prefix_trie, whitening, winnowing
+from parcelmill.llm import gru_lm, html_wrappers, license_rules, prefix_trie, whitening, winnowing
 
 DOCS = "doc_id long, text string, next_text string, bucket string, fingerprint long"
 TURNS = "conv_id long, turn long, role string, text string, depth long, length string, d1 long"
@@ -243,3 +243,30 @@ def test_long_text_is_scored_as_if_alone():
     net.train(docs)
     together = net.score(docs)
     assert together == pytest.approx([net.score([d])[0] for d in docs], rel=1e-4)
+
+
+# --- deep pages, and many phrases ---------------------------------------------------------------------------------------
+
+
+def test_deep_pages_keep_their_text(spark):
+    lead = "<html><body><div><p>An opening line that is long enough to be read.</p>"
+    pages = [
+        lead + "<div>" * 10_000 + "<p>the deepest line</p>" + "</div>" * 10_000 + "<p>the last line</p></div></body></html>",
+        lead + "<b class=x>" * 3000 + "bold to the end<p>the last line",
+        lead + "<ul><li>" * 2000 + "an item",
+    ]
+    rows = [(k, f"http://deep.example/{k}", p) for k, p in enumerate(pages * 2)]
+    got = {r.page_id: r.text for r in html_wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, ends in enumerate([("the deepest line", "the last line"), ("bold to the end", "the last line"), ("an item",)] * 2):
+        assert all(e in got[k].split("\n") for e in ends), got[k][:200]
+
+
+def test_phrases_by_brute_force():
+    rng = np.random.default_rng(3)
+    words = ["cc", "by", "general", "public", "license", "all", "rights", "reserved", "x"]
+    for size in [0, 1, 2, 50, 4000]:
+        given = [words[i] for i in rng.integers(0, len(words), size)]
+        n, first, last, labels = license_rules.phrases(b" %b " % " ".join(given).encode())
+        want = [(i, label) for p, label in license_rules.PHRASES.items() for i in range(size) if given[i : i + len(p.split())] == p.split()]
+        assert (n, labels) == (len(want), {x for _, x in want})
+        assert (first, last) == ((min(i for i, _ in want), max(i for i, _ in want)) if want else (None, None))
