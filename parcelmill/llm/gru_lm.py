@@ -11,11 +11,12 @@ scoring, documents run through the network side by side, each whole: its state i
 import heapq
 import io
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ FIRST_SQUARE = 1e-5
 SCORE_WINDOW, SCORE_ROWS = 64, 256
 #: Tokens that one task learns from in a round: fewer would average weights that have hardly moved.
 TASK_TOKENS = 500_000
-#: Tokens (and documents) that a task holds at a time.
+#: Tokens (and documents) that a task holds at a time. A vocabulary of less than 2 ** 16 words fits ids of two bytes.
 HELD_TOKENS, HELD_DOCS = 3_000_000, 3000
 END = b""
 _LAST = 2**63 - 1
@@ -50,43 +51,55 @@ _CHUNK = "chunk long, word binary, place int, train long, postings binary"
 _CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("word", pa.binary()), ("place", pa.int32()), ("train", pa.int64()), ("postings", pa.binary())])
 
 
+def words_by_text(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts laid end to end, and how many of them each text has; ends are not among them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    found = lists.flatten()
+    real = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0
+    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    return found.filter(pa.array(real)).cast(pa.binary()), np.bincount(owner[real], minlength=len(lists))
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents in chunks of bounded size: a row for each word of a chunk, and one with the chunk's postings."""
-    docs: list[tuple] = []
-    size = 0
+    parts: list[tuple] = []
+    size = held = 0
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
-            for row in zip(*[c.to_pylist() for c in batch.slice(at, 500).columns], strict=True):
-                counts = Counter(tokens(row[2]))
-                docs.append((row[0], row[1], row[3], counts))
-                size += len(counts)
-                if len(docs) >= HELD_DOCS or size >= HELD_TOKENS // 4:
-                    yield from _chunk(docs)
-                    docs, size = [], 0
-    if docs:
-        yield from _chunk(docs)
-
-
-def _chunk(docs: list[tuple]) -> Iterator[pa.RecordBatch]:
+            part = batch.slice(at, 500)
+            words, sizes = words_by_text(part.column(2))
+            keys = np.stack([part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)], 1)
+            parts.append((keys, part.column(3).to_numpy(zero_copy_only=False), words, sizes))
+            held, size = held + part.num_rows, size + len(words)
+            if held >= HELD_DOCS or size >= HELD_TOKENS // 2:
+                yield from _chunk(parts)
+                parts, size, held = [], 0, 0
+    if parts:
+        yield from _chunk(parts)
+
+
+def _chunk(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
     """Words by their place in the chunk; the postings are each document's places and how often they occur."""
     chunk = uuid.uuid4().int >> 65
-    places: dict[bytes, int] = {}
-    ids = np.array([places.setdefault(w, len(places)) for d in docs for w in d[3]], np.int32)
-    ns = np.array([n for d in docs for n in d[3].values()], np.int32)
-    sizes = np.array([len(d[3]) for d in docs], np.int32)
-    learned = np.repeat(np.array([d[2] for d in docs], bool), sizes)
-    train = np.bincount(ids, ns * learned, len(places)).astype(np.int64)
-    words = list(places)
-    for at in range(0, len(words), 20_000):
-        part = words[at : at + 20_000]
+    keys, learned, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
+    coded = pa.chunked_array([*(p[2] for p in parts), pa.array([END], pa.binary())]).dictionary_encode().chunks
+    words = coded[0].dictionary  # that of all chunks; the end comes last, as no word is empty
+    docs, kinds = np.arange(len(sizes)), len(words)
+    places = np.concatenate([c.indices.to_numpy() for c in coded])[:-1]
+    pairs, ns = np.unique(np.concatenate([np.repeat(docs, sizes) * kinds + places, docs * kinds + kinds - 1]), return_counts=True)
+    docs, ids = np.divmod(pairs, kinds)
+    train = np.bincount(ids, ns * learned[docs], kinds).astype(np.int64)
+    for at in range(0, kinds, 20_000):
+        part = words.slice(at, 20_000)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(part), chunk)), pa.array(part, pa.binary()), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
+            [pa.array(np.full(len(part), chunk)), part, pa.array(np.arange(at, at + len(part), dtype=np.int32)),
              pa.array(train[at : at + len(part)]), pa.nulls(len(part), pa.binary())],
             schema=_CHUNK_SCHEMA,
         )
-    packed = io.BytesIO()
-    np.savez_compressed(packed, ids=ids, ns=ns, sizes=sizes, keys=np.array([d[:2] for d in docs], np.int64))
-    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((chunk, None, None, 0, packed.getvalue()), _CHUNK_SCHEMA.types, strict=True)], schema=_CHUNK_SCHEMA)
+    plain = io.BytesIO()
+    np.savez(plain, ids=ids.astype(np.int32), ns=ns.astype(np.int32), sizes=np.bincount(docs, minlength=len(sizes)), keys=keys)
+    packed = zstandard.compress(plain.getvalue(), 3)
+    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((chunk, None, None, 0, packed), _CHUNK_SCHEMA.types, strict=True)], schema=_CHUNK_SCHEMA)
 
 
 _SUMS = "doc_key long, text_key long, base_score double, tail double, n_known long"
@@ -96,7 +109,7 @@ def _sums(total: int, kinds: int, rest: int, rest_kinds: int):
     """Per document of a chunk the sums over its tokens, from the chunk's postings and its words' counts."""
 
     def sums(postings: pa.Table, words: pa.Table) -> pa.Table:
-        with np.load(io.BytesIO(postings.column("postings")[0].as_py())) as packed:
+        with np.load(io.BytesIO(zstandard.decompress(postings.column("postings")[0].as_py()))) as packed:
             ids, ns, sizes, keys = (packed[k] for k in ("ids", "ns", "sizes", "keys"))
         place = words.column("place").to_numpy()
         c, inside = np.zeros(len(place)), np.zeros(len(place), bool)
@@ -149,6 +162,12 @@ class Network:
         get, unknown = self.ids.get, self.n - 1
         return np.array([get(t, unknown) for t in tokens(text)], np.int32)
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """As `encode`, for all texts at once."""
+        words, sizes = words_by_text(texts)
+        ids = pc.index_in(words, value_set=pa.array(self.words, pa.binary())).fill_null(self.n - 1).to_numpy()
+        return np.split(np.insert(ids, np.cumsum(sizes), self.first), np.cumsum(sizes + 1)[:-1])
+
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
 
@@ -323,8 +342,8 @@ def _learner(network, flat):
         net, seen, docs, size = network.value, 0, [], 0
         net.load(flat.value)
         for batch in batches:
-            for text in batch.column(0):
-                docs.append(net.encode(text.as_py()))
+            for ids in batch.column(0):
+                docs.append(np.frombuffer(ids.as_py(), np.uint16))
                 size += len(docs[-1])
                 if size >= HELD_TOKENS // 8:
                     net.train(docs)
@@ -352,32 +371,39 @@ def _mean(rows: pa.Table) -> pa.Table:
     return pa.table({"part": rows.column("part")[:1], "salt": rows.column("salt")[:1], "tokens": [total], "weights": [(out / total).astype(np.float32).tobytes()]})
 
 
+def _encoder(network):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = [d.astype(np.uint16).tobytes() for d in network.value.encode_all(part.column(4))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(ids, pa.binary())], ["doc_id", "doc_key", "text_key", "learned", "ids"])
+
+    return encode
+
+
 def _scorer(network, flat):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network.value
         net.load(flat.value)
         rows, docs, size = [], [], 0
 
-        def done() -> pa.RecordBatch:
-            scores = net.score(docs) / np.log(10)
-            columns = [list(c) for c in zip(*rows, strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.bool_()),
-                 pa.array([len(d) for d in docs], pa.int64()), pa.array(scores, pa.float64())],
-                ["doc_id", "doc_key", "text_key", "learned", "n_tokens", "network_score"],
-            )
+        def done() -> Iterator[pa.RecordBatch]:
+            held = pa.Table.from_batches(rows)
+            held = held.append_column("n_tokens", pa.array([len(d) for d in docs], pa.int64()))
+            return iter(held.append_column("network_score", pa.array(net.score(docs) / np.log(10))).combine_chunks().to_batches())
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                for doc_id, doc_key, text_key, text, learned in zip(*[c.to_pylist() for c in batch.slice(at, 500).columns], strict=True):
-                    rows.append((doc_id, doc_key, text_key, learned))
-                    docs.append(net.encode(text))
-                    size += len(docs[-1])
+                part = batch.slice(at, 500)
+                rows.append(part.select(["doc_id", "doc_key", "text_key", "learned"]))
+                docs += [np.frombuffer(d.as_py(), np.uint16) for d in part.column("ids")]
+                size += sum(map(len, docs[-part.num_rows :]))
                 if size >= HELD_TOKENS:
-                    yield done()
+                    yield from done()
                     rows, docs, size = [], [], 0
         if docs:
-            yield done()
+            yield from done()
 
     return score
 
@@ -419,16 +445,21 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     network = Network([bytes(r["word"]) for r in top], np.array([*[r["c"] for r in top], rest], np.float64))
     shared, flat = spark.sparkContext.broadcast(network), network.flat()
+    # texts are turned into ids of two bytes once; learning and scoring read those
+    encoded = rows.select("doc_id", "doc_key", "text_key", "learned", "text").mapInArrow(
+        _encoder(shared), "doc_id long, doc_key long, text_key long, learned boolean, ids binary"
+    )
+    encoded = written(encoded, "lm-encoded")
     shape = "part int, salt int, tokens double, weights binary"
     for k in range(ROUNDS):
         now = spark.sparkContext.broadcast(flat)
-        own = learning_rows(rows, k).select("text").coalesce(max(1, int(total) // ROUNDS // TASK_TOKENS))
+        own = learning_rows(encoded, k).select("ids").coalesce(max(1, int(total) // ROUNDS // TASK_TOKENS))
         parts = own.mapInArrow(_learner(shared, now), shape)
         mean = parts.groupBy("part", "salt").applyInArrow(_mean, shape).groupBy("part").applyInArrow(_mean, shape).orderBy("part").collect()
         if mean:
             flat = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in mean])
     final = spark.sparkContext.broadcast(flat)
-    scored = rows.select("doc_id", "doc_key", "text_key", "text", "learned").mapInArrow(
+    scored = encoded.mapInArrow(
         _scorer(shared, final), "doc_id long, doc_key long, text_key long, learned boolean, n_tokens long, network_score double"
     )
     return scored.join(sums, ["doc_key", "text_key"]).select(
