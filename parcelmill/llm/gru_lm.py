@@ -182,13 +182,15 @@ class Network:
     def output(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of targets given states (m, width), and what flows back into the states."""
         p, of = self.p, self.of[target]
-        e = np.exp(h @ p["wc"] + p["bc"])  # logits stay near those of the unigram model: no overflow
-        total = e.sum(axis=1)
+        e = h @ p["wc"]
+        e += p["bc"]
+        np.exp(e, out=e)  # logits stay near those of the unigram model: no overflow
+        total = e @ np.ones(e.shape[1], np.float32)
         m = np.arange(len(h))
         out = e[m, of] / total
         back = None
         if grads is not None:
-            d = e / total[:, None]
+            d = np.divide(e, total[:, None], out=e)
             d[m, of] -= 1
             grads["wc"], grads["bc"] = h.T @ d, d.sum(axis=0)
             grads["wo"], grads["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
@@ -201,12 +203,14 @@ class Network:
             if b - a < 2 or not len(rows):
                 continue  # a word alone in its class is certain there
             own = h[rows]
-            e = np.exp(own @ p["wo"][a:b].T + p["bo"][a:b])
-            total = e.sum(axis=1)
+            e = own @ p["wo"][a:b].T
+            e += p["bo"][a:b]
+            np.exp(e, out=e)
+            total = e @ np.ones(b - a, np.float32)
             r, t = np.arange(len(rows)), target[rows] - a
             out[rows] *= e[r, t] / total
             if grads is not None:
-                d = e / total[:, None]
+                d = np.divide(e, total[:, None], out=e)
                 d[r, t] -= 1
                 grads["wo"][a:b], grads["bo"][a:b] = d.T @ own, d.sum(axis=0)
                 back[rows] += d @ p["wo"][a:b]
@@ -214,37 +218,61 @@ class Network:
 
     def learn(self, given: np.ndarray, target: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> np.ndarray:
         """One step over a window (time, rows); `fresh` marks where a document begins. The state after it."""
-        p, w, steps = self.p, WIDTH, []
-        for t in range(len(given)):
-            h0 = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-            a, g = p["x"][given[t]], h0 @ p["u"]
-            zr = 0.5 + 0.5 * np.tanh(0.5 * (a[:, : 2 * w] + g[:, : 2 * w]))
-            z, r = zr[:, :w], zr[:, w:]
-            n = np.tanh(a[:, 2 * w :] + r * g[:, 2 * w :])
-            h = n + z * (h0 - n)
-            steps.append((h0, z, r, n, g[:, 2 * w :], h))
+        p, w, (steps, rows) = self.p, WIDTH, given.shape
+        x, u, back_u = p["x"][given], p["u"], np.ascontiguousarray(p["u"].T)
+        starts = fresh.any(axis=1)
+        before, states, new, gated = (np.empty((steps, rows, w), np.float32) for _ in range(4))
+        gates = np.empty((steps, rows, 2 * w), np.float32)
+        for t in range(steps):
+            h0 = before[t]
+            h0[:] = h
+            if starts[t]:
+                h0[fresh[t]] = 0
+            g = h0 @ u
+            zr = np.add(x[t, :, : 2 * w], g[:, : 2 * w], out=gates[t])
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            gated[t] = g[:, 2 * w :]
+            n = np.multiply(zr[:, w:], gated[t], out=new[t])
+            n += x[t, :, 2 * w :]
+            np.tanh(n, out=n)
+            h = np.subtract(h0, n, out=states[t])
+            h *= zr[:, :w]
+            h += n
         grads: dict[str, np.ndarray] = {}
-        states = np.concatenate([s[5] for s in steps])
-        back = self.output(states, target.ravel(), grads)[1].reshape(len(given), -1, w)
-        grads["u"] = np.zeros_like(p["u"])
-        down, into = np.zeros_like(h), []
-        for t in reversed(range(len(given))):
-            h0, z, r, n, gn, _ = steps[t]
-            d = back[t] + down
-            dn = d * (1 - z) * (1 - n * n)
-            dz, dr = d * (h0 - n) * z * (1 - z), dn * gn * r * (1 - r)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += h0.T @ inner
-            into.append(np.concatenate([dz, dr, dn], axis=1))
-            down = (d * z + inner @ p["u"].T) * ~fresh[t][:, None]
-        words, place = np.unique(given[::-1].ravel(), return_inverse=True)
-        into = np.concatenate(into)
-        grads["x"] = np.stack([np.bincount(place, into[:, k], len(words)) for k in range(3 * w)], 1).astype(np.float32)
+        back = self.output(states.reshape(-1, w), target.ravel(), grads)[1].reshape(steps, rows, w)
+        z, r = gates[:, :, :w], gates[:, :, w:]
+        # what a change of a state does to both gates and to the new state, for all steps at once
+        to_new = (1 - z) * (1 - new * new)
+        to_update = (before - new) * z * (1 - z)
+        to_reset = gated * r * (1 - r)
+        inner, into = (np.empty((steps, rows, 3 * w), np.float32) for _ in range(2))
+        down = np.zeros((rows, w), np.float32)
+        for t in reversed(range(steps)):
+            down += back[t]
+            dn = np.multiply(down, to_new[t], out=into[t, :, 2 * w :])
+            np.multiply(down, to_update[t], out=inner[t, :, :w])
+            np.multiply(dn, to_reset[t], out=inner[t, :, w : 2 * w])
+            np.multiply(dn, r[t], out=inner[t, :, 2 * w :])
+            down *= z[t]
+            down += inner[t] @ back_u
+            if starts[t]:
+                down[fresh[t]] = 0
+        into[:, :, : 2 * w] = inner[:, :, : 2 * w]
+        grads["u"] = before.reshape(-1, w).T @ inner.reshape(-1, 3 * w)
+        order = np.argsort(given, axis=None, kind="stable")
+        words = given.ravel()[order]
+        begins = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        words = words[begins]
+        grads["x"] = np.add.reduceat(into.reshape(-1, 3 * w)[order], begins, axis=0)
         for k, g in grads.items():
             at = words if k == "x" else slice(None)  # only the rows of words that were given change
             g = np.clip(g / target.size, -1, 1)
-            self.squares[k][at] += g * g
-            p[k][at] -= RATE * g / np.sqrt(self.squares[k][at])
+            squares = self.squares[k][at] + g * g
+            self.squares[k][at] = squares
+            p[k][at] -= RATE * g / np.sqrt(squares)
         return h
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
