@@ -1,13 +1,16 @@
 """Winnowing, whitening and the prefix trie against brute force, and on odd input."""
 
 import hashlib
+import io
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from parcelmill.llm import gru_lm, html_wrappers, license_rules, prefix_trie, whitening, winnowing
@@ -270,3 +273,27 @@ def test_phrases_by_brute_force():
         want = [(i, label) for p, label in license_rules.PHRASES.items() for i in range(size) if given[i : i + len(p.split())] == p.split()]
         assert (n, labels) == (len(want), {x for _, x in want})
         assert (first, last) == ((min(i for i, _ in want), max(i for i, _ in want)) if want else (None, None))
+
+
+def test_words_and_chunks_by_arrow():
+    """Words cut by kernels, ids and a chunk's postings are those of the plain definition; a chunk without words too."""
+    texts = [None, "", "  ", "A\x0bB\x1cc d \n", "É a b", "the the of", "x" * 5000 + " The"]
+    column = pa.array(texts, pa.string())
+    words, sizes = gru_lm.words_by_text(column)
+    assert [len(gru_lm.tokens(t)) - 1 for t in texts] == sizes.tolist()
+    assert [w for t in texts for w in gru_lm.tokens(t)[:-1]] == words.to_pylist()
+    net = gru_lm.Network([b"the", gru_lm.END, b"of"], np.array([5.0, 4, 3, 9]))
+    assert [d.tolist() for d in net.encode_all(column)] == [net.encode(t).tolist() for t in texts]
+    learned = [k % 2 == 0 for k in range(len(texts))]
+    for n in (len(texts), 3):  # the first three have no words
+        keys = pa.array(range(n), pa.int64())
+        batch = pa.RecordBatch.from_arrays([keys, keys, column.slice(0, n), pa.array(learned[:n])], ["doc_key", "text_key", "text", "learned"])
+        rows = [r for b in gru_lm._chunk_rows([batch]) for r in b.to_pylist()]
+        counts = Counter(t for k in range(n) for t in gru_lm.tokens(texts[k]))
+        train = Counter(t for k in range(n) if learned[k] for t in gru_lm.tokens(texts[k]))
+        assert {r["word"]: r["train"] for r in rows if r["word"] is not None} == {w: train[w] for w in counts}
+        place = {r["place"]: r["word"] for r in rows if r["word"] is not None}
+        with np.load(io.BytesIO(zstandard.decompress(rows[-1]["postings"]))) as held:
+            owner = np.repeat(np.arange(n), held["sizes"])
+            found = {(d, place[i]): c for d, i, c in zip(owner.tolist(), held["ids"].tolist(), held["ns"].tolist(), strict=True)}
+        assert found == {(k, w): c for k in range(n) for w, c in Counter(gru_lm.tokens(texts[k])).items()}
