@@ -7,6 +7,8 @@ from parcelmill.takeoff.rules import CONTINGENCY, PRICES
 
 DEFAULT_BATHS = 3
 DEFAULT_CEILING = 9.0
+#: Tasks that plans are dealt out to before they become rows; what a task holds is a share of this size.
+PLAN_PARTITIONS = 256
 
 # Measures that the items are computed from.
 MEASURES = (
@@ -207,7 +209,11 @@ def measures(plans: DataFrame) -> DataFrame:
 
 
 def quantities(plans: DataFrame) -> DataFrame:
-    """(plan_id, category, item, price_key, qty): one narrow pass, no shuffle."""
+    """(plan_id, category, item, price_key, qty).
+
+    A plan becomes a hundred rows, so the plans are dealt out by id while they are one narrow row each: sums per plan
+    then need no other exchange, and no task has more than its share of them.
+    """
     rows = [
         F.struct(
             F.lit(category).alias("category"),
@@ -217,7 +223,8 @@ def quantities(plans: DataFrame) -> DataFrame:
         )
         for category, item, quantity, price in items()
     ]
-    return measures(plans).select("plan_id", F.inline(F.array(*rows)))
+    dealt = plans.repartition(PLAN_PARTITIONS, "plan_id")
+    return measures(dealt).select("plan_id", F.inline(F.array(*rows)))
 
 
 def price_table(df: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:

@@ -586,3 +586,16 @@ def test_word_index_reads_the_parts_of_its_terms(spark, frame):
     plan = search_index.word_search(spark, path, ["trust"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
     assert search_index.word_search(spark, path, ["trust"]).inputFiles().__len__() >= 1
+
+
+def test_plans_of_one_task_are_dealt_out_before_they_become_rows(spark):
+    from parcelmill.takeoff import quantities
+
+    plans = spark.range(0, 5000, 1, 1).select(F.col("id").alias("plan_id"), F.lit(1500).alias("total_sqft"))
+    items = quantities.quantities(plans)
+    held = items.groupBy(F.spark_partition_id()).agg(F.countDistinct("plan_id").alias("n"))
+    assert held.agg(F.max("n"), F.sum("n")).first()[0] <= 100
+    assert items.count() == 5000 * len(quantities.items())
+    # sums per plan are made where the rows are
+    summed = items.groupBy("plan_id", "category").agg(F.sum("qty"))
+    assert summed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
