@@ -599,3 +599,27 @@ def test_plans_of_one_task_are_dealt_out_before_they_become_rows(spark):
     # sums per plan are made where the rows are
     summed = items.groupBy("plan_id", "category").agg(F.sum("qty"))
     assert summed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_a_count_of_children_makes_no_array(spark, frame):
+    rows = frame([("a", 2, "y"), ("a", 1, "x"), ("a", 1, "x"), ("b", 1, None), (None, 1, "z")], "k string, p int, t string")
+    nested = nesting.nest_children(rows, "k", [F.col("p")], F.struct("t"))
+    whole = {r["k"]: ([i["t"] for i in r["items"]], r["n"]) for r in nested.arrays.collect()}
+    assert whole == {"a": (["x", "x", "y"], 3), "b": ([None], 1), None: (["z"], 1)}
+    counted = nested.arrays.select("k", "n")
+    assert "collect_list" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["k"], r["n"]) for r in counted.collect()} == {("a", 3), ("b", 1), (None, 1)}
+
+
+def test_lines_of_few_row_groups_are_built_once_by_many_tasks(spark, sf_dir):
+    from parcelmill.catalog.registry import Inputs
+    from parcelmill.sources.fixed_width import line_status
+
+    src = Inputs(spark, sf_dir)
+    lines = src.view("fx_travis_prop")
+    usable = lines.filter(line_status(PROP) == "ok")
+    plan = usable._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rpad(") == lines._jdf.queryExecution().optimizedPlan().toString().count("rpad(")
+    assert plan.index("Filter") < plan.index("rpad(") < plan.index("RepartitionByExpression")
+    assert lines.count() == src.table("customer").count()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
