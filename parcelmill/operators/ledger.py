@@ -63,11 +63,11 @@ def facts(df: DataFrame) -> DataFrame:
 
 
 def signed(added: DataFrame, removed: DataFrame | None) -> DataFrame:
-    """Facts of the records that a batch brings (+1) and takes away (-1)."""
-    out = facts(added).withColumn("sign", F.lit(1).cast("bigint"))
+    """`facts` of the records that a batch brings (+1) and takes away (-1)."""
+    out = added.withColumn("sign", F.lit(1).cast("bigint"))
     if removed is None:
         return out
-    gone = facts(removed).withColumn("sign", F.lit(-1).cast("bigint"))
+    gone = removed.withColumn("sign", F.lit(-1).cast("bigint"))
     return out.unionByName(gone, allowMissingColumns=True)
 
 

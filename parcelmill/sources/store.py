@@ -2,7 +2,8 @@
 
 Layout: `data/batch=B/` (one table, in buckets by `account_id`), `children/F/batch=B/` (pages of the child family F, see
 `operators.nesting`; a record names the batch that its children came with), `ledger/batch=B/` and `gaps/batch=B/` (what the batch
-changes in the counts, see `operators.ledger`), `staging/` with the batches as they came, and a small `commits` table.
+changes in the counts, see `operators.ledger`), `staging/` with the batches as they came and the facts
+of their records, and a small `commits` table.
 A batch counts once its commit row is written, and its name is never used again, so what a failed write left behind is
 never read. One writer at a time is assumed; superseded folders are not removed.
 
@@ -17,10 +18,11 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from parcelmill.operators import ledger
 from parcelmill.operators.keyed import last_per_key
@@ -153,9 +155,7 @@ def _snapshot(spark, root, current: list, columns: list[str] | None = None) -> D
     patched = {p for r in current for p in r["patched"] or [] if p.partition(".")[0] in names}
     if len(current) == 1:
         return rows.select(*names)
-    # a reload ends the county's earlier records
-    for county, batch in [(r["reload_county"], r["batch"]) for r in current if r["reload_county"]]:
-        rows = rows.filter(~(F.col("county").eqNullSafe(county) & (F.col("batch") < batch)))
+    rows = _without_ended(rows, current)
     same = Window.partitionBy("account_id")
     whole = ~F.col("_patch")
     rows = rows.select(*dict.fromkeys([*names, "batch", "_patch"]))
@@ -231,15 +231,15 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
     for family, nested in children.items():
         nested.pages(PAGE_BYTES).write.parquet(f"{root}/children/{family}/batch={name}")
     written = _batches(spark, root, fresh.schema, buckets, [name]).select(*fresh.columns)
-    known = _snapshot(spark, root, current)
+    added = ledger.facts(written)
+    known = _known_facts(spark, root, current, fresh.schema)
     gone = None
     if known is not None:
-        ids = written.select("account_id")
-        gone = known.join(ids, "account_id", "left_semi")
-        if reload_county is not None:
-            ends = F.col("county").eqNullSafe(reload_county)
-            gone = known.filter(ends).unionByName(gone.filter(~ends))
-    facts = _write_counts(spark, root, name, ledger.signed(written, gone))
+        again = written.select("account_id", F.lit(True).alias("_again"))
+        marked = known.join(again, "account_id", "left")
+        ends = F.lit(False) if reload_county is None else F.col("county").eqNullSafe(reload_county)
+        gone = marked.filter(F.col("_again").isNotNull() | ends).drop("_again")
+    facts = _write_counts(spark, root, name, ledger.signed(added, gone))
     # what a reload ends is not replaced
     kept = F.lit(True) if reload_county is None else ~F.col("county").eqNullSafe(reload_county)
     saved, replaced = facts.agg(F.count_if(F.col("sign") > 0), F.count_if((F.col("sign") < 0) & kept)).first()
@@ -247,6 +247,40 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
     return _commit(spark, root, version, name, batch_id, fresh.schema, buckets, saved, counts, reload_county=reload_county)
 
 
+def _known_facts(spark, root, current: list, schema: StructType) -> DataFrame | None:
+    """Facts of the current records (of `schema`), or None while there is none.
+
+    A batch has staged those of the records it brought, which are few narrow columns. Its records are read only where
+    that copy is not there, as with merged batches, or is of another schema; all are read where some are patched.
+    """
+    if not current:
+        return None
+    if any(r["patched"] for r in current):
+        return ledger.facts(_snapshot(spark, root, current))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    batches, buckets = [r["batch"] for r in current], current[-1]["buckets"]
+    alike = commits(spark, root).filter(F.col("batch").isin(batches) & (F.col("schema") == schema.json())).select("batch")
+    alike = {r["batch"] for r in alike.collect()}
+    parts = []
+    for batch in batches:
+        path = f"{root}/staging/facts-{batch}"
+        one = ledger.facts(_batches(spark, root, schema, buckets, [batch]))
+        if batch in alike and system.exists(hadoop.Path(f"{path}/_SUCCESS")):
+            signed = StructType([*one.schema, StructField("sign", LongType())])
+            one = spark.read.schema(signed).parquet(path).filter("sign > 0").drop("sign")
+        parts.append(one.withColumn("batch", F.lit(batch)))
+    rows = _without_ended(reduce(DataFrame.unionByName, parts), current)
+    return last_per_key(rows, ["account_id"], "batch").drop("batch")
+
+
+def _without_ended(rows: DataFrame, current: list) -> DataFrame:
+    """A reload ends the county's earlier records."""
+    for county, batch in [(r["reload_county"], r["batch"]) for r in current if r["reload_county"]]:
+        rows = rows.filter(~(F.col("county").eqNullSafe(county) & (F.col("batch") < batch)))
+    return rows
+
+
 def patch(spark: SparkSession, root: str, changes: DataFrame, paths: list[str], batch_id: str, run_time: str) -> dict[str, int | str]:
     """Set fields of stored records: `changes` has `account_id`, `county` and a column for each path, null where it stays.
 
@@ -283,7 +317,7 @@ def patch(spark: SparkSession, root: str, changes: DataFrame, paths: list[str],
     ids = _batches(spark, root, schema, buckets, [name]).select("account_id")
     after = _snapshot(spark, root, [*current, following]).join(ids, "account_id", "left_semi")
     before = _snapshot(spark, root, current).join(ids, "account_id", "left_semi")
-    _write_counts(spark, root, name, ledger.signed(after, before))
+    _write_counts(spark, root, name, ledger.signed(ledger.facts(after), ledger.facts(before)))
     saved = ids.count()
     counts = _commit(spark, root, version, name, batch_id, schema, buckets, saved, (saved, 0, saved, 0), patched=paths)
     log_event(spark, root, batch_id, "completed", run_time, saved, saved)

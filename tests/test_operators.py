@@ -623,3 +623,38 @@ def test_lines_of_few_row_groups_are_built_once_by_many_tasks(spark, sf_dir):
     assert plan.index("Filter") < plan.index("rpad(") < plan.index("RepartitionByExpression")
     assert lines.count() == src.table("customer").count()
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_line_is_measured_once_and_cut_by_bytes(spark, frame):
+    from parcelmill.sources.fixed_width import _typed, cut_field
+
+    text = "".join(f"{i:>4} " for i in range(1, 720))
+    texts = [text, text.replace("61", "\u00e961").replace(" 7", "\U0001f3e1\t"), text[:1849], "0" * 3600, "", None, "1" * 99]
+    lines = frame([(t, i) for i, t in enumerate(texts)], "value string, source_pos int")
+    fields = project_fields(lines, PROP, keep=["source_pos"], usable_only=False)
+    assert fields._jdf.queryExecution().optimizedPlan().toString().count("length(value") <= 3  # before, one for each field
+    zero = lambda c: F.ltrim(c, F.lit("0")) == ""
+    cut = lambda f: F.when(~zero(cut_field(F.col("value"), f)), cut_field(F.col("value"), f))
+    typed = lambda f: F.when(cut(f).isNotNull(), _typed(cut(f), f)) if f.kind != "text" else cut(f)
+    want = lines.select("source_pos", *[typed(f).alias(f.name) for f in PROP.fields])
+    assert sorted(map(tuple, fields.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_facts_of_stored_records_are_read_narrow(spark, frame):
+    root = scratch_path(spark, "t-facts")
+    schema = "account_id string, county string, year int, pos long"
+    store.upsert(spark, root, frame([("1", "harris", 1, 1), ("2", "harris", 0, 1), (None, None, 3, 1)], schema), "a", "2025-01-01 00:00:00", "pos", buckets=2)
+    store.upsert(spark, root, frame([("2", "travis", 2, 1), ("3", "harris", None, 1), (None, "dallas", 4, 1)], schema), "b", "2025-01-02 00:00:00", "pos")
+    store.upsert(spark, root, frame([("4", "harris", 5, 1)], schema), "c", "2025-01-03 00:00:00", "pos", reload_county="harris")
+
+    def known():
+        current = store._current(spark, root)
+        got = store._known_facts(spark, root, current, store._schema(current[-1]))
+        want = ledger.facts(store.read_store(spark, root))
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+        assert {r.account_id: r.county for r in got.collect()} == {"2": "travis", "4": "harris", None: "dallas"}
+        return got._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "spark_catalog" not in known()  # no record is read
+    store.compact(spark, root)
+    assert "spark_catalog" in known()  # merged batches have no facts of their own
