@@ -232,7 +232,7 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
         nested.pages(PAGE_BYTES).write.parquet(f"{root}/children/{family}/batch={name}")
     written = _batches(spark, root, fresh.schema, buckets, [name]).select(*fresh.columns)
     added = ledger.facts(written)
-    known = _known_facts(spark, root, current, fresh.schema)
+    known = _known_facts(spark, root, current, fresh.schema, added.schema)
     gone = None
     if known is not None:
         again = written.select("account_id", F.lit(True).alias("_again"))
@@ -247,8 +247,8 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
     return _commit(spark, root, version, name, batch_id, fresh.schema, buckets, saved, counts, reload_county=reload_county)
 
 
-def _known_facts(spark, root, current: list, schema: StructType) -> DataFrame | None:
-    """Facts of the current records (of `schema`), or None while there is none.
+def _known_facts(spark, root, current: list, schema: StructType, like: StructType) -> DataFrame | None:
+    """Facts (of the schema `like`) of the current records (of `schema`), or None while there is none.
 
     A batch has staged those of the records it brought, which are few narrow columns. Its records are read only where
     that copy is not there, as with merged batches, or is of another schema; all are read where some are patched.
@@ -265,10 +265,11 @@ def _known_facts(spark, root, current: list, schema: StructType) -> DataFrame |
     parts = []
     for batch in batches:
         path = f"{root}/staging/facts-{batch}"
-        one = ledger.facts(_batches(spark, root, schema, buckets, [batch]))
         if batch in alike and system.exists(hadoop.Path(f"{path}/_SUCCESS")):
-            signed = StructType([*one.schema, StructField("sign", LongType())])
+            signed = StructType([*like, StructField("sign", LongType())])
             one = spark.read.schema(signed).parquet(path).filter("sign > 0").drop("sign")
+        else:
+            one = ledger.facts(_batches(spark, root, schema, buckets, [batch]))
         parts.append(one.withColumn("batch", F.lit(batch)))
     rows = _without_ended(reduce(DataFrame.unionByName, parts), current)
     return last_per_key(rows, ["account_id"], "batch").drop("batch")
