@@ -16,7 +16,7 @@ SPLIT = ["file", "split"]
 
 def _opened(c: Column) -> Column:
     """Brackets that `c`, which holds no strings, opens more than it closes."""
-    return F.length(F.regexp_replace(c, r"[^\[{]", "")) - F.length(F.regexp_replace(c, r"[^\]}]", ""))
+    return F.length(F.translate(c, "]}", "")) - F.length(F.translate(c, "[{", ""))
 
 
 def _running(value: str, by_split: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def array_elements(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         "value",
     )
-    bare = F.regexp_replace("value", r"(?s)\\.", "")  # escapes stand in strings only
+    escaped = F.col("value").contains("\\")
+    bare = F.when(escaped, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))  # escapes stand in strings only
     quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
     from_outside = _opened(F.regexp_replace(bare, r'"[^"]*("|$)', ""))
     from_inside = _opened(F.regexp_replace(F.regexp_replace(bare, r'^[^"]*("|$)', ""), r'"[^"]*("|$)', ""))
@@ -59,15 +60,18 @@ def array_elements(spark: SparkSession, path: str) -> DataFrame:
     ends = deep.select(*SPLIT, "row", (~F.col("ends_inside") & (F.col("before") + F.col("change") == 1)).cast("long").alias("cut"))
     counted = _running("cut", summed(ends, "cut"), ends).select(*SPLIT, "row", F.col("before").alias("element"))
     parts = pieces.join(counted, [*SPLIT, "row"]).groupBy("file", "element").agg(
-        F.array_sort(F.collect_list(F.struct("split", "row", "value"))).alias("parts")
+        F.sort_array(F.collect_list(F.struct("split", "row", "value"))).alias("parts")
     )
     whole = F.array_join(F.transform("parts", lambda p: p["value"]), ",")
     texts = parts.select("file", "element", whole.alias("value"))
     sizes = texts.groupBy("file").agg(F.max("element").alias("last"), F.bool_or((F.col("element") == 0) & F.col("value").rlike(r"^\s*\[")).alias("is_array"))
+    # only the first and the last element of a file meet what is known of the file: all of them would be in one task
+    edges = sizes.select("file", F.explode(F.array_distinct(F.array(F.lit(0).cast("bigint"), "last"))).alias("element"), "last", "is_array")
     opened = F.when(F.col("is_array") & (F.col("element") == 0), F.regexp_replace("value", r"^\s*\[", "")).otherwise(F.col("value"))
     closed = F.when(F.col("is_array") & (F.col("element") == F.col("last")), F.regexp_replace(opened, r"\]\s*$", "")).otherwise(opened)
-    out = texts.join(sizes, "file").select("file", "element", "last", F.trim(F.regexp_replace(closed, r"^\s+|\s+$", "")).alias("value"))
-    return out.filter(~((F.col("value") == "") & (F.col("last") == 0))).drop("last")
+    trimmed = F.trim(F.regexp_replace(closed, r"^\s+|\s+$", "")).alias("value")
+    out = texts.join(edges, ["file", "element"], "left").select("file", "element", "last", trimmed)
+    return out.filter((F.col("value") != "") | F.col("last").isNull() | (F.col("last") != 0)).drop("last")
 
 
 def read_arrays(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parcelmill.operators import joins, keyed, ledger, nesting, quality, quantiles, repair, sampling, search
 from parcelmill.plans import dallas, gold, harris, travis
 from parcelmill.session import scratch_path
-from parcelmill.sources import delimited, runlog, search_index, sinks, store
+from parcelmill.sources import delimited, json_arrays, runlog, search_index, sinks, store
 from parcelmill.sources.fixed_width import IMPROVEMENT, PROP, project_fields
 from parcelmill.takeoff import measures, rooms, specs, validate
 
@@ -193,6 +193,24 @@ def test_json_array_file(spark, tmp_path):
     assert [r._corrupt for r in corrupt.collect()] == ["{broken"]
 
 
+def test_elements_of_one_json_array_stay_dealt_out(spark, tmp_path):
+    """What is known of a file meets its first and last element alone; joined by file, all were in one task."""
+    (tmp_path / "a.json").write_text(" [" + ",".join(json.dumps({"v": i, "t": 'a, [" {'}) for i in range(400)) + "]\n")
+    (tmp_path / "empty.json").write_text("[ ]")
+    (tmp_path / "one.json").write_text('[{"v": -1}]')
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = json_arrays.array_elements(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(json.loads(r["value"])["v"] for r in found) == [-1, *range(400)]
+    assert len({r.task for r in found if r.file.endswith("/a.json")}) > 1
+
+
 def test_json_array_is_read_in_splits(spark, tmp_path):
     texts = ["plain", 'q"uote', "back\\", 'both\\"', "[", "]}", "{,,[", ",", "", "a,b,\\,", "\n,\t", "é漢,🙂"]
     rows = [{"a": i, "t": texts[i % len(texts)], "l": [1, [2, {"x": ",]"}]], "o": {"k": texts[-i % len(texts)]}} for i in range(3000)]
