@@ -57,6 +57,15 @@ def test_nesting_holds_all_children(frame):
     assert got == {"hot": (10_000, 10_000), "a": (2, 2), "none": (0, 0)}
 
 
+def test_arrays_are_ordered_without_a_lambda(frame):
+    rows = [("a", 2, "x"), ("a", None, "y"), ("a", 2, None), ("a", 1, "z")]
+    nested = nesting.nest_children(frame(rows, "k string, v int, w string"), "k", [F.col("v")], F.struct("v", "w"))
+    arrays = nested.arrays
+    assert [tuple(x) for x in arrays.first()["items"]] == [(None, "y"), (1, "z"), (2, None), (2, "x")]
+    plan = arrays._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+
+
 def test_fan_out_left_join(frame):
     parent = frame([("a", 1), ("b", 2), (None, 3)], "k string, p int")
     child = frame([("a", 10), ("a", 11), ("z", 12), (None, 13)], "k string, c int")
