@@ -235,10 +235,7 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
     known = _known_facts(spark, root, current, fresh.schema, added.schema)
     gone = None
     if known is not None:
-        again = written.select("account_id", F.lit(True).alias("_again"))
-        marked = known.join(again, "account_id", "left")
-        ends = F.lit(False) if reload_county is None else F.col("county").eqNullSafe(reload_county)
-        gone = marked.filter(F.col("_again").isNotNull() | ends).drop("_again")
+        gone = _gone(known, written, reload_county)
     facts = _write_counts(spark, root, name, ledger.signed(added, gone))
     # what a reload ends is not replaced
     kept = F.lit(True) if reload_county is None else ~F.col("county").eqNullSafe(reload_county)
@@ -247,6 +244,18 @@ def _append(spark, root, fresh, batch_id, total, reload_county, buckets, childre
     return _commit(spark, root, version, name, batch_id, fresh.schema, buckets, saved, counts, reload_county=reload_county)
 
 
+def _gone(known: DataFrame, written: DataFrame, reload_county: str | None) -> DataFrame:
+    """Facts of the records that a batch replaces or its reload ends.
+
+    Ids are a small part of wide records, so Spark would take those of any batch for small and send them all through the
+    driver to every task. Both sides are in order of the key instead; only the narrow facts are exchanged.
+    """
+    again = written.select("account_id", F.lit(True).alias("_again")).hint("merge")
+    marked = known.join(again, "account_id", "left")
+    ends = F.lit(False) if reload_county is None else F.col("county").eqNullSafe(reload_county)
+    return marked.filter(F.col("_again").isNotNull() | ends).drop("_again")
+
+
 def _known_facts(spark, root, current: list, schema: StructType, like: StructType) -> DataFrame | None:
     """Facts (of the schema `like`) of the current records (of `schema`), or None while there is none.
 
@@ -355,7 +364,7 @@ def _write_counts(spark, root: str, name: str, facts: DataFrame) -> DataFrame:
     path = f"{root}/staging/facts-{name}"
     facts.write.parquet(path)
     staged = spark.read.schema(facts.schema).parquet(path)
-    ledger.entries(staged).coalesce(1).write.parquet(f"{root}/ledger/batch={name}")
+    ledger.entries(staged).repartition(1).write.parquet(f"{root}/ledger/batch={name}")
     ledger.gaps(staged).write.parquet(f"{root}/gaps/batch={name}")
     return staged
 

@@ -685,3 +685,23 @@ def test_facts_of_stored_records_are_read_narrow(spark, frame):
     assert "spark_catalog" not in known()  # no record is read
     store.compact(spark, root)
     assert "spark_catalog" in known()  # merged batches have no facts of their own
+
+
+def test_ids_and_counts_of_all_records_are_not_sent_through_the_driver(spark, frame):
+    # Spark guesses these sides to be small, as they are a few columns of wide or compressed files
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    known = frame([("1", "harris"), ("2", "harris"), ("3", "travis"), (None, "dallas")], "account_id string, county string")
+    written = frame([("2", "harris"), ("3", "travis"), ("9", "dallas"), (None, "dallas")], "account_id string, county string")
+    gone = store._gone(known, written, None)
+    assert "BroadcastHashJoin" not in plan(gone) and "SortMergeJoin" in plan(gone)
+    assert sorted(map(tuple, gone.collect())) == [("2", "harris"), ("3", "travis")]
+    ended = store._gone(known, written, "harris").collect()
+    assert sorted(map(tuple, ended)) == [("1", "harris"), ("2", "harris"), ("3", "travis")]
+
+    children = nesting.nest_children(frame([("2", 1), ("2", 2), (None, 3)], "account_id string, n int"), "account_id", [F.col("n")], F.struct("n"))
+    for arrays in (True, False):
+        joined = nesting.attach(known, children, "kids", arrays)
+        assert "BroadcastHashJoin" not in plan(joined)
+        assert {r["account_id"]: r["kids_count"] for r in joined.collect()} == {"1": 0, "2": 2, "3": 0, None: 0}
