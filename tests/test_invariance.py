@@ -73,3 +73,21 @@ def skewed(tmp_path_factory, sf_dir):
 def test_one_key_with_a_third_of_the_rows(key, spark, skewed):
     query = REGISTRY[key]
     assert compare(query.run(Inputs(spark, skewed)), connect(skewed), query.oracle) is None
+
+
+@pytest.fixture(scope="module")
+def torn(tmp_path_factory, sf_dir):
+    """The sample data with one line item whose price no amount of Dallas can hold."""
+    folder = tmp_path_factory.mktemp("torn")
+    for name in ("nation", "customer", "supplier", "part", "orders"):
+        (folder / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
+    source = f"'{sf_dir}/lineitem.parquet'"
+    price = f"CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM {source}) THEN 1e30 ELSE l_extendedprice END"
+    duckdb.sql(f"COPY (SELECT * REPLACE ({price} AS l_extendedprice) FROM {source}) TO '{folder}/lineitem.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("key", ["a11_field_coverage"])
+def test_report_without_a_county_is_an_error(key, spark, torn):
+    with pytest.raises(RuntimeError, match="dallas: .*NUMERIC_VALUE_OUT_OF_RANGE"):
+        REGISTRY[key].run(Inputs(spark, torn))

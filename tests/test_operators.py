@@ -330,6 +330,20 @@ def test_counties_fail_alone(spark, frame):
     assert "PATH_NOT_FOUND" in got["travis"].error and got["harris"].records == 1 and got["dallas"].records == 0
 
 
+def test_all_counties_or_an_error(spark, frame):
+    rows = {c: frame([(str(i), "2025", "5")], "acct string, yr string, market_area_1 string") for i, c in enumerate(["harris", "travis", "dallas"], 1)}
+    whole = {c: lambda df=df: harris.unified_records(harris.HarrisFiles(df)) for c, df in rows.items()}
+    records = gold.all_counties(spark, whole, scratch_path(spark, "t-all"))
+    assert sorted(r.account_id for r in records.collect()) == ["0000000000001", "0000000000002", "0000000000003"]
+    torn = {
+        "travis": lambda: spark.read.parquet("/no/such/folder"),
+        "dallas": lambda: harris.unified_records(harris.HarrisFiles(rows["dallas"].withColumn("yr", F.raise_error(F.lit("torn"))))),
+    }
+    with pytest.raises(RuntimeError, match=r"travis: .*PATH_NOT_FOUND.*; dallas: .*torn") as told:
+        gold.all_counties(spark, whole | torn, scratch_path(spark, "t-all"))
+    assert "PATH_NOT_FOUND" in str(told.value.__cause__)
+
+
 def _exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
