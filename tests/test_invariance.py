@@ -87,7 +87,10 @@ def torn(tmp_path_factory, sf_dir):
     return str(folder)
 
 
-@pytest.mark.parametrize("key", ["a11_field_coverage", "a13_category_quality", "a14_missing_key_fields", "a15_completeness_summary"])
+@pytest.mark.parametrize(
+    "key", ["a11_field_coverage", "a13_category_quality", "a14_missing_key_fields", "a15_completeness_summary",
+            "a16_load_coverage"]
+)
 def test_report_without_a_county_is_an_error(key, spark, torn):
     with pytest.raises(RuntimeError, match="dallas: .*NUMERIC_VALUE_OUT_OF_RANGE"):
         REGISTRY[key].run(Inputs(spark, torn))
