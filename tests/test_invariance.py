@@ -90,7 +90,7 @@ def torn(tmp_path_factory, sf_dir):
 @pytest.mark.parametrize(
     "key", ["a11_field_coverage", "a13_category_quality", "a14_missing_key_fields", "a15_completeness_summary",
             "a16_load_coverage", "a17_county_distributions", "a17_feature_presence", "a26_recommendations",
-            "l7_critical_fields"]
+            "l7_critical_fields", "u3_field_sets"]
 )
 def test_report_without_a_county_is_an_error(key, spark, torn):
     with pytest.raises(RuntimeError, match="dallas: .*NUMERIC_VALUE_OUT_OF_RANGE"):
