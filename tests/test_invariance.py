@@ -77,7 +77,7 @@ def test_one_key_with_a_third_of_the_rows(key, spark, skewed):
 
 @pytest.fixture(scope="module")
 def torn(tmp_path_factory, sf_dir):
-    """The sample data with one line item whose price no amount of Dallas can hold."""
+    """The sample data with one order whose prices no amount of Dallas can hold."""
     folder = tmp_path_factory.mktemp("torn")
     for name in ("nation", "customer", "supplier", "part", "orders"):
         (folder / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
